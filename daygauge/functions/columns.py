@@ -48,4 +48,5 @@ def ctr_pct(likes: Column, views: Column) -> Column:
 
 def number_text(x: Column) -> Column:
     """A two-decimal number with its second trailing zero dropped; NULL as ``nan``."""
-    return F.coalesce(F.regexp_replace(F.format_string("%.2f", x), "0$", ""), F.lit("nan"))
+    text = F.regexp_replace(F.format_string("%.2f", x), "0$", "")
+    return F.when(x.isNull(), "nan").otherwise(text)

@@ -27,11 +27,13 @@ def cohort_sizes(feed: DataFrame, horizon: int = WEEK) -> DataFrame:
     aggregate: a single scan and a single shuffle by user, with no distinct,
     join, window or sort, and at most one row per user and task to move.
     """
-    dt = day(feed)
-    residue = F.pmod(F.unix_date(dt), F.lit(horizon))
     firsts = [f"first_{r}" for r in range(horizon)]
-    users = feed.groupBy("user_id").agg(
-        *(F.min(F.when(residue == r, dt)).alias(name) for r, name in enumerate(firsts))
+    residue = F.pmod(F.unix_date("dt"), F.lit(horizon))
+    users = (
+        feed.select("user_id", day(feed).alias("dt"))
+        .withColumn("residue", residue)
+        .groupBy("user_id")
+        .agg(*(F.min(F.when(F.col("residue") == r, F.col("dt"))).alias(name) for r, name in enumerate(firsts)))
     )
     start = F.array_min(F.array(*firsts))
     active = [F.array_contains("active_days", F.date_add("start_date", k)) for k in range(horizon)]

@@ -61,8 +61,9 @@ def message_actions(spark: SparkSession, path: str | None = None, *, table: str
 
 
 def preview_day(actions: DataFrame, d: date, n: int = 10) -> DataFrame:
-    """``n`` rows of one day, all columns, in a repeatable order."""
-    return on_day(actions, d).orderBy("time", *(c for c in actions.columns if c != "time")).limit(n)
+    """``n`` rows of one day, all columns, ordered by the columns of the contract."""
+    order = [c for c in ("time", "user_id", "post_id", "receiver_id", "action") if c in actions.columns]
+    return on_day(actions, d).orderBy(*order).limit(n)
 
 
 def sql_frame(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
