@@ -17,7 +17,7 @@ from daygauge.operators.leaders import leader_order, top_by_count, top_posts
 from daygauge.plans import rollup as ru
 from daygauge.plans.report import chart_tables, kpi_row, report_text
 from daygauge.sources.logs import feed_actions, message_actions
-from daygauge.sources.sinks import export_ranked_csv, write_text
+from daygauge.sources.sinks import export_ranked_csv, write_csv, write_text
 
 # File names and column headings of the exported tables.
 POSTS_CSV, MAILERS_CSV, RECEIVERS_CSV, FEED_CSV = (
@@ -57,7 +57,7 @@ def write_daily_report(
     charts = chart_tables(
         ru.rolled_feed_metrics(rollup, *window), ru.rolled_message_metrics(rollup, *window), as_of
     )
-    charts.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out}/charts.csv")
+    write_csv(charts, f"{out}/charts.csv")
 
     leaders = {
         POSTS_CSV: (top_posts(feed), "post_id", "views"),

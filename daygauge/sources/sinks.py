@@ -18,20 +18,26 @@ def with_rank_index(top: DataFrame, order: Sequence[Column]) -> DataFrame:
     return top.select(index.cast("bigint").alias("row_index"), "*")
 
 
-def export_ranked_csv(
-    top: DataFrame, path: str, order: Sequence[Column], headings: dict[str, str] | None = None
-) -> None:
-    """Write a top-k as one CSV file with a header; the index column's heading is blank."""
-    ranked = with_rank_index(top, order).withColumnsRenamed({**(headings or {}), "row_index": ""})
+def write_csv(table: DataFrame, path: str) -> None:
+    """Write a report table of a few rows as one CSV file with a header."""
     (
-        ranked.coalesce(1)
+        table.coalesce(1)
         .write.mode("overwrite")
         .option("header", True)
         .option("emptyValue", "")
+        .option("escape", '"')
         .csv(path)
     )
 
 
+def export_ranked_csv(
+    top: DataFrame, path: str, order: Sequence[Column], headings: dict[str, str] | None = None
+) -> None:
+    """Write a top-k with its rank index; the index column's heading is blank."""
+    ranked = with_rank_index(top, order)
+    write_csv(ranked.withColumnsRenamed({**(headings or {}), "row_index": ""}), path)
+
+
 def write_text(lines: DataFrame, path: str) -> None:
     """Write a one-column frame of a few text rows as one text file."""
     lines.coalesce(1).write.mode("overwrite").text(path)

@@ -1,0 +1,105 @@
+"""The physical plans that keep the operators cheap on large logs."""
+
+from datetime import date
+
+import pytest
+
+import __spark_entry__ as entry
+from daygauge.operators import leaders, overlap, retention
+from daygauge.sources import events
+
+SF = "/root/testdata/sf0.01"
+DAY_RANGE = ("GreaterThanOrEqual(ts,2024-01-30T00:00)", "LessThan(ts,2024-01-31T00:00)")
+WEEK_RANGE = ("GreaterThanOrEqual(ts,2024-01-24T00:00)", "LessThan(ts,2024-01-31T00:00)")
+
+
+def plan(df):
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+
+
+def tree(df):
+    return plan(df).split("\n\n")[0]
+
+
+@pytest.fixture(scope="module")
+def logs(spark):
+    table = events.read_events(spark, SF)
+    return events.feed_from_events(table), events.messages_from_events(table)
+
+
+@pytest.mark.parametrize(
+    "name, bounds",
+    [
+        *((n, DAY_RANGE) for n in entry.queries() if n.endswith("_day") and n != "overlap_by_day"),
+        *((n, WEEK_RANGE) for n in entry.queries() if n.endswith("_series")),
+        ("daily_feed_metrics", WEEK_RANGE),
+        ("daily_message_metrics", WEEK_RANGE),
+        ("chart_range_label", WEEK_RANGE),
+    ],
+)
+def test_dates_reach_every_scan(spark, name, bounds):
+    filters = [line for line in plan(entry.queries()[name](spark, SF)).splitlines() if line.startswith("PushedFilters")]
+    assert filters and all(bound in line for bound in bounds for line in filters)
+
+
+@pytest.mark.parametrize("name", entry.queries())
+def test_no_cross_join_and_no_python(spark, name):
+    text = plan(entry.queries()[name](spark, SF))
+    for bad in ("CartesianProduct", "NestedLoop", "Python", "InPandas"):
+        assert bad not in text
+
+
+@pytest.mark.parametrize("name", [n for n in entry.queries() if n.startswith("top_")])
+def test_top_k_without_a_global_sort(spark, name):
+    text = tree(entry.queries()[name](spark, SF))
+    assert "TakeOrderedAndProject" in text
+    assert "rangepartitioning" not in text and " Sort " not in text
+
+
+def test_series_are_ordered_without_a_range_shuffle(spark):
+    text = plan(entry.queries()["views_series"](spark, SF))
+    assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
+    # Metrics that are not asked for are not computed.
+    assert "distinct" not in text and "user_id" not in text
+
+
+def test_cohorts_take_one_scan_and_one_shuffle_by_user(logs):
+    text = plan(retention.cohort_activity(logs[0]))
+    assert text.count("Scan parquet  (") == 1
+    assert text.count("hashpartitioning(user_id") == 1 and text.count("Arguments: hashpartitioning") == 2
+    for costly in ("Join", "Window", "Sort"):
+        assert costly not in text
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in text
+
+
+def test_the_week_cohort_filters_users_before_counting(logs):
+    text = tree(retention.retention_week(logs[0], date(2024, 1, 8)))
+    # Scan-side filter plus the start date right after the per-user aggregate.
+    assert text.count("Filter") >= 2
+
+
+def test_overlap_takes_one_shuffle_and_no_join(logs):
+    text = plan(overlap.user_overlap(*logs))
+    assert text.count("Arguments: hashpartitioning") == 1
+    for costly in ("Join", "Sort"):
+        assert costly not in text
+
+
+def test_post_leaders_are_broadcast_only_within_the_bound(logs, monkeypatch):
+    assert "BroadcastHashJoin" in tree(leaders.top_posts(logs[0], 100))
+    monkeypatch.setattr(leaders, "BROADCAST_ROWS", 50)
+    assert "ResolvedHint" not in leaders.top_posts(logs[0], 100)._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_day_partition_is_pruned(spark, tmp_path, logs):
+    from pyspark.sql import functions as F
+
+    from daygauge.operators import daily
+
+    path = str(tmp_path / "feed")
+    logs[0].withColumn("dt", F.to_date("time")).write.partitionBy("dt").parquet(path)
+    text = plan(daily.ctr_day(spark.read.parquet(path), date(2024, 1, 30)))
+    assert "PartitionFilters: [isnotnull(dt" in text
+    assert "ReadSchema: struct<action:string>" in text
