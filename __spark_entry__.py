@@ -136,9 +136,9 @@ pairs AS (
   FULL JOIN (SELECT DISTINCT user_id, dt FROM messages) m ON f.user_id = m.user_id AND f.dt = m.dt),
 overlap AS (
   SELECT DISTINCT feed_user, messenger_user, dt,
-         CASE WHEN messenger_user = 0 AND feed_user > 0 THEN 'Feed only'
-              WHEN messenger_user > 0 AND feed_user = 0 THEN 'Messenger only'
-              WHEN messenger_user > 0 AND feed_user > 0 THEN 'Both'
+         CASE WHEN least(feed_user, messenger_user) > 0 THEN 'Both'
+              WHEN feed_user > 0 THEN 'Feed only'
+              WHEN messenger_user > 0 THEN 'Messenger only'
               ELSE 'OutOfType' END AS use_type
   FROM pairs)"""
 

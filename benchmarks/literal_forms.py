@@ -24,11 +24,10 @@ def overlap_by_join(feed: DataFrame, messages: DataFrame) -> DataFrame:
         F.coalesce("m_user", F.lit(0)).alias("messenger_user"),
         F.coalesce("f_dt", "m_dt").alias("dt"),
     )
-    feed_user, messenger_user = F.col("feed_user"), F.col("messenger_user")
     use_type = (
-        F.when((messenger_user == 0) & (feed_user > 0), "Feed only")
-        .when((messenger_user > 0) & (feed_user == 0), "Messenger only")
-        .when((messenger_user > 0) & (feed_user > 0), "Both")
+        F.when(F.least("feed_user", "messenger_user") > 0, "Both")
+        .when(F.col("feed_user") > 0, "Feed only")
+        .when(F.col("messenger_user") > 0, "Messenger only")
         .otherwise("OutOfType")
     )
     return users.withColumn("use_type", use_type).distinct()
@@ -64,7 +63,7 @@ def top_posts_one_pass(feed: DataFrame, k: int = 100) -> DataFrame:
         views.alias("views"), likes.alias("likes"), F.countDistinct("user_id").alias("users")
     )
     return (
-        posts.select("post_id", "views", "likes", ratio(F.col("likes"), F.col("views")).alias("ctr"), "users")
+        posts.selectExpr("post_id", "views", "likes", f"{ratio('likes', 'views')} AS ctr", "users")
         .orderBy(F.desc("views"), "post_id")
         .limit(k)
     )

@@ -1,4 +1,4 @@
-"""Expressions shared by the operators; all of them stay inside code generation."""
+"""Expressions shared by the operators, as SQL text that Spark compiles into the stage's code."""
 
 from __future__ import annotations
 
@@ -7,7 +7,12 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-VIEW, LIKE = "view", "like"
+VIEWS = "count_if(action = 'view')"
+LIKES = "count_if(action = 'like')"
+
+
+def exprs(*texts: str) -> list[Column]:
+    return [F.expr(text) for text in texts]
 
 
 def day(actions: DataFrame) -> Column:
@@ -28,25 +33,20 @@ def between_days(actions: DataFrame, first: date, last: date) -> DataFrame:
     return actions.where(day(actions).between(F.lit(first), F.lit(last)))
 
 
-def is_action(kind: str) -> Column:
-    return F.col("action") == kind
-
-
-def round2(x: Column) -> Column:
+def round2(x: str) -> str:
     """Two decimals, ties to even (Spark's ``round`` sends ties away from zero)."""
-    return F.rint(x * 100) / 100
+    return f"rint(({x}) * 100) / 100"
 
 
-def ratio(part: Column, whole: Column) -> Column:
+def ratio(part: str, whole: str) -> str:
     """``part / whole`` as double; NULL where ``whole`` is zero."""
-    return F.try_divide(part, whole)
+    return f"try_divide({part}, {whole})"
 
 
-def ctr_pct(likes: Column, views: Column) -> Column:
-    return round2(ratio(likes * 100, views))
+def ctr_pct(likes: str, views: str) -> str:
+    return round2(ratio(f"{likes} * 100", views))
 
 
-def number_text(x: Column) -> Column:
+def number_text(x: str) -> str:
     """A two-decimal number with its second trailing zero dropped; NULL as ``nan``."""
-    text = F.regexp_replace(F.format_string("%.2f", x), "0$", "")
-    return F.when(x.isNull(), "nan").otherwise(text)
+    return f"CASE WHEN {x} IS NULL THEN 'nan' ELSE regexp_replace(format_string('%.2f', {x}), '0$', '') END"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygauge.functions.columns import LIKE, VIEW, day, is_action
+from daygauge.functions.columns import day, exprs
 
 
 def user_active_days(actions: DataFrame) -> DataFrame:
@@ -26,25 +26,20 @@ def user_day_activity(feed: DataFrame, messages: DataFrame) -> DataFrame:
     one row per task and day, and nothing has to be sorted. Every count adds up
     over days, so a stored result can grow day by day (``daygauge.plans.rollup``).
     """
-    feed_counts = feed.select(
+    feed_counts = feed.withColumn("dt", day(feed)).selectExpr(
         "user_id",
-        day(feed).alias("dt"),
-        is_action(VIEW).cast("bigint").alias("views"),
-        is_action(LIKE).cast("bigint").alias("likes"),
-        F.lit(1).cast("bigint").alias("feed_actions"),
-        F.lit(0).cast("bigint").alias("messages"),
+        "dt",
+        "bigint(action = 'view') AS views",
+        "bigint(action = 'like') AS likes",
+        "1L AS feed_actions",
+        "0L AS messages",
     )
-    message_counts = messages.select(
-        "user_id",
-        day(messages).alias("dt"),
-        F.lit(0).cast("bigint").alias("views"),
-        F.lit(0).cast("bigint").alias("likes"),
-        F.lit(0).cast("bigint").alias("feed_actions"),
-        F.lit(1).cast("bigint").alias("messages"),
+    message_counts = messages.withColumn("dt", day(messages)).selectExpr(
+        "user_id", "dt", "0L AS views", "0L AS likes", "0L AS feed_actions", "1L AS messages"
     )
     counts = ("views", "likes", "feed_actions", "messages")
     return (
-        feed_counts.unionByName(message_counts)
+        feed_counts.union(message_counts)
         .groupBy("user_id", "dt")
-        .agg(*(F.sum(c).alias(c) for c in counts))
+        .agg(*exprs(*(f"sum({c}) AS {c}" for c in counts)))
     )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygauge.functions.clock import WEEK, last_days
-from daygauge.functions.columns import LIKE, VIEW, between_days, ctr_pct, day, is_action, on_day
+from daygauge.functions.columns import LIKES, VIEWS, between_days, ctr_pct, day, exprs, on_day
 
 
 def dau_day(actions: DataFrame, d: date) -> DataFrame:
@@ -22,12 +22,11 @@ def dau_day(actions: DataFrame, d: date) -> DataFrame:
 
 def ctr_day(feed: DataFrame, d: date) -> DataFrame:
     """Likes per hundred views on ``d``; NULL on a day without views."""
-    likes, views = F.count_if(is_action(LIKE)), F.count_if(is_action(VIEW))
-    return on_day(feed, d).agg(ctr_pct(likes, views).alias("ctr_pct"))
+    return on_day(feed, d).agg(*exprs(f"{ctr_pct(LIKES, VIEWS)} AS ctr_pct"))
 
 
 def action_count_day(feed: DataFrame, d: date, kind: str) -> DataFrame:
-    return on_day(feed, d).where(is_action(kind)).agg(F.count("*").alias("actions"))
+    return on_day(feed, d).where(F.col("action") == kind).agg(F.count("*").alias("actions"))
 
 
 def message_count_day(messages: DataFrame, d: date) -> DataFrame:
@@ -36,16 +35,17 @@ def message_count_day(messages: DataFrame, d: date) -> DataFrame:
 
 def daily_feed_metrics(feed: DataFrame, first: date, last: date) -> DataFrame:
     """One row per day that has feed actions: views, likes, ctr_pct, actions, users."""
-    views, likes = F.count_if(is_action(VIEW)), F.count_if(is_action(LIKE))
     return (
         between_days(feed, first, last)
         .groupBy(day(feed).alias("dt"))
         .agg(
-            views.alias("views"),
-            likes.alias("likes"),
-            ctr_pct(likes, views).alias("ctr_pct"),
-            F.count("*").alias("actions"),
-            F.countDistinct("user_id").alias("users"),
+            *exprs(
+                f"{VIEWS} AS views",
+                f"{LIKES} AS likes",
+                f"{ctr_pct(LIKES, VIEWS)} AS ctr_pct",
+                "count(*) AS actions",
+                "count(DISTINCT user_id) AS users",
+            )
         )
     )
 
@@ -55,7 +55,7 @@ def daily_message_metrics(messages: DataFrame, first: date, last: date) -> DataF
     return (
         between_days(messages, first, last)
         .groupBy(day(messages).alias("dt"))
-        .agg(F.count("*").alias("messages"), F.countDistinct("user_id").alias("users"))
+        .agg(*exprs("count(*) AS messages", "count(DISTINCT user_id) AS users"))
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daygauge.functions.columns import LIKE, VIEW, is_action, ratio
+from daygauge.functions.columns import LIKES, VIEWS, exprs, ratio
 
 TOP = 100
 # A leaderboard of up to this many rows (a few MB) may be broadcast.
@@ -32,7 +32,7 @@ def top_posts(feed: DataFrame, k: int = TOP) -> DataFrame:
     order = leader_order("views", "post_id")
     leaders = (
         feed.groupBy("post_id")
-        .agg(F.count_if(is_action(VIEW)).alias("views"), F.count_if(is_action(LIKE)).alias("likes"))
+        .agg(*exprs(f"{VIEWS} AS views", f"{LIKES} AS likes"))
         .orderBy(*order)
         .limit(k)
     )
@@ -43,7 +43,7 @@ def top_posts(feed: DataFrame, k: int = TOP) -> DataFrame:
         .join(leaders, "post_id")
         .groupBy("post_id", "views", "likes")
         .agg(F.countDistinct("user_id").alias("users"))
-        .select("post_id", "views", "likes", ratio(F.col("likes"), F.col("views")).alias("ctr"), "users")
+        .selectExpr("post_id", "views", "likes", f"{ratio('likes', 'views')} AS ctr", "users")
         .orderBy(*order)
         .limit(k)
     )

@@ -10,26 +10,28 @@ from pyspark.sql import functions as F
 from daygauge.functions.columns import on_day
 from daygauge.operators.activity import user_day_activity
 
+# The four class names.
+USE_TYPE = """
+CASE WHEN user_id > 0 THEN
+       CASE WHEN feed_actions > 0 AND messages > 0 THEN 'Both'
+            WHEN feed_actions > 0 THEN 'Feed only'
+            ELSE 'Messenger only' END
+     ELSE 'OutOfType' END
+"""
+
 
 def with_use_type(activity: DataFrame) -> DataFrame:
     """Add feed_user, messenger_user and use_type to ``user_day_activity`` rows.
 
-    An id of 0 means "absent from that product", as in a full outer join that
-    fills missing ids with 0; a real user 0 is therefore always ``OutOfType``.
+    A user is 0 in the column of a product not used that day. Id 0 itself thus
+    reads as "in neither product": a real user 0 is always ``OutOfType``.
     """
-    feed_user, messenger_user = F.col("feed_user"), F.col("messenger_user")
-    use_type = (
-        F.when((feed_user > 0) & (messenger_user == 0), "Feed only")
-        .when((feed_user == 0) & (messenger_user > 0), "Messenger only")
-        .when((feed_user > 0) & (messenger_user > 0), "Both")
-        .otherwise("OutOfType")
+    return activity.selectExpr(
+        "*",
+        "CASE WHEN feed_actions > 0 THEN user_id ELSE 0L END AS feed_user",
+        "CASE WHEN messages > 0 THEN user_id ELSE 0L END AS messenger_user",
+        f"{USE_TYPE} AS use_type",
     )
-    return activity.withColumns(
-        {
-            "feed_user": F.when(F.col("feed_actions") > 0, F.col("user_id")).otherwise(0),
-            "messenger_user": F.when(F.col("messages") > 0, F.col("user_id")).otherwise(0),
-        }
-    ).withColumn("use_type", use_type)
 
 
 def user_overlap(feed: DataFrame, messages: DataFrame) -> DataFrame:
@@ -50,4 +52,4 @@ def overlap_by_day(feed: DataFrame, messages: DataFrame) -> DataFrame:
 def both_users_day(feed: DataFrame, messages: DataFrame, d: date) -> DataFrame:
     """Users active in both products on ``d``; only that day is read."""
     overlap = user_overlap(on_day(feed, d), on_day(messages, d))
-    return overlap.agg(F.count_if(F.col("use_type") == "Both").alias("both_users"))
+    return overlap.agg(F.expr("count_if(use_type = 'Both') AS both_users"))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygauge.functions.clock import WEEK
-from daygauge.functions.columns import day, ratio, round2
+from daygauge.functions.columns import day, exprs, ratio, round2
 
 
 def day_label(n: int) -> str:
@@ -27,20 +27,18 @@ def cohort_sizes(feed: DataFrame, horizon: int = WEEK) -> DataFrame:
     aggregate: a single scan and a single shuffle by user, with no distinct,
     join, window or sort, and at most one row per user and task to move.
     """
-    firsts = [f"first_{r}" for r in range(horizon)]
-    residue = F.pmod(F.unix_date("dt"), F.lit(horizon))
-    users = (
-        feed.select("user_id", day(feed).alias("dt"))
-        .withColumn("residue", residue)
-        .groupBy("user_id")
-        .agg(*(F.min(F.when(F.col("residue") == r, F.col("dt"))).alias(name) for r, name in enumerate(firsts)))
+    firsts = ", ".join(f"min(CASE WHEN residue = {r} THEN dt END)" for r in range(horizon))
+    counts = ", ".join(
+        f"count_if(array_contains(active_days, date_add(start_date, {k})))" for k in range(horizon)
     )
-    start = F.array_min(F.array(*firsts))
-    active = [F.array_contains("active_days", F.date_add("start_date", k)) for k in range(horizon)]
     return (
-        users.select(start.alias("start_date"), F.array(*firsts).alias("active_days"))
+        feed.select("user_id", day(feed).alias("dt"))
+        .withColumn("residue", F.expr(f"pmod(unix_date(dt), {horizon})"))
+        .groupBy("user_id")
+        .agg(F.expr(f"array({firsts}) AS active_days"))
+        .withColumn("start_date", F.array_min("active_days"))
         .groupBy("start_date")
-        .agg(F.array(*(F.count_if(a) for a in active)).alias("days"))
+        .agg(F.expr(f"array({counts}) AS days"))
     )
 
 
@@ -48,12 +46,12 @@ def cohort_activity(feed: DataFrame, horizon: int = WEEK) -> DataFrame:
     """(start_date, dt, duration, users, first_day_users) for every day with returning users."""
     return (
         cohort_sizes(feed, horizon)
-        .select("start_date", F.col("days")[0].alias("first_day_users"), F.posexplode("days").alias("k", "users"))
+        .selectExpr("start_date", "days[0] AS first_day_users", "posexplode(days) AS (k, users)")
         .where("users > 0")
-        .select(
+        .selectExpr(
             "start_date",
-            F.date_add("start_date", F.col("k")).alias("dt"),
-            (F.col("k") + 1).cast("bigint").alias("duration"),
+            "date_add(start_date, k) AS dt",
+            "bigint(k + 1) AS duration",
             "users",
             "first_day_users",
         )
@@ -64,21 +62,20 @@ def retention_long(feed: DataFrame, horizon: int = WEEK) -> DataFrame:
     """(dt, start_date, duration, retention), by start date and duration."""
     return (
         cohort_activity(feed, horizon)
-        .select("dt", "start_date", "duration", ratio(F.col("users"), F.col("first_day_users")).alias("retention"))
+        .selectExpr("dt", "start_date", "duration", f"{ratio('users', 'first_day_users')} AS retention")
         .orderBy("start_date", "duration")
     )
 
 
-def _ratios(horizon: int) -> list[Column]:
-    """Retention of day 1 .. horizon; NULL on a day nobody returned."""
-    days = F.col("days")
-    return [ratio(F.nullif(days[k], F.lit(0)), days[0]) for k in range(horizon)]
+def _ratios(horizon: int) -> list[tuple[int, str]]:
+    """Day number and retention of day 1 .. horizon; NULL on a day nobody returned."""
+    return [(k + 1, ratio(f"nullif(days[{k}], 0)", "days[0]")) for k in range(horizon)]
 
 
 def retention_pivot(feed: DataFrame, horizon: int = WEEK) -> DataFrame:
     """One row per start date, one column ``Day n`` per day; NULL where nobody returned."""
-    ratios = [r.alias(day_label(n)) for n, r in enumerate(_ratios(horizon), start=1)]
-    return cohort_sizes(feed, horizon).select("start_date", *ratios).orderBy("start_date")
+    ratios = [f"{r} AS `{day_label(n)}`" for n, r in _ratios(horizon)]
+    return cohort_sizes(feed, horizon).selectExpr("start_date", *ratios).orderBy("start_date")
 
 
 def _week_cohort(feed: DataFrame, as_of: date, horizon: int) -> DataFrame:
@@ -90,22 +87,12 @@ def _week_cohort(feed: DataFrame, as_of: date, horizon: int) -> DataFrame:
 
 def retention_week(feed: DataFrame, as_of: date, horizon: int = WEEK) -> DataFrame:
     """(duration, label, retention) of the cohort whose first week ended yesterday, two decimals."""
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(n).cast("bigint").alias("duration"),
-                F.lit(day_label(n)).alias("label"),
-                round2(r).alias("retention"),
-            )
-            for n, r in enumerate(_ratios(horizon), start=1)
-        )
-    )
-    return _week_cohort(feed, as_of, horizon).select(F.inline(rows))
+    rows = ", ".join(f"({n}L, '{day_label(n)}', {round2(r)})" for n, r in _ratios(horizon))
+    week = _week_cohort(feed, as_of, horizon)
+    return week.selectExpr(f"inline(array({rows})) AS (duration, label, retention)")
 
 
 def retention_week_row(feed: DataFrame, as_of: date, horizon: int = WEEK) -> DataFrame:
     """The same values as columns ``day_1`` .. of exactly one row; all NULL without a cohort."""
-    ratios = enumerate(_ratios(horizon), start=1)
-    return _week_cohort(feed, as_of, horizon).agg(
-        *(F.max(round2(r)).alias(f"day_{n}") for n, r in ratios)
-    )
+    ratios = (f"max({round2(r)}) AS day_{n}" for n, r in _ratios(horizon))
+    return _week_cohort(feed, as_of, horizon).agg(*exprs(*ratios))

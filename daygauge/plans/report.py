@@ -4,28 +4,27 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygauge.functions.clock import WEEK, last_days, range_label, yesterday
-from daygauge.functions.columns import ctr_pct, number_text, on_day
+from daygauge.functions.columns import ctr_pct, exprs, number_text, on_day
 from daygauge.operators.activity import user_day_activity
 from daygauge.operators.daily import daily_feed_metrics, daily_message_metrics
 from daygauge.operators.overlap import with_use_type
 from daygauge.operators.retention import day_label, retention_week_row
 
 # The wording and layout of the printed report.
-TITLE = "Report №-2 for %s:"
-LINES = (
-    ("Feed DAU = ", "feed_dau", ""),
-    ("            Messenger DAU = ", "messenger_dau", ""),
-    ("Views = ", "views", ""),
-    ("            Likes = ", "likes", ""),
-    ("CTR = ", "ctr_pct", "%"),
-    ("Messages = ", "messages", ""),
-    ("            Engaged in both feed and messenger = ", "both_users", ""),
-)
-RETENTION_LINE = "            Last week retention = "
+TEXT = """\
+Report №-2 for %s:
+Feed DAU = %d
+            Messenger DAU = %d
+Views = %d
+            Likes = %d
+CTR = %s%%
+Messages = %d
+            Engaged in both feed and messenger = %d
+            Last week retention = {%s}"""
 
 # Chart title, panel, and the metric drawn in it.
 FEED_CHARTS = (
@@ -47,15 +46,17 @@ def day_kpis(activity: DataFrame) -> DataFrame:
     Each input row is one user, so active users are plain counts, and all seven
     numbers come from one aggregate. An empty day gives zeros and a NULL ctr_pct.
     """
-    views, likes, messages = (F.coalesce(F.sum(c), F.lit(0)) for c in ("views", "likes", "messages"))
+    views, likes, messages = (f"coalesce(sum({c}), 0)" for c in ("views", "likes", "messages"))
     return with_use_type(activity).agg(
-        F.count_if(F.col("feed_actions") > 0).alias("feed_dau"),
-        F.count_if(F.col("messages") > 0).alias("messenger_dau"),
-        views.alias("views"),
-        likes.alias("likes"),
-        ctr_pct(likes, views).alias("ctr_pct"),
-        messages.alias("messages"),
-        F.count_if(F.col("use_type") == "Both").alias("both_users"),
+        *exprs(
+            "count_if(feed_actions > 0) AS feed_dau",
+            "count_if(messages > 0) AS messenger_dau",
+            f"{views} AS views",
+            f"{likes} AS likes",
+            f"{ctr_pct(likes, views)} AS ctr_pct",
+            f"{messages} AS messages",
+            "count_if(use_type = 'Both') AS both_users",
+        )
     )
 
 
@@ -71,7 +72,7 @@ def kpi_row(activity: DataFrame, feed_days: DataFrame, as_of: date, horizon: int
     week = retention_week_row(feed_days, as_of, horizon)
     names = [*kpis.columns, *week.columns]
     return kpis.unionByName(week, allowMissingColumns=True).agg(
-        F.max(F.lit(d)).alias("report_date"), *(F.max(c).alias(c) for c in names)
+        *exprs(f"max(DATE'{d}') AS report_date", *(f"max({c}) AS {c}" for c in names))
     )
 
 
@@ -81,43 +82,36 @@ def daily_kpis(feed: DataFrame, messages: DataFrame, as_of: date) -> DataFrame:
     return kpi_row(user_day_activity(on_day(feed, d), on_day(messages, d)), feed, as_of)
 
 
-def _lines(horizon: int) -> list[Column]:
-    title = F.format_string(TITLE, F.date_format("report_date", "dd-MM-yyyy"))
-    values = [
-        F.concat(F.lit(before), number_text(F.col(c)) if after else F.col(c).cast("string"), F.lit(after))
-        for before, c, after in LINES
-    ]
-    days = [
-        F.concat(F.lit(f"'{day_label(n)}': "), number_text(F.col(f"day_{n}"))) for n in range(1, horizon + 1)
-    ]
-    retention = F.concat(F.lit(RETENTION_LINE + "{"), F.concat_ws(", ", *days), F.lit("}"))
-    return [title, *values, retention]
+def report_text(kpis: DataFrame, horizon: int = WEEK) -> DataFrame:
+    """The report text in one row, from the row of ``daily_kpis``."""
+    days = (
+        f"concat(\"'{day_label(n)}': \", {number_text(f'day_{n}')})" for n in range(1, horizon + 1)
+    )
+    values = exprs(
+        "date_format(report_date, 'dd-MM-yyyy')",
+        "feed_dau",
+        "messenger_dau",
+        "views",
+        "likes",
+        number_text("ctr_pct"),
+        "messages",
+        "both_users",
+        f"concat_ws(', ', {', '.join(days)})",
+    )
+    return kpis.select(F.format_string(TEXT, *values).alias("text"))
 
 
 def report_lines(kpis: DataFrame, horizon: int = WEEK) -> DataFrame:
-    """(line_no, line) of the report text, from the row of ``daily_kpis``."""
-    numbered = kpis.select(F.posexplode(F.array(*_lines(horizon))).alias("k", "line"))
-    return numbered.select((F.col("k") + 1).cast("bigint").alias("line_no"), "line")
-
-
-def report_text(kpis: DataFrame, horizon: int = WEEK) -> DataFrame:
-    """The report text in one row."""
-    return kpis.select(F.concat_ws("\n", *_lines(horizon)).alias("text"))
+    """(line_no, line) of the report text."""
+    lines = report_text(kpis, horizon).select(F.posexplode(F.split("text", "\n")).alias("k", "line"))
+    return lines.selectExpr("bigint(k + 1) AS line_no", "line")
 
 
 def _panels(metrics: DataFrame, charts: tuple, label: str) -> DataFrame:
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(CHART_TITLE % (chart, label)).alias("title"),
-                F.lit(panel).alias("panel"),
-                F.col("dt"),
-                F.col(metric).cast("double").alias("value"),
-            )
-            for chart, panel, metric in charts
-        )
+    points = ", ".join(
+        f"('{CHART_TITLE % (chart, label)}', '{panel}', dt, double({metric}))" for chart, panel, metric in charts
     )
-    return metrics.select(F.inline(rows))
+    return metrics.selectExpr(f"inline(array({points})) AS (title, panel, dt, value)")
 
 
 def chart_tables(feed_metrics: DataFrame, message_metrics: DataFrame, as_of: date) -> DataFrame:

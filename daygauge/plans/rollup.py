@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygauge.functions.columns import between_days, ctr_pct, on_day
+from daygauge.functions.columns import between_days, ctr_pct, exprs, on_day
 from daygauge.operators.activity import user_day_activity
 from daygauge.operators.leaders import TOP, leader_order
 
@@ -61,11 +61,13 @@ def rolled_feed_metrics(rollup: DataFrame, first: date, last: date) -> DataFrame
         .where(F.col("feed_actions") > 0)
         .groupBy("dt")
         .agg(
-            F.sum("views").alias("views"),
-            F.sum("likes").alias("likes"),
-            ctr_pct(F.sum("likes"), F.sum("views")).alias("ctr_pct"),
-            F.sum("feed_actions").alias("actions"),
-            F.count("*").alias("users"),
+            *exprs(
+                "sum(views) AS views",
+                "sum(likes) AS likes",
+                f"{ctr_pct('sum(likes)', 'sum(views)')} AS ctr_pct",
+                "sum(feed_actions) AS actions",
+                "count(*) AS users",
+            )
         )
     )
 
@@ -76,7 +78,7 @@ def rolled_message_metrics(rollup: DataFrame, first: date, last: date) -> DataFr
         between_days(rollup, first, last)
         .where(F.col("messages") > 0)
         .groupBy("dt")
-        .agg(F.sum("messages").alias("messages"), F.count("*").alias("users"))
+        .agg(*exprs("sum(messages) AS messages", "count(*) AS users"))
     )
 
 

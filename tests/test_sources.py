@@ -90,6 +90,6 @@ def test_clock():
 def test_numbers(spark):
     values = [(1.0, "1.0"), (0.62, "0.62"), (86.3, "86.3"), (116.67, "116.67"), (12345678.5, "12345678.5"), (None, "nan")]
     df = spark.createDataFrame(values, "x double, text string")
-    assert [r[0] for r in df.select(number_text(F.col("x"))).collect()] == [t for _, t in values]
+    assert [r[0] for r in df.selectExpr(number_text("x")).collect()] == [t for _, t in values]
     halves = spark.createDataFrame([(3.125, 3.12), (0.575, 0.57), (0.375, 0.38)], "x double, y double")
-    assert [r[0] for r in halves.select(round2(F.col("x"))).collect()] == [3.12, 0.57, 0.38]
+    assert [r[0] for r in halves.selectExpr(round2("x")).collect()] == [3.12, 0.57, 0.38]
