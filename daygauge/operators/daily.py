@@ -59,20 +59,14 @@ def daily_message_metrics(messages: DataFrame, first: date, last: date) -> DataF
     )
 
 
-def _series(metrics: DataFrame, metric: str, days: int) -> DataFrame:
-    # There are at most `days` rows, so the limit drops nothing; it lets Spark
-    # order them by top-k instead of a sampled range shuffle.
-    return metrics.select("dt", metric).orderBy("dt").limit(days)
-
-
 def feed_series(feed: DataFrame, as_of: date, metric: str, days: int = WEEK) -> DataFrame:
     """(dt, metric) for the last full days, one column of ``daily_feed_metrics``.
 
     Days without actions have no row.
     """
-    return _series(daily_feed_metrics(feed, *last_days(as_of, days)), metric, days)
+    return daily_feed_metrics(feed, *last_days(as_of, days)).select("dt", metric).orderBy("dt")
 
 
 def message_series(messages: DataFrame, as_of: date, metric: str, days: int = WEEK) -> DataFrame:
     """(dt, metric) for the last full days, one column of ``daily_message_metrics``."""
-    return _series(daily_message_metrics(messages, *last_days(as_of, days)), metric, days)
+    return daily_message_metrics(messages, *last_days(as_of, days)).select("dt", metric).orderBy("dt")

@@ -120,9 +120,7 @@ def chart_tables(feed_metrics: DataFrame, message_metrics: DataFrame, as_of: dat
     charts = _panels(feed_metrics, FEED_CHARTS, label).unionByName(
         _panels(message_metrics, MESSAGE_CHARTS, label)
     )
-    # One point per panel and day, so the limit drops nothing (see daily._series).
-    points = WEEK * (len(FEED_CHARTS) + len(MESSAGE_CHARTS))
-    return charts.orderBy("title", "panel", "dt").limit(points)
+    return charts.orderBy("title", "panel", "dt")
 
 
 def chart_series(feed: DataFrame, messages: DataFrame, as_of: date) -> DataFrame:
