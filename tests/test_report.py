@@ -189,3 +189,18 @@ def test_daily_job(spark, logs, tmp_path, stored):
     for name, (head, first) in tops.items():
         rows = list(csv.reader(text_of(f"{out}/{name}", ".csv").splitlines()))
         assert rows[0] == head and rows[1] == first and len(rows) == 101
+
+
+def test_command_line(spark, logs, tmp_path, monkeypatch):
+    feed, messages = logs
+    feed.withColumn("dt", F.to_date("time")).write.partitionBy("dt").parquet(str(tmp_path / "feed"))
+    messages.withColumn("dt", F.to_date("time")).write.partitionBy("dt").parquet(str(tmp_path / "messages"))
+    out = tmp_path / "out"
+    args = ["--feed", tmp_path / "feed", "--messages", tmp_path / "messages", "--out", out, "--as-of", "2024-01-08"]
+    monkeypatch.setattr("sys.argv", ["daily_report", *map(str, args)])
+    daily_report.main()
+    lines = text_of(out / "report.txt", ".txt").splitlines()
+    assert lines[0] == "Report №-2 for 07-01-2024:"
+    assert lines[-1].endswith(
+        "{'Day 1': 1.0, 'Day 2': 0.74, 'Day 3': 0.7, 'Day 4': 0.75, 'Day 5': 0.76, 'Day 6': 0.69, 'Day 7': 0.64}"
+    )
