@@ -216,7 +216,9 @@ def oracle_sql() -> dict[str, str]:
         f"max(CASE WHEN duration = {n} THEN retention END) AS \"Day {n}\"" for n in range(1, 8)
     )
     kpi_ctes = (_OVERLAP, _COHORTS, _WEEK, _kpis_sql(COHORT_AS_OF))
-    week_text = " || ', ' || ".join(f"'''Day {n}'': ' || coalesce(CAST(day_{n} AS VARCHAR), 'nan')" for n in range(1, 8))
+    week_text = " || ', ' || ".join(
+        f"'''Day {n}'': ' || coalesce(CAST(day_{n} AS VARCHAR), 'nan')" for n in range(1, 8)
+    )
     indent = " " * 12
 
     return {
@@ -283,7 +285,8 @@ def oracle_sql() -> dict[str, str]:
         "report_text": _with(
             f"""
             SELECT * FROM (
-              SELECT CAST(1 AS BIGINT) AS line_no, 'Report №-2 for ' || strftime(report_date, '%d-%m-%Y') || ':' AS line FROM kpis
+              SELECT CAST(1 AS BIGINT) AS line_no,
+                     'Report №-2 for ' || strftime(report_date, '%d-%m-%Y') || ':' AS line FROM kpis
               UNION ALL SELECT 2, 'Feed DAU = ' || feed_dau FROM kpis
               UNION ALL SELECT 3, '{indent}Messenger DAU = ' || messenger_dau FROM kpis
               UNION ALL SELECT 4, 'Views = ' || views FROM kpis

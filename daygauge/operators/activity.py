@@ -29,8 +29,8 @@ def user_day_activity(feed: DataFrame, messages: DataFrame) -> DataFrame:
     feed_counts = feed.withColumn("dt", day(feed)).selectExpr(
         "user_id",
         "dt",
-        "bigint(action = 'view') AS views",
-        "bigint(action = 'like') AS likes",
+        "bigint(action <=> 'view') AS views",
+        "bigint(action <=> 'like') AS likes",
         "1L AS feed_actions",
         "0L AS messages",
     )

@@ -60,10 +60,15 @@ def message_actions(spark: SparkSession, path: str | None = None, *, table: str
     return conform(df, MESSAGE_CONTRACT)
 
 
-def preview_day(actions: DataFrame, d: date, n: int = 10) -> DataFrame:
-    """``n`` rows of one day, all columns, ordered by the columns of the contract."""
-    order = [c for c in ("time", "user_id", "post_id", "receiver_id", "action") if c in actions.columns]
-    return on_day(actions, d).orderBy(*order).limit(n)
+def preview_day(actions: DataFrame, d: date, n: int = 10, ordered: bool = True) -> DataFrame:
+    """``n`` rows of one day, all columns: the first by the columns of the contract,
+    or with ``ordered=False`` any ``n``, which stops reading as soon as it has them.
+    """
+    rows = on_day(actions, d)
+    if ordered:
+        contract = ("time", "user_id", "post_id", "receiver_id", "action")
+        rows = rows.orderBy(*(c for c in contract if c in actions.columns))
+    return rows.limit(n)
 
 
 def sql_frame(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
