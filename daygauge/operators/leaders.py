@@ -22,20 +22,21 @@ def top_by_count(actions: DataFrame, id_col: str, metric: str, k: int = TOP) ->
     return counts.orderBy(*leader_order(metric, id_col)).limit(k)
 
 
-def top_posts(feed: DataFrame, k: int = TOP) -> DataFrame:
+def post_counts(feed: DataFrame) -> DataFrame:
+    """Views and likes of every post."""
+    return feed.groupBy("post_id").agg(*exprs(f"{VIEWS} AS views", f"{LIKES} AS likes"))
+
+
+def top_posts(feed: DataFrame, k: int = TOP, counts: DataFrame | None = None) -> DataFrame:
     """The ``k`` posts with most views: views, likes, likes per view (unrounded), distinct users.
 
     Distinct users need every (post, user) pair, which is close to the whole log,
     so they are counted for the winners only: views and likes pick the ``k`` posts
     first, and a second scan of two columns keeps the rows of those posts.
+    ``counts`` may give ``post_counts`` from a stored table instead of the first scan.
     """
     order = leader_order("views", "post_id")
-    leaders = (
-        feed.groupBy("post_id")
-        .agg(*exprs(f"{VIEWS} AS views", f"{LIKES} AS likes"))
-        .orderBy(*order)
-        .limit(k)
-    )
+    leaders = (post_counts(feed) if counts is None else counts).orderBy(*order).limit(k)
     if k <= BROADCAST_ROWS:
         leaders = F.broadcast(leaders)
     return (

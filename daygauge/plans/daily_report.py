@@ -12,7 +12,6 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from daygauge.functions import clock
-from daygauge.operators.activity import user_day_activity
 from daygauge.operators.leaders import leader_order, top_by_count, top_posts
 from daygauge.plans import rollup as ru
 from daygauge.plans.report import chart_tables, kpi_row, report_text
@@ -39,31 +38,38 @@ def write_daily_report(
 ) -> None:
     """Write the whole report for ``as_of`` under ``out``.
 
-    With ``rollup_path``, yesterday is folded into that table, which must already
-    hold the earlier days. Without it, the rollup of all history is written once
-    to the shared folder, so that nothing below goes back to the logs for it.
+    With ``rollup_path``, yesterday and what there is of today are folded into the
+    tables there, which must already hold the earlier days. Of the logs only those
+    two days are read, besides the feed rows of the top posts. Without it, the user-day rollup of all history
+    is written once to the shared folder and serves all outputs that need users.
     """
     spark = feed.sparkSession
     if rollup_path:
-        ru.fold_day(feed, messages, rollup_path, clock.yesterday(as_of))
+        ru.fold_days(feed, messages, rollup_path, clock.yesterday(as_of), as_of)
+        posts = top_posts(feed, counts=ru.rolled_post_counts(ru.read_days(spark, rollup_path, ru.POSTS)))
+        receivers = ru.rolled_top(
+            ru.read_days(spark, rollup_path, ru.RECEIVERS), "receiver_id", "messages", "received"
+        )
     else:
         rollup_path = ru.shared_path(spark, fallback=f"{out}/work")
-        ru.write_user_days(user_day_activity(feed, messages), rollup_path)
-    rollup = ru.read_user_days(spark, rollup_path)
+        ru.write_rollup(feed, messages, rollup_path, names=(ru.USERS,))
+        posts = top_posts(feed)
+        receivers = top_by_count(messages, "receiver_id", "received")
+    user_days = ru.read_days(spark, rollup_path, ru.USERS)
 
-    write_text(report_text(kpi_row(rollup, ru.feed_days(rollup), as_of)), f"{out}/report.txt")
+    write_text(report_text(kpi_row(user_days, ru.feed_days(user_days), as_of)), f"{out}/report.txt")
 
     window = clock.last_days(as_of)
     charts = chart_tables(
-        ru.rolled_feed_metrics(rollup, *window), ru.rolled_message_metrics(rollup, *window), as_of
+        ru.rolled_feed_metrics(user_days, *window), ru.rolled_message_metrics(user_days, *window), as_of
     )
     write_csv(charts, f"{out}/charts.csv")
 
     leaders = {
-        POSTS_CSV: (top_posts(feed), "post_id", "views"),
-        MAILERS_CSV: (ru.rolled_top_users(rollup, "messages", "sent"), "user_id", "sent"),
-        RECEIVERS_CSV: (top_by_count(messages, "receiver_id", "received"), "receiver_id", "received"),
-        FEED_CSV: (ru.rolled_top_users(rollup, "feed_actions", "actions"), "user_id", "actions"),
+        POSTS_CSV: (posts, "post_id", "views"),
+        MAILERS_CSV: (ru.rolled_top(user_days, "user_id", "messages", "sent"), "user_id", "sent"),
+        RECEIVERS_CSV: (receivers, "receiver_id", "received"),
+        FEED_CSV: (ru.rolled_top(user_days, "user_id", "feed_actions", "actions"), "user_id", "actions"),
     }
     for name, (top, id_col, metric) in leaders.items():
         export_ranked_csv(top, f"{out}/{name}", leader_order(metric, id_col), HEADINGS[name])
@@ -76,7 +82,7 @@ def main() -> None:
     parser.add_argument("--out", required=True, help="folder for the report")
     parser.add_argument("--as-of", type=date.fromisoformat, help="today's date (default: now in --tz)")
     parser.add_argument("--tz", default="UTC", help="time zone that decides today's date")
-    parser.add_argument("--rollup", help="stored user-day rollup to extend and use")
+    parser.add_argument("--rollup", help="folder of the stored day rollups to extend and use")
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("daygauge-daily-report").getOrCreate()

@@ -1,23 +1,48 @@
-"""The user-day rollup as a stored table.
+"""Day rollups of the two logs as stored tables.
 
-One row per user and day, partitioned by day. A daily run folds in yesterday's
-log (one day's scan) and answers every user-level question from the table, which
-has neither the repeated actions nor the post and receiver columns of the logs.
+Three tables hold one row per user, post or receiver and day, partitioned by day:
+a fraction of the logs, because repeated actions are counted. All their numbers
+add up over days, so a daily run folds in the newest days of the logs and answers
+the report from the tables; only the distinct users of the top posts do not add up
+and still need the feed.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygauge.functions.columns import between_days, ctr_pct, exprs, on_day
+from daygauge.functions.columns import LIKES, VIEWS, between_days, ctr_pct, day, exprs
 from daygauge.operators.activity import user_day_activity
 from daygauge.operators.leaders import TOP, leader_order
 
-SCHEMA = "user_id bigint, views bigint, likes bigint, feed_actions bigint, messages bigint, dt date"
+USERS, POSTS, RECEIVERS = "user_days", "post_days", "receiver_days"
+SCHEMAS = {
+    USERS: "user_id bigint, views bigint, likes bigint, feed_actions bigint, messages bigint, dt date",
+    POSTS: "post_id bigint, views bigint, likes bigint, dt date",
+    RECEIVERS: "receiver_id bigint, messages bigint, dt date",
+}
+
+
+def post_days(feed: DataFrame) -> DataFrame:
+    """Views and likes per post and day."""
+    return feed.groupBy("post_id", day(feed).alias("dt")).agg(*exprs(f"{VIEWS} AS views", f"{LIKES} AS likes"))
+
+
+def receiver_days(messages: DataFrame) -> DataFrame:
+    """Messages per receiver and day."""
+    return messages.groupBy("receiver_id", day(messages).alias("dt")).agg(F.count("*").alias("messages"))
+
+
+BUILD: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
+    USERS: user_day_activity,
+    POSTS: lambda feed, messages: post_days(feed),
+    RECEIVERS: lambda feed, messages: receiver_days(messages),
+}
 
 
 def shared_path(spark: SparkSession, fallback: str) -> str:
@@ -25,14 +50,14 @@ def shared_path(spark: SparkSession, fallback: str) -> str:
     return f"{spark.conf.get('spark.checkpoint.dir', None) or fallback}/daygauge-{uuid.uuid4().hex}"
 
 
-def write_user_days(activity: DataFrame, path: str) -> None:
-    """Write ``user_day_activity`` rows, replacing exactly the days they cover.
+def write_days(table: DataFrame, path: str) -> None:
+    """Write rows that have a ``dt``, replacing exactly the days they cover.
 
     Rows are rebalanced by day, so a day becomes a few files of even size: small
     days are not scattered over all tasks and a hot day is split.
     """
     (
-        activity.hint("rebalance", "dt")
+        table.hint("rebalance", "dt")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt")
@@ -40,24 +65,30 @@ def write_user_days(activity: DataFrame, path: str) -> None:
     )
 
 
-def fold_day(feed: DataFrame, messages: DataFrame, path: str, d: date) -> None:
-    """Add one day to the table; running it again replaces that day."""
-    write_user_days(user_day_activity(on_day(feed, d), on_day(messages, d)), path)
+def write_rollup(feed: DataFrame, messages: DataFrame, path: str, names: tuple[str, ...] = tuple(BUILD)) -> None:
+    """Build the named tables from all rows of the logs."""
+    for name in names:
+        write_days(BUILD[name](feed, messages), f"{path}/{name}")
 
 
-def read_user_days(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SCHEMA).parquet(path)
+def fold_days(feed: DataFrame, messages: DataFrame, path: str, first: date, last: date) -> None:
+    """Add a run of days to all tables; folding a day again replaces it."""
+    write_rollup(between_days(feed, first, last), between_days(messages, first, last), path)
 
 
-def feed_days(rollup: DataFrame) -> DataFrame:
+def read_days(spark: SparkSession, path: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{path}/{name}")
+
+
+def feed_days(user_days: DataFrame) -> DataFrame:
     """The feed's (user_id, dt); every operator that needs only those accepts it."""
-    return rollup.where(F.col("feed_actions") > 0).select("user_id", "dt")
+    return user_days.where(F.col("feed_actions") > 0).select("user_id", "dt")
 
 
-def rolled_feed_metrics(rollup: DataFrame, first: date, last: date) -> DataFrame:
+def rolled_feed_metrics(user_days: DataFrame, first: date, last: date) -> DataFrame:
     """``daily_feed_metrics`` from the rollup: users are rows, so nothing is counted distinct."""
     return (
-        between_days(rollup, first, last)
+        between_days(user_days, first, last)
         .where(F.col("feed_actions") > 0)
         .groupBy("dt")
         .agg(
@@ -72,19 +103,22 @@ def rolled_feed_metrics(rollup: DataFrame, first: date, last: date) -> DataFrame
     )
 
 
-def rolled_message_metrics(rollup: DataFrame, first: date, last: date) -> DataFrame:
+def rolled_message_metrics(user_days: DataFrame, first: date, last: date) -> DataFrame:
     """``daily_message_metrics`` from the rollup."""
     return (
-        between_days(rollup, first, last)
+        between_days(user_days, first, last)
         .where(F.col("messages") > 0)
         .groupBy("dt")
         .agg(*exprs("sum(messages) AS messages", "count(*) AS users"))
     )
 
 
-def rolled_top_users(rollup: DataFrame, count_col: str, metric: str, k: int = TOP) -> DataFrame:
-    """``top_by_count`` by user from the rollup; ``count_col`` is feed_actions or messages."""
-    counts = (
-        rollup.where(F.col(count_col) > 0).groupBy("user_id").agg(F.sum(count_col).alias(metric))
-    )
-    return counts.orderBy(*leader_order(metric, "user_id")).limit(k)
+def rolled_post_counts(post_days: DataFrame) -> DataFrame:
+    """``leaders.post_counts`` from the rollup."""
+    return post_days.groupBy("post_id").agg(*exprs("sum(views) AS views", "sum(likes) AS likes"))
+
+
+def rolled_top(days: DataFrame, id_col: str, count_col: str, metric: str, k: int = TOP) -> DataFrame:
+    """``leaders.top_by_count`` from the rollup: the ids with the largest sums of ``count_col``."""
+    counts = days.where(F.col(count_col) > 0).groupBy(id_col).agg(F.sum(count_col).alias(metric))
+    return counts.orderBy(*leader_order(metric, id_col)).limit(k)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daygauge.functions.clock import last_days
-from daygauge.operators import activity, daily, leaders, overlap, retention
+from daygauge.operators import daily, leaders, overlap, retention
 from daygauge.plans import daily_report, report
 from daygauge.plans import rollup as ru
 from daygauge.sources import events
@@ -109,19 +109,24 @@ def test_charts_equal_the_series(logs):
 def test_rollup_answers_equal_the_log_answers(spark, logs, tmp_path):
     feed, messages = logs
     path = str(tmp_path / "rollup")
-    ru.write_user_days(activity.user_day_activity(feed, messages), path)
-    rollup = ru.read_user_days(spark, path)
-    assert rollup.schema["dt"].dataType.simpleString() == "date"
+    ru.write_rollup(feed, messages, path)
+    users, posts, receivers = (ru.read_days(spark, path, name) for name in (ru.USERS, ru.POSTS, ru.RECEIVERS))
+    assert users.schema["dt"].dataType.simpleString() == "date"
     window = last_days(date(2024, 1, 31))
-    assert tuples(ru.rolled_feed_metrics(rollup, *window)) == tuples(daily.daily_feed_metrics(feed, *window))
-    assert tuples(ru.rolled_message_metrics(rollup, *window)) == tuples(daily.daily_message_metrics(messages, *window))
+    assert tuples(ru.rolled_feed_metrics(users, *window)) == tuples(daily.daily_feed_metrics(feed, *window))
+    assert tuples(ru.rolled_message_metrics(users, *window)) == tuples(daily.daily_message_metrics(messages, *window))
     for column, log in (("feed_actions", feed), ("messages", messages)):
-        assert tuples(ru.rolled_top_users(rollup, column, "n")) == tuples(leaders.top_by_count(log, "user_id", "n"))
+        rolled = ru.rolled_top(users, "user_id", column, "n")
+        assert rolled.collect() == leaders.top_by_count(log, "user_id", "n").collect()
+    rolled = ru.rolled_top(receivers, "receiver_id", "messages", "n")
+    assert rolled.collect() == leaders.top_by_count(messages, "receiver_id", "n").collect()
+    assert tuples(ru.rolled_post_counts(posts)) == tuples(leaders.post_counts(feed))
+    assert leaders.top_posts(feed, counts=ru.rolled_post_counts(posts)).collect() == leaders.top_posts(feed).collect()
     classes = ("feed_user", "messenger_user", "dt", "use_type")
-    assert tuples(overlap.with_use_type(rollup).select(*classes)) == tuples(overlap.user_overlap(feed, messages))
-    assert tuples(retention.cohort_activity(ru.feed_days(rollup))) == tuples(retention.cohort_activity(feed))
+    assert tuples(overlap.with_use_type(users).select(*classes)) == tuples(overlap.user_overlap(feed, messages))
+    assert tuples(retention.cohort_activity(ru.feed_days(users))) == tuples(retention.cohort_activity(feed))
     # Small days are not scattered over all tasks.
-    assert len(glob.glob(f"{path}/dt=2024-01-30/part-*")) == 1
+    assert len(glob.glob(f"{path}/user_days/dt=2024-01-30/part-*")) == 1
 
 
 def test_folding_day_by_day_equals_the_whole(spark, tmp_path):
@@ -130,10 +135,10 @@ def test_folding_day_by_day_equals_the_whole(spark, tmp_path):
     messages = spark.createDataFrame(message_rows, cases.MESSAGE_SCHEMA)
     path = str(tmp_path / "rollup")
     for k in (0, 1, 2, 3, 2):  # folding a day again changes nothing
-        ru.fold_day(feed, messages, path, D + timedelta(days=k))
-    columns = ("user_id", "dt", "views", "likes", "feed_actions", "messages")
-    whole = activity.user_day_activity(feed, messages).select(*columns)
-    assert tuples(ru.read_user_days(spark, path).select(*columns)) == tuples(whole)
+        ru.fold_days(feed, messages, path, D + timedelta(days=k), D + timedelta(days=k))
+    for name, build in ru.BUILD.items():
+        whole, folded = build(feed, messages), ru.read_days(spark, path, name)
+        assert tuples(folded.select(*whole.columns)) == tuples(whole)
 
 
 def test_a_hot_day_is_split_over_files(spark, tmp_path):
@@ -147,11 +152,11 @@ def test_a_hot_day_is_split_over_files(spark, tmp_path):
     path = str(tmp_path / "rollup")
     try:
         spark.conf.set(advisory, "256KB")
-        ru.write_user_days(hot, path)
+        ru.write_days(hot, f"{path}/{ru.USERS}")
     finally:
         spark.conf.set(advisory, before)
-    assert len(glob.glob(f"{path}/dt={D}/part-*")) > 1
-    assert ru.read_user_days(spark, path).count() == 400_000
+    assert len(glob.glob(f"{path}/{ru.USERS}/dt={D}/part-*")) > 1
+    assert ru.read_days(spark, path, ru.USERS).count() == 400_000
 
 
 def test_shared_path_prefers_the_cluster_folder(spark):
@@ -168,8 +173,8 @@ def test_daily_job(spark, logs, tmp_path, stored):
     out, path = str(tmp_path / "out"), None
     if stored:
         path = str(tmp_path / "rollup")
-        earlier = activity.user_day_activity(feed, messages).where(F.col("dt") < F.lit(date(2024, 1, 30)))
-        ru.write_user_days(earlier, path)
+        earlier = F.col("time") < F.lit("2024-01-30").cast("timestamp_ntz")
+        ru.write_rollup(feed.where(earlier), messages.where(earlier), path)
     daily_report.write_daily_report(feed, messages, as_of, out, path)
 
     text = text_of(f"{out}/report.txt", ".txt").rstrip("\n")
@@ -191,6 +196,18 @@ def test_daily_job(spark, logs, tmp_path, stored):
         assert rows[0] == head and rows[1] == first and len(rows) == 101
 
 
+def test_both_ways_count_the_rows_of_today(spark, logs, tmp_path):
+    feed, messages = logs
+    as_of = date(2024, 1, 30)  # the logs hold rows of this day
+    path = str(tmp_path / "rollup")
+    ru.fold_days(feed, messages, path, date(2024, 1, 1), date(2024, 1, 28))
+    daily_report.write_daily_report(feed, messages, as_of, str(tmp_path / "logs"))
+    daily_report.write_daily_report(feed, messages, as_of, str(tmp_path / "rolled"), path)
+    for name in ("report.txt", "charts.csv", *daily_report.HEADINGS):
+        texts = [text_of(tmp_path / way / name, name[-4:]) for way in ("logs", "rolled")]
+        assert texts[0] == texts[1]
+
+
 def test_command_line(spark, logs, tmp_path, monkeypatch):
     feed, messages = logs
     feed.withColumn("dt", F.to_date("time")).write.partitionBy("dt").parquet(str(tmp_path / "feed"))
