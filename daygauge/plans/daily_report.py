@@ -63,7 +63,7 @@ def write_daily_report(
     charts = chart_tables(
         ru.rolled_feed_metrics(user_days, *window), ru.rolled_message_metrics(user_days, *window), as_of
     )
-    write_csv(charts, f"{out}/charts.csv")
+    write_csv(charts, f"{out}/charts.csv", order=("title", "panel", "dt"))
 
     leaders = {
         POSTS_CSV: (posts, "post_id", "views"),

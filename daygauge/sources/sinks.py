@@ -18,10 +18,11 @@ def with_rank_index(top: DataFrame, order: Sequence[Column]) -> DataFrame:
     return top.select(index.cast("bigint").alias("row_index"), "*")
 
 
-def write_csv(table: DataFrame, path: str) -> None:
-    """Write a report table of a few rows as one CSV file with a header."""
+def write_csv(table: DataFrame, path: str, order: Sequence[Column | str]) -> None:
+    """Write a report table of a few rows as one sorted CSV file with a header."""
     (
         table.coalesce(1)
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("header", True)
         .option("emptyValue", "")
@@ -34,8 +35,9 @@ def export_ranked_csv(
     top: DataFrame, path: str, order: Sequence[Column], headings: dict[str, str] | None = None
 ) -> None:
     """Write a top-k with its rank index; the index column's heading is blank."""
-    ranked = with_rank_index(top, order)
-    write_csv(ranked.withColumnsRenamed({**(headings or {}), "row_index": ""}), path)
+    names = {**(headings or {}), "row_index": ""}
+    ranked = with_rank_index(top, order).withColumnsRenamed(names)
+    write_csv(ranked, path, order=[F.col(ranked.columns[0])])
 
 
 def write_text(lines: DataFrame, path: str) -> None:

@@ -181,7 +181,7 @@ def test_daily_job(spark, logs, tmp_path, stored):
     assert text == report.report_text(report.daily_kpis(feed, messages, as_of)).first()[0]
     charts = list(csv.reader(text_of(f"{out}/charts.csv", ".csv").splitlines()))
     assert charts[0] == ["title", "panel", "dt", "value"] and len(charts) == 43
-    assert charts[1][:2] == ['CTR for  "24-01-2024 - 30-01-2024"', "CTR, %"]
+    assert charts[1][:2] == ['CTR for  "24-01-2024 - 30-01-2024"', "CTR, %"] and charts[1:] == sorted(charts[1:])
 
     posts = list(csv.reader(text_of(f"{out}/Top_100_posts.csv", ".csv").splitlines()))
     assert posts[0] == ["", "post_id", "Views", "Likes", "Like/View CTR for TOP", "Unique users"]
