@@ -38,14 +38,14 @@ def write_daily_report(
 ) -> None:
     """Write the whole report for ``as_of`` under ``out``.
 
-    With ``rollup_path``, yesterday and what there is of today are folded into the
-    tables there, which must already hold the earlier days. Of the logs only those
-    two days are read, besides the feed rows of the top posts. Without it, the user-day rollup of all history
-    is written once to the shared folder and serves all outputs that need users.
+    With ``rollup_path``, the tables there are brought up to date and answer all but
+    the distinct users of the top posts; of the logs only the newest days are read
+    besides. Without it, the user-day rollup of all history is written once to the
+    shared folder and serves all outputs that need users.
     """
     spark = feed.sparkSession
     if rollup_path:
-        ru.fold_days(feed, messages, rollup_path, clock.yesterday(as_of), as_of)
+        ru.extend_rollup(feed, messages, rollup_path, as_of)
         posts = top_posts(feed, counts=ru.rolled_post_counts(ru.read_days(spark, rollup_path, ru.POSTS)))
         receivers = ru.rolled_top(
             ru.read_days(spark, rollup_path, ru.RECEIVERS), "receiver_id", "messages", "received"

@@ -25,6 +25,7 @@ CTR = %s%%
 Messages = %d
             Engaged in both feed and messenger = %d
             Last week retention = {%s}"""
+RETENTION = "'%s': %%s"
 
 # Chart title, panel, and the metric drawn in it.
 FEED_CHARTS = (
@@ -84,9 +85,8 @@ def daily_kpis(feed: DataFrame, messages: DataFrame, as_of: date) -> DataFrame:
 
 def report_text(kpis: DataFrame, horizon: int = WEEK) -> DataFrame:
     """The report text in one row, from the row of ``daily_kpis``."""
-    days = (
-        f"concat(\"'{day_label(n)}': \", {number_text(f'day_{n}')})" for n in range(1, horizon + 1)
-    )
+    days = range(1, horizon + 1)
+    template = TEXT.replace("{%s}", "{" + ", ".join(RETENTION % day_label(n) for n in days) + "}")
     values = exprs(
         "date_format(report_date, 'dd-MM-yyyy')",
         "feed_dau",
@@ -96,9 +96,9 @@ def report_text(kpis: DataFrame, horizon: int = WEEK) -> DataFrame:
         number_text("ctr_pct"),
         "messages",
         "both_users",
-        f"concat_ws(', ', {', '.join(days)})",
+        *(number_text(f"day_{n}") for n in days),
     )
-    return kpis.select(F.format_string(TEXT, *values).alias("text"))
+    return kpis.select(F.format_string(template, *values).alias("text"))
 
 
 def report_lines(kpis: DataFrame, horizon: int = WEEK) -> DataFrame:

@@ -13,9 +13,11 @@ import uuid
 from collections.abc import Callable
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daygauge.functions.clock import yesterday
 from daygauge.functions.columns import LIKES, VIEWS, between_days, ctr_pct, day, exprs
 from daygauge.operators.activity import user_day_activity
 from daygauge.operators.leaders import TOP, leader_order
@@ -38,10 +40,11 @@ def receiver_days(messages: DataFrame) -> DataFrame:
     return messages.groupBy("receiver_id", day(messages).alias("dt")).agg(F.count("*").alias("messages"))
 
 
+# Written in this order; the last one tells how far the tables reach.
 BUILD: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
-    USERS: user_day_activity,
     POSTS: lambda feed, messages: post_days(feed),
     RECEIVERS: lambda feed, messages: receiver_days(messages),
+    USERS: user_day_activity,
 }
 
 
@@ -76,6 +79,29 @@ def fold_days(feed: DataFrame, messages: DataFrame, path: str, first: date, last
     write_rollup(between_days(feed, first, last), between_days(messages, first, last), path)
 
 
+def last_day(spark: SparkSession, path: str) -> date | None:
+    """The newest day of the tables; None where there are none yet."""
+    try:
+        return read_days(spark, path, USERS).agg(F.max("dt")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def extend_rollup(feed: DataFrame, messages: DataFrame, path: str, as_of: date) -> None:
+    """Bring the tables up to ``as_of``; the first call builds them from all history.
+
+    The newest stored day was perhaps still running when it was folded, so it is
+    folded again, as is yesterday, for rows that came late.
+    """
+    last = last_day(feed.sparkSession, path)
+    if last is None:
+        write_rollup(*(log.where(day(log) <= F.lit(as_of)) for log in (feed, messages)), path)
+    else:
+        fold_days(feed, messages, path, min(last, yesterday(as_of)), as_of)
+
+
 def read_days(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{path}/{name}")
 

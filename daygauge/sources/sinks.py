@@ -1,4 +1,4 @@
-"""Writers. These are the only operators that start Spark jobs."""
+"""Writers of the small report tables; each starts a Spark job."""
 
 from __future__ import annotations
 

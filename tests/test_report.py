@@ -2,7 +2,7 @@
 
 import csv
 import glob
-from datetime import date, timedelta
+from datetime import date, time, timedelta
 
 import cases
 import pytest
@@ -141,6 +141,38 @@ def test_folding_day_by_day_equals_the_whole(spark, tmp_path):
         assert tuples(folded.select(*whole.columns)) == tuples(whole)
 
 
+def test_extending_catches_up(spark, tmp_path):
+    rows, message_rows = cases.random_logs(seed=6, users=20, rows=400, days=6)
+    path = str(tmp_path / "rollup")
+
+    def known_at(log, day, hour):
+        stop = cases.at(day, time(hour))
+        return [r for r in log if r[-1] < stop]
+
+    # First run on day 1, a run in the middle of day 2, no run on day 3, and one after the end.
+    for k, hour in ((1, 9), (2, 12), (4, 9), (7, 0)):
+        as_of = D + timedelta(days=k)
+        feed = spark.createDataFrame(known_at(rows, as_of, hour), cases.FEED_SCHEMA)
+        messages = spark.createDataFrame(known_at(message_rows, as_of, hour), cases.MESSAGE_SCHEMA)
+        ru.extend_rollup(feed, messages, path, as_of)
+        for name, build in ru.BUILD.items():
+            whole, stored = build(feed, messages), ru.read_days(spark, path, name)
+            assert tuples(stored.select(*whole.columns)) == tuples(whole)
+
+
+def test_tables_left_by_a_broken_run_are_folded_again(spark, tmp_path):
+    rows, message_rows = cases.random_logs(seed=7, users=20, rows=200, days=3)
+    feed = spark.createDataFrame(rows, cases.FEED_SCHEMA)
+    messages = spark.createDataFrame(message_rows, cases.MESSAGE_SCHEMA)
+    path = str(tmp_path / "rollup")
+    ru.write_rollup(feed.limit(5), messages.limit(5), path, names=(ru.POSTS,))
+    assert ru.last_day(spark, path) is None
+    ru.extend_rollup(feed, messages, path, D + timedelta(days=3))
+    assert tuples(ru.read_days(spark, path, ru.POSTS).select("post_id", "dt", "views", "likes")) == tuples(
+        ru.post_days(feed)
+    )
+
+
 def test_a_hot_day_is_split_over_files(spark, tmp_path):
     advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(advisory)
