@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daygauge.functions.clock import last_days, yesterday
 from daygauge.operators import activity, daily, leaders, overlap, retention
-from daygauge.plans import report, rollup
+from daygauge.plans import report
 from daygauge.sources import events, logs, sinks
 
 AS_OF = date(2024, 1, 31)
@@ -66,7 +66,7 @@ def _both(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
 
 def _exported_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the post leaderboard as CSV and read the file back."""
-    path = rollup.shared_path(spark, fallback=tempfile.gettempdir())
+    path = sinks.shared_path(spark, fallback=tempfile.gettempdir())
     order = leaders.leader_order("views", "post_id")
     sinks.export_ranked_csv(leaders.top_posts(feed(spark, sf_dir)), path, order)
     schema = "row_index bigint, post_id bigint, views bigint, likes bigint, ctr double, users bigint"

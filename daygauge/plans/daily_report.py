@@ -16,7 +16,7 @@ from daygauge.operators.leaders import leader_order, top_by_count, top_posts
 from daygauge.plans import rollup as ru
 from daygauge.plans.report import chart_tables, kpi_row, report_text
 from daygauge.sources.logs import feed_actions, message_actions
-from daygauge.sources.sinks import export_ranked_csv, write_csv, write_text
+from daygauge.sources.sinks import export_ranked_csv, shared_path, write_csv, write_text
 
 # File names and column headings of the exported tables.
 POSTS_CSV, MAILERS_CSV, RECEIVERS_CSV, FEED_CSV = (
@@ -51,7 +51,7 @@ def write_daily_report(
             ru.read_days(spark, rollup_path, ru.RECEIVERS), "receiver_id", "messages", "received"
         )
     else:
-        rollup_path = ru.shared_path(spark, fallback=f"{out}/work")
+        rollup_path = shared_path(spark, fallback=f"{out}/work")
         ru.write_rollup(feed, messages, rollup_path, names=(ru.USERS,))
         posts = top_posts(feed)
         receivers = top_by_count(messages, "receiver_id", "received")

@@ -9,7 +9,6 @@ and still need the feed.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -48,11 +47,6 @@ BUILD: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
 }
 
 
-def shared_path(spark: SparkSession, fallback: str) -> str:
-    """A fresh path in the cluster's shared folder, or under ``fallback`` where none is named."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or fallback}/daygauge-{uuid.uuid4().hex}"
-
-
 def write_days(table: DataFrame, path: str) -> None:
     """Write rows that have a ``dt``, replacing exactly the days they cover.
 

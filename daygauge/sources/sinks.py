@@ -1,14 +1,20 @@
-"""Writers of the small report tables; each starts a Spark job."""
+"""Where and how results are written; every writer starts a Spark job."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+def shared_path(spark: SparkSession, fallback: str) -> str:
+    """A fresh path in the cluster's shared folder, or under ``fallback`` where none is named."""
+    return f"{spark.conf.get('spark.checkpoint.dir', None) or fallback}/daygauge-{uuid.uuid4().hex}"
+
+
 def with_rank_index(top: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Add a leading 0-based ``row_index`` in the given order.
 

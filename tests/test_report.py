@@ -12,7 +12,7 @@ from daygauge.functions.clock import last_days
 from daygauge.operators import daily, leaders, overlap, retention
 from daygauge.plans import daily_report, report
 from daygauge.plans import rollup as ru
-from daygauge.sources import events
+from daygauge.sources import events, sinks
 
 D = cases.D
 
@@ -192,7 +192,7 @@ def test_a_hot_day_is_split_over_files(spark, tmp_path):
 
 
 def test_shared_path_prefers_the_cluster_folder(spark):
-    assert ru.shared_path(spark, "/elsewhere").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert sinks.shared_path(spark, "/elsewhere").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
 # --- job ----------------------------------------------------------------------
