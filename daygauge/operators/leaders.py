@@ -34,17 +34,20 @@ def top_posts(feed: DataFrame, k: int = TOP, counts: DataFrame | None = None) ->
     so they are counted for the winners only: views and likes pick the ``k`` posts
     first, and a second scan of two columns keeps the rows of those posts.
     ``counts`` may give ``post_counts`` from a stored table instead of the first scan.
+
+    The winners are broadcast. For a ``k`` too large for that, the users of all posts
+    are counted in one pass; a shuffled join would put a hot post into one task.
     """
     order = leader_order("views", "post_id")
-    leaders = (post_counts(feed) if counts is None else counts).orderBy(*order).limit(k)
+    users = F.countDistinct("user_id").alias("users")
     if k <= BROADCAST_ROWS:
-        leaders = F.broadcast(leaders)
+        leaders = (post_counts(feed) if counts is None else counts).orderBy(*order).limit(k)
+        rows = feed.select("post_id", "user_id").join(F.broadcast(leaders), "post_id")
+        posts = rows.groupBy("post_id", "views", "likes").agg(users)
+    else:
+        posts = feed.groupBy("post_id").agg(*exprs(f"{VIEWS} AS views", f"{LIKES} AS likes"), users)
     return (
-        feed.select("post_id", "user_id")
-        .join(leaders, "post_id")
-        .groupBy("post_id", "views", "likes")
-        .agg(F.countDistinct("user_id").alias("users"))
-        .selectExpr("post_id", "views", "likes", f"{ratio('likes', 'views')} AS ctr", "users")
+        posts.selectExpr("post_id", "views", "likes", f"{ratio('likes', 'views')} AS ctr", "users")
         .orderBy(*order)
         .limit(k)
     )

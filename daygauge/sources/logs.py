@@ -36,7 +36,7 @@ def conform(df: DataFrame, contract: dict) -> DataFrame:
     narrow = [
         name for name, kind in contract.items() if kind is _ID and not isinstance(types[name], T.LongType)
     ]
-    return df.withColumns({name: F.col(name).cast("bigint") for name in narrow})
+    return df.withColumns({name: F.col(name).cast("bigint") for name in narrow}) if narrow else df
 
 
 def _scan(spark: SparkSession, path: str | None, table: str | None) -> DataFrame:
