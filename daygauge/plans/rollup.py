@@ -87,7 +87,8 @@ def extend_rollup(feed: DataFrame, messages: DataFrame, path: str, as_of: date)
     """Bring the tables up to ``as_of``; the first call builds them from all history.
 
     The newest stored day was perhaps still running when it was folded, so it is
-    folded again, as is yesterday, for rows that came late.
+    folded again, as is yesterday, for rows that came late. For rows that come later
+    than that, call ``fold_days`` with their days.
     """
     last = last_day(feed.sparkSession, path)
     if last is None:
