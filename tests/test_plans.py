@@ -105,3 +105,17 @@ def test_a_day_partition_is_pruned(spark, tmp_path, logs):
     text = plan(daily.ctr_day(spark.read.parquet(path), date(2024, 1, 30)))
     assert "PartitionFilters: [isnotnull(dt" in text
     assert "ReadSchema: struct<action:string>" in text
+
+
+def test_kpis_from_the_rollup_prune_days_and_columns(spark, tmp_path, logs):
+    from daygauge.plans import report
+    from daygauge.plans import rollup as ru
+
+    path = str(tmp_path / "rollup")
+    ru.write_rollup(*logs, path, names=(ru.USERS,))
+    user_days = ru.read_days(spark, path, ru.USERS)
+    text = plan(report.kpi_row(user_days, ru.feed_days(user_days), date(2024, 1, 8)))
+    partitions = [line for line in text.splitlines() if line.startswith("PartitionFilters")]
+    assert len(partitions) == 2
+    assert "(dt" in partitions[0] and "= 2024-01-07)" in partitions[0] and "< 2024-01-08)" in partitions[1]
+    assert "ReadSchema: struct<user_id:bigint,feed_actions:bigint>" in text
