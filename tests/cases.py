@@ -76,3 +76,17 @@ def posts(feed, k):
 
 def top(ids, k):
     return sorted(Counter(ids).items(), key=lambda x: (-x[1], x[0]))[:k]
+
+
+def kpis(feed, messages, as_of):
+    """report_date, seven KPIs, seven retention values."""
+    d = as_of - timedelta(days=1)
+    feed_day = [r for r in feed if r[3].date() == d]
+    message_day = [r for r in messages if r[2].date() == d]
+    feed_users, senders = {r[0] for r in feed_day}, {r[0] for r in message_day}
+    views, likes = (sum(r[2] == kind for r in feed_day) for kind in ("view", "like"))
+    ctr = round(likes * 100 / views * 100) / 100 if views else None
+    both = len({u for u in feed_users & senders if u > 0})
+    week = {n: users / first for s, _, n, users, first in cohorts(feed) if s == as_of - timedelta(days=7)}
+    retention = [round(week[n] * 100) / 100 if n in week else None for n in range(1, 8)]
+    return (d, len(feed_users), len(senders), views, likes, ctr, len(message_day), both, *retention)

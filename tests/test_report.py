@@ -84,6 +84,16 @@ def test_kpis_equal_the_single_operators(logs):
         assert [row[f"day_{n}"] for n in range(1, 8)] == [week.get(n) for n in range(1, 8)]
 
 
+@pytest.mark.parametrize("seed", range(11, 17))
+def test_kpis_match_brute_force(spark, seed):
+    rows, message_rows = cases.random_logs(seed, users=6 * seed, rows=40 * seed, days=12, hot=0.35 * (seed % 2))
+    feed = spark.createDataFrame(rows, cases.FEED_SCHEMA).repartition(3)
+    messages = spark.createDataFrame(message_rows, cases.MESSAGE_SCHEMA)
+    for days in (1, 7, 8, 30):
+        as_of = D + timedelta(days=days)
+        assert tuple(report.daily_kpis(feed, messages, as_of).first()) == cases.kpis(rows, message_rows, as_of)
+
+
 def test_charts_equal_the_series(logs):
     feed, messages = logs
     as_of = date(2024, 1, 31)
