@@ -7,6 +7,7 @@ oracle states its query in another way than the Spark code wherever there is one
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 import tempfile
@@ -73,7 +74,26 @@ def _exported_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
 
 
+def _text_module(name: str):
+    """A module of the text operators, or None where they are not installed."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if missing.name is None or missing.name.split(".")[0] != name.split(".")[0]:
+            raise
+        return None
+
+
 def queries() -> dict[str, Query]:
+    text, pipeline = _text_module("daygauge.llm.queries"), _text_module("corpus_pipeline")
+    return {
+        **_log_queries(),
+        **(text.queries() if text else {}),
+        **({"pipeline": pipeline.run} if pipeline else {}),
+    }
+
+
+def _log_queries() -> dict[str, Query]:
     d = yesterday(AS_OF)
     window = last_days(AS_OF)
     return {
@@ -189,6 +209,15 @@ def _with(select: str, *ctes: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    text, pipeline = _text_module("daygauge.llm.queries"), _text_module("corpus_pipeline")
+    return {
+        **_log_sql(),
+        **(text.oracle_sql() if text else {}),
+        **({"pipeline": pipeline.ORACLE_SQL} if pipeline and pipeline.ORACLE_SQL else {}),
+    }
+
+
+def _log_sql() -> dict[str, str]:
     day = f"dt = DATE '{AS_OF}' - 1"
     week = f"dt BETWEEN DATE '{AS_OF}' - 7 AND DATE '{AS_OF}' - 1"
     label = f"(strftime(DATE '{AS_OF}' - 7, '%d-%m-%Y') || ' - ' || strftime(DATE '{AS_OF}' - 1, '%d-%m-%Y'))"
