@@ -5,9 +5,11 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from daygauge.llm import mixing, quality, recipes, sharding, urls
+from daygauge.llm import bpe, mixing, near_dup, quality, recipes, sharding, token_counts, urls
 from daygauge.llm.workspace import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +27,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.token_counts(_documents(spark, sf_dir), path).withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(_documents(spark, sf_dir)).drop("times")
 
@@ -34,6 +41,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.with_verdict(pages, rules=URL_RULES).select("page_id", "judged.*")
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_documents(spark, sf_dir))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.sharded(_documents(spark, sf_dir), shards=16)
     return placed.selectExpr(
@@ -41,6 +52,22 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = bpe.decoded(bpe.encoded(docs.select("doc_id", "text"), path).drop("text"), path)
+    return texts.select(
+        "doc_id",
+        F.expr("CAST(octet_length(ids) DIV 4 AS bigint)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(_documents(spark, sf_dir))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recipes.exact_groups(_documents(spark, sf_dir))
 
@@ -59,7 +86,16 @@ def _shipped(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    found = [op4_mixing, op5_url_filter, op7_sharding, op9_exact_dedup, op10_quality_rules]
+    found = [
+        op2_token_counts,
+        op4_mixing,
+        op5_url_filter,
+        op6_minhash_dedup,
+        op7_sharding,
+        op8_bpe,
+        op9_exact_dedup,
+        op10_quality_rules,
+    ]
     return {query.__name__: _shipped(query) for query in found}
 
 
