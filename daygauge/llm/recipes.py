@@ -80,6 +80,8 @@ def _members(rows: DataFrame, hashed, least: int, most: int) -> DataFrame:
     # Of a group, however large, each task sends one row.
     order = [(-F.col("length")).alias("shorter"), F.col("id").isNull().alias("none"), F.col("id"), F.col("row")]
     groups = lists.groupBy("recipe").agg(F.min(F.struct(*order)).alias("best"), F.count("*").alias("group_size"))
+    # Stored, so that the join below reads two plain sides, of which a large group can be split.
+    groups = stored(groups, "recipe-groups")
     return lists.join(groups, "recipe").select(
         "row",
         "id",
