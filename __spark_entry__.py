@@ -79,7 +79,7 @@ def _text_module(name: str):
     try:
         return importlib.import_module(name)
     except ModuleNotFoundError as missing:
-        if missing.name is None or missing.name.split(".")[0] != name.split(".")[0]:
+        if missing.name is None or not f"{name}.".startswith(f"{missing.name}."):
             raise
         return None
 
