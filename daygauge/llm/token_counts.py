@@ -38,7 +38,7 @@ def piece_table(docs: DataFrame, path: str, text: str, held: int = HELD) -> Data
     """The distinct pre-tokens of all documents: piece, n (occurrences), tokens."""
 
     def sent(counts: Counter) -> pa.RecordBatch:
-        columns = pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())
+        columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
         return pa.RecordBatch.from_arrays(columns, names=["piece", "n"])
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
