@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygauge.llm import bpe, mixing, near_dup, quality, recipes, sharding, token_counts, urls
+from daygauge.llm import bpe, mixing, near_dup, ppm, quality, recipes, sharding, token_counts, urls
 from daygauge.llm.workspace import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.scored(_documents(spark, sf_dir))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.token_counts(_documents(spark, sf_dir), path).withColumn("over_limit", F.col("n_tokens") > 1024)
@@ -87,6 +91,7 @@ def _shipped(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     found = [
+        op1_lm_scoring,
         op2_token_counts,
         op4_mixing,
         op5_url_filter,
