@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygauge.llm import bpe, mixing, near_dup, ppm, quality, recipes, sharding, token_counts, urls
+from daygauge.llm import bpe, mixing, near_dup, ppm, quality, recipes, run_index, sharding, token_counts, urls
 from daygauge.llm.workspace import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,16 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, sf_dir), path).withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op3_run_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_index.repeated_spans(_documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(_documents(spark, sf_dir)).drop("times")
 
@@ -93,6 +103,7 @@ def queries() -> dict[str, Query]:
     found = [
         op1_lm_scoring,
         op2_token_counts,
+        op3_run_index_dedup,
         op4_mixing,
         op5_url_filter,
         op6_minhash_dedup,
