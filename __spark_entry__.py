@@ -10,7 +10,6 @@ from __future__ import annotations
 import importlib
 import os
 import sys
-import tempfile
 from collections.abc import Callable
 from datetime import date
 
@@ -67,7 +66,7 @@ def _both(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
 
 def _exported_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the post leaderboard as CSV and read the file back."""
-    path = sinks.shared_path(spark, fallback=tempfile.gettempdir())
+    path = sinks.shared_path(spark)
     order = leaders.leader_order("views", "post_id")
     sinks.export_ranked_csv(leaders.top_posts(feed(spark, sf_dir)), path, order)
     schema = "row_index bigint, post_id bigint, views bigint, likes bigint, ctr double, users bigint"
@@ -131,6 +130,7 @@ def _log_queries() -> dict[str, Query]:
         "top_feed_users": _feed(lambda f: leaders.top_by_count(f, "user_id", "actions")),
         "export_ranked_csv": _exported_posts,
         "daily_kpis": _both(lambda f, m: report.daily_kpis(f, m, COHORT_AS_OF)),
+        "daily_kpis_without_cohort": _both(lambda f, m: report.daily_kpis(f, m, AS_OF)),
         "report_text": _both(lambda f, m: report.report_lines(report.daily_kpis(f, m, COHORT_AS_OF))),
         "chart_range_label": _both(lambda f, m: report.chart_series(f, m, AS_OF)),
     }
@@ -174,11 +174,14 @@ cohorts AS (
 retention AS (
   SELECT dt, start_date, duration, users / first_day_users AS retention FROM cohorts)"""
 
-_WEEK = f"""
+
+def _week_sql(as_of: date) -> str:
+    # Fixed value: the label of a day.
+    return f"""
 week AS (
   SELECT n AS duration, 'Day ' || n AS label, round_even(r.retention, 2) AS retention
   FROM range(1, 8) days(n)
-  JOIN (SELECT DISTINCT start_date FROM retention) s ON s.start_date = DATE '{COHORT_AS_OF}' - 7
+  JOIN (SELECT DISTINCT start_date FROM retention) s ON s.start_date = DATE '{as_of}' - 7
   LEFT JOIN retention r ON r.start_date = s.start_date AND r.duration = n)"""
 
 
@@ -244,7 +247,10 @@ def _log_sql() -> dict[str, str]:
     pivot = ",\n".join(
         f"max(CASE WHEN duration = {n} THEN retention END) AS \"Day {n}\"" for n in range(1, 8)
     )
-    kpi_ctes = (_OVERLAP, _COHORTS, _WEEK, _kpis_sql(COHORT_AS_OF))
+
+    def kpi_ctes(as_of: date) -> tuple[str, ...]:
+        return _OVERLAP, _COHORTS, _week_sql(as_of), _kpis_sql(as_of)
+
     week_text = " || ', ' || ".join(
         f"'''Day {n}'': ' || coalesce(CAST(day_{n} AS VARCHAR), 'nan')" for n in range(1, 8)
     )
@@ -290,7 +296,7 @@ def _log_sql() -> dict[str, str]:
         "cohort_activity": _with("SELECT * FROM cohorts", _COHORTS),
         "retention_long": _with("SELECT * FROM retention ORDER BY start_date, duration", _COHORTS),
         "retention_pivot": _with(f"SELECT start_date, {pivot} FROM retention GROUP BY start_date", _COHORTS),
-        "retention_week": _with("SELECT * FROM week", _COHORTS, _WEEK),
+        "retention_week": _with("SELECT * FROM week", _COHORTS, _week_sql(COHORT_AS_OF)),
         "views_series": series("feed", f"{_VIEWS} AS views"),
         "likes_series": series("feed", f"{_LIKES} AS likes"),
         "ctr_series": series("feed", f"{_CTR} AS ctr_pct"),
@@ -310,7 +316,9 @@ def _log_sql() -> dict[str, str]:
         "export_ranked_csv": _with(
             f"SELECT row_number() OVER (ORDER BY views DESC, post_id) - 1 AS row_index, * FROM ({posts})"
         ),
-        "daily_kpis": _with("SELECT * FROM kpis", *kpi_ctes),
+        "daily_kpis": _with("SELECT * FROM kpis", *kpi_ctes(COHORT_AS_OF)),
+        "daily_kpis_without_cohort": _with("SELECT * FROM kpis", *kpi_ctes(AS_OF)),
+        # The wording and layout of the report, and in chart_range_label the titles and panels.
         "report_text": _with(
             f"""
             SELECT * FROM (
@@ -324,7 +332,7 @@ def _log_sql() -> dict[str, str]:
               UNION ALL SELECT 7, 'Messages = ' || messages FROM kpis
               UNION ALL SELECT 8, '{indent}Engaged in both feed and messenger = ' || both_users FROM kpis
               UNION ALL SELECT 9, '{indent}Last week retention = {{' || {week_text} || '}}' FROM kpis)""",
-            *kpi_ctes,
+            *kpi_ctes(COHORT_AS_OF),
         ),
         "chart_range_label": _with(
             "SELECT * FROM ("

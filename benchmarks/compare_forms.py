@@ -16,6 +16,7 @@ import os
 import sys
 import tempfile
 import time
+from datetime import date, timedelta
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -27,6 +28,7 @@ from daygauge.operators import leaders, overlap, retention
 from daygauge.sources import events
 
 POSTS = 200_000
+WEEK_AS_OF = date(2024, 1, 29)
 
 
 def scaled_events(spark: SparkSession, sf_dir: str, copies: int, skew: bool) -> DataFrame:
@@ -100,6 +102,10 @@ def main() -> None:
             "cohorts: one aggregate": lambda: retention.cohort_activity(f),
             "cohorts: window": lambda: literal.cohorts_by_window(f),
             "cohorts: join": lambda: literal.cohorts_by_join(f),
+            "cohort of a week: bits": lambda: retention.retention_week(f, WEEK_AS_OF),
+            "cohort of a week: all cohorts": lambda: retention.cohort_sizes(
+                f.where(F.to_date("time") < F.lit(WEEK_AS_OF))
+            ).where(F.col("start_date") == F.lit(WEEK_AS_OF - timedelta(days=7))),
             "overlap: stack and group": lambda: overlap.overlap_by_day(f, m),
             "overlap: full join": lambda: literal.overlap_by_join(f, m)
             .groupBy("dt", "use_type")

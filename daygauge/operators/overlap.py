@@ -24,12 +24,13 @@ def with_use_type(activity: DataFrame) -> DataFrame:
     """Add feed_user, messenger_user and use_type to ``user_day_activity`` rows.
 
     A user is 0 in the column of a product not used that day. Id 0 itself thus
-    reads as "in neither product": a real user 0 is always ``OutOfType``.
+    reads as "in neither product": a real user 0 is always ``OutOfType``, and so
+    are actions without a user, which have 0 too.
     """
     return activity.selectExpr(
         "*",
-        "CASE WHEN feed_actions > 0 THEN user_id ELSE 0L END AS feed_user",
-        "CASE WHEN messages > 0 THEN user_id ELSE 0L END AS messenger_user",
+        "CASE WHEN feed_actions > 0 THEN coalesce(user_id, 0L) ELSE 0L END AS feed_user",
+        "CASE WHEN messages > 0 THEN coalesce(user_id, 0L) ELSE 0L END AS messenger_user",
         f"{USE_TYPE} AS use_type",
     )
 
@@ -38,9 +39,11 @@ def user_overlap(feed: DataFrame, messages: DataFrame) -> DataFrame:
     """(feed_user, messenger_user, dt, use_type), one row per user and day with any activity.
 
     Same rows as the full outer join of the two distinct (user, day) sets, from
-    one hash aggregation instead of two plus a sorted join.
+    one hash aggregation instead of two plus a sorted join. No user and user 0 are
+    one row.
     """
-    activity = user_day_activity(feed, messages)
+    known = F.coalesce("user_id", F.lit(0).cast("bigint"))
+    activity = user_day_activity(feed.withColumn("user_id", known), messages.withColumn("user_id", known))
     return with_use_type(activity).select("feed_user", "messenger_user", "dt", "use_type")
 
 

@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from daygauge.functions.clock import WEEK
 from daygauge.functions.columns import day, exprs, ratio, round2
 
+# Days that fit into the bits of a bigint.
+MASK_DAYS = 62
 
+
+# Fixed value: the label of a day.
 def day_label(n: int) -> str:
     return f"Day {n}"
 
@@ -25,7 +29,8 @@ def cohort_sizes(feed: DataFrame, horizon: int = WEEK) -> DataFrame:
     s, so the user was active on s+k exactly if s+k is the earliest day of its
     residue. That makes first day and first-week activity one fixed-size
     aggregate: a single scan and a single shuffle by user, with no distinct,
-    join, window or sort, and at most one row per user and task to move.
+    join, window or sort, and at most one row per user and task to move. Actions
+    without a user or a day belong to no cohort.
     """
     firsts = ", ".join(f"min(CASE WHEN residue = {r} THEN dt END)" for r in range(horizon))
     counts = ", ".join(
@@ -33,6 +38,7 @@ def cohort_sizes(feed: DataFrame, horizon: int = WEEK) -> DataFrame:
     )
     return (
         feed.select("user_id", day(feed).alias("dt"))
+        .where("user_id IS NOT NULL AND dt IS NOT NULL")
         .withColumn("residue", F.expr(f"pmod(unix_date(dt), {horizon})"))
         .groupBy("user_id")
         .agg(F.expr(f"array({firsts}) AS active_days"))
@@ -79,10 +85,26 @@ def retention_pivot(feed: DataFrame, horizon: int = WEEK) -> DataFrame:
 
 
 def _week_cohort(feed: DataFrame, as_of: date, horizon: int) -> DataFrame:
-    """The cohort whose first ``horizon`` days ended yesterday; no row if nobody started then."""
+    """The cohort whose first ``horizon`` days ended yesterday; no row if nobody started then.
+
+    The start date is known, so a user needs two numbers only: the first active day,
+    with all days before the start as one, and the active days of the cohort as bits.
+    Both combine before the shuffle. More days than bits take ``cohort_sizes``.
+    """
     history = feed.where(day(feed) < F.lit(as_of))
     start = as_of - timedelta(days=horizon)
-    return cohort_sizes(history, horizon).where(F.col("start_date") == F.lit(start))
+    if horizon > MASK_DAYS:
+        return cohort_sizes(history, horizon).where(F.col("start_date") == F.lit(start))
+    counts = ", ".join(f"count_if(getbit(mask, {k}) = 1)" for k in range(horizon))
+    return (
+        history.select("user_id", F.datediff(day(feed), F.lit(start)).alias("offset"))
+        .where("user_id IS NOT NULL AND offset IS NOT NULL")
+        .groupBy("user_id")
+        .agg(*exprs("min(greatest(offset, -1)) AS first", "bit_or(if(offset < 0, 0L, shiftleft(1L, offset))) AS mask"))
+        .where("first = 0")
+        .groupBy(F.lit(start).alias("start_date"))
+        .agg(F.expr(f"array({counts}) AS days"))
+    )
 
 
 def retention_week(feed: DataFrame, as_of: date, horizon: int = WEEK) -> DataFrame:

@@ -10,13 +10,15 @@ import argparse
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daygauge.functions import clock
+from daygauge.functions.columns import day
 from daygauge.operators.leaders import leader_order, top_by_count, top_posts
 from daygauge.plans import rollup as ru
 from daygauge.plans.report import chart_tables, kpi_row, report_text
 from daygauge.sources.logs import feed_actions, message_actions
-from daygauge.sources.sinks import export_ranked_csv, shared_path, write_csv, write_text
+from daygauge.sources.sinks import export_ranked_csv, remove_path, shared_path, write_csv, write_text
 
 # File names and column headings of the exported tables.
 POSTS_CSV, MAILERS_CSV, RECEIVERS_CSV, FEED_CSV = (
@@ -34,29 +36,40 @@ HEADINGS = {
 
 
 def write_daily_report(
-    feed: DataFrame, messages: DataFrame, as_of: date, out: str, rollup_path: str | None = None
+    feed: DataFrame,
+    messages: DataFrame,
+    as_of: date,
+    out: str,
+    rollup_path: str | None = None,
+    refold: tuple[date, date] | None = None,
 ) -> None:
-    """Write the whole report for ``as_of`` under ``out``.
+    """Write the whole report for ``as_of`` under ``out``; later rows of the logs count nowhere.
 
     With ``rollup_path``, the tables there are brought up to date and answer all but
-    the distinct users of the top posts; of the logs only the newest days are read
-    besides. Without it, the user-day rollup of all history is written once to the
-    shared folder and serves all outputs that need users.
+    the distinct users of the top posts. Without it, the user-day rollup of all history
+    is written once to the shared folder, serves all outputs that need users, and is
+    removed in the end.
     """
     spark = feed.sparkSession
+    feed, messages = (log.where(day(log) <= F.lit(as_of)) for log in (feed, messages))
     if rollup_path:
-        ru.extend_rollup(feed, messages, rollup_path, as_of)
-        posts = top_posts(feed, counts=ru.rolled_post_counts(ru.read_days(spark, rollup_path, ru.POSTS)))
-        receivers = ru.rolled_top(
-            ru.read_days(spark, rollup_path, ru.RECEIVERS), "receiver_id", "messages", "received"
-        )
-    else:
-        rollup_path = shared_path(spark, fallback=f"{out}/work")
-        ru.write_rollup(feed, messages, rollup_path, names=(ru.USERS,))
-        posts = top_posts(feed)
+        ru.extend_rollup(feed, messages, rollup_path, as_of, refold)
+        posts = ru.rolled_post_counts(ru.read_days(spark, rollup_path, ru.POSTS, as_of))
+        receiver_days = ru.read_days(spark, rollup_path, ru.RECEIVERS, as_of)
+        receivers = ru.rolled_top(receiver_days, "receiver_id", "messages", "received")
+        user_days = ru.read_days(spark, rollup_path, ru.USERS, as_of)
+        _write_outputs(user_days, top_posts(feed, counts=posts), receivers, as_of, out)
+        return
+    own_path = shared_path(spark)
+    try:
+        ru.write_rollup(feed, messages, own_path, names=(ru.USERS,))
         receivers = top_by_count(messages, "receiver_id", "received")
-    user_days = ru.read_days(spark, rollup_path, ru.USERS)
+        _write_outputs(ru.read_days(spark, own_path, ru.USERS), top_posts(feed), receivers, as_of, out)
+    finally:
+        remove_path(spark, own_path)
 
+
+def _write_outputs(user_days: DataFrame, posts: DataFrame, receivers: DataFrame, as_of: date, out: str) -> None:
     write_text(report_text(kpi_row(user_days, ru.feed_days(user_days), as_of)), f"{out}/report.txt")
 
     window = clock.last_days(as_of)
@@ -81,17 +94,23 @@ def main() -> None:
     parser.add_argument("--messages", required=True, help="parquet path of the message log")
     parser.add_argument("--out", required=True, help="folder for the report")
     parser.add_argument("--as-of", type=date.fromisoformat, help="today's date (default: now in --tz)")
-    parser.add_argument("--tz", default="UTC", help="time zone that decides today's date")
+    parser.add_argument("--tz", default="UTC", help="time zone of today's date and of the days of instants")
     parser.add_argument("--rollup", help="folder of the stored day rollups to extend and use")
+    parser.add_argument(
+        "--refold", nargs=2, type=date.fromisoformat, metavar=("FIRST", "LAST"), help="days to fold into the rollup again"
+    )
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("daygauge-daily-report").getOrCreate()
+    # One clock: days of instants begin and end where today does.
+    spark.conf.set("spark.sql.session.timeZone", args.tz)
     write_daily_report(
         feed_actions(spark, args.feed),
         message_actions(spark, args.messages),
         args.as_of or clock.today(args.tz),
         args.out,
         args.rollup,
+        tuple(args.refold) if args.refold else None,
     )
 
 

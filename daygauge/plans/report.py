@@ -44,14 +44,15 @@ CHART_TITLE = '%s for  "%s"'
 def day_kpis(activity: DataFrame) -> DataFrame:
     """One row of KPIs from the ``user_day_activity`` rows of one day.
 
-    Each input row is one user, so active users are plain counts, and all seven
+    Each input row is one user, so active users are counts of ids, and all seven
     numbers come from one aggregate. An empty day gives zeros and a NULL ctr_pct.
+    Actions without a user count as actions, not as a user.
     """
     views, likes, messages = (f"coalesce(sum({c}), 0)" for c in ("views", "likes", "messages"))
     return with_use_type(activity).agg(
         *exprs(
-            "count_if(feed_actions > 0) AS feed_dau",
-            "count_if(messages > 0) AS messenger_dau",
+            "count_if(feed_actions > 0 AND user_id IS NOT NULL) AS feed_dau",
+            "count_if(messages > 0 AND user_id IS NOT NULL) AS messenger_dau",
             f"{views} AS views",
             f"{likes} AS likes",
             f"{ctr_pct(likes, views)} AS ctr_pct",
@@ -117,15 +118,11 @@ def _panels(metrics: DataFrame, charts: tuple, label: str) -> DataFrame:
 def chart_tables(feed_metrics: DataFrame, message_metrics: DataFrame, as_of: date) -> DataFrame:
     """(title, panel, dt, value): the points of all charts, from per-day metrics."""
     label = range_label(as_of)
-    charts = _panels(feed_metrics, FEED_CHARTS, label).unionByName(
-        _panels(message_metrics, MESSAGE_CHARTS, label)
-    )
-    return charts.orderBy("title", "panel", "dt")
+    return _panels(feed_metrics, FEED_CHARTS, label).unionByName(_panels(message_metrics, MESSAGE_CHARTS, label))
 
 
 def chart_series(feed: DataFrame, messages: DataFrame, as_of: date) -> DataFrame:
-    """``chart_tables`` straight from the logs, one scan of each."""
+    """``chart_tables`` straight from the logs, one scan of each, in order."""
     window = last_days(as_of)
-    return chart_tables(
-        daily_feed_metrics(feed, *window), daily_message_metrics(messages, *window), as_of
-    )
+    charts = chart_tables(daily_feed_metrics(feed, *window), daily_message_metrics(messages, *window), as_of)
+    return charts.orderBy("title", "panel", "dt")

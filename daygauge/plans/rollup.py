@@ -2,26 +2,31 @@
 
 Three tables hold one row per user, post or receiver and day, partitioned by day:
 a fraction of the logs, because repeated actions are counted. All their numbers
-add up over days, so a daily run folds in the newest days of the logs and answers
-the report from the tables; only the distinct users of the top posts do not add up
-and still need the feed.
+add up over days, so a daily run folds in the days of the logs that changed and
+answers the report from the tables; only the distinct users of the top posts do not
+add up and still need the feed.
+
+A fourth, small table holds the days that are folded, with the number of rows that
+each log had. It is written last, and only its days are read from the others: what a
+broken run left behind is not seen, and is folded again by the next run.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygauge.functions.clock import yesterday
 from daygauge.functions.columns import LIKES, VIEWS, between_days, ctr_pct, day, exprs
 from daygauge.operators.activity import user_day_activity
 from daygauge.operators.leaders import TOP, leader_order
 
 USERS, POSTS, RECEIVERS = "user_days", "post_days", "receiver_days"
+FOLDED = "folded_days"
+FOLDED_SCHEMA = "dt date, feed_rows bigint, message_rows bigint"
 SCHEMAS = {
     USERS: "user_id bigint, views bigint, likes bigint, feed_actions bigint, messages bigint, dt date",
     POSTS: "post_id bigint, views bigint, likes bigint, dt date",
@@ -39,7 +44,6 @@ def receiver_days(messages: DataFrame) -> DataFrame:
     return messages.groupBy("receiver_id", day(messages).alias("dt")).agg(F.count("*").alias("messages"))
 
 
-# Written in this order; the last one tells how far the tables reach.
 BUILD: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
     POSTS: lambda feed, messages: post_days(feed),
     RECEIVERS: lambda feed, messages: receiver_days(messages),
@@ -62,43 +66,88 @@ def write_days(table: DataFrame, path: str) -> None:
     )
 
 
+def row_counts(feed: DataFrame, messages: DataFrame) -> dict[date, tuple[int, int]]:
+    """Rows of each log by day, one small row per day; rows without a time belong to no day."""
+    stacked = feed.select(day(feed).alias("dt"), F.lit(1).alias("f"), F.lit(0).alias("m")).union(
+        messages.select(day(messages).alias("dt"), F.lit(0).alias("f"), F.lit(1).alias("m"))
+    )
+    days = stacked.where("dt IS NOT NULL").groupBy("dt").agg(F.sum("f"), F.sum("m"))
+    return {dt: (f, m) for dt, f, m in days.collect()}
+
+
+def folded_days(spark: SparkSession, path: str) -> dict[date, tuple[int, int]]:
+    """The days in the tables, with the rows of each log when they were folded."""
+    try:
+        rows = spark.read.schema(FOLDED_SCHEMA).parquet(f"{path}/{FOLDED}").collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+    return {dt: (f, m) for dt, f, m in rows}
+
+
+def _record(spark: SparkSession, path: str, days: dict[date, tuple[int, int]]) -> None:
+    rows = [(dt, f, m) for dt, (f, m) in sorted(days.items())]
+    spark.createDataFrame(rows, FOLDED_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/{FOLDED}")
+
+
 def write_rollup(feed: DataFrame, messages: DataFrame, path: str, names: tuple[str, ...] = tuple(BUILD)) -> None:
     """Build the named tables from all rows of the logs."""
+    counts = row_counts(feed, messages)
     for name in names:
         write_days(BUILD[name](feed, messages), f"{path}/{name}")
+    _record(feed.sparkSession, path, counts)
 
 
-def fold_days(feed: DataFrame, messages: DataFrame, path: str, first: date, last: date) -> None:
-    """Add a run of days to all tables; folding a day again replaces it."""
-    write_rollup(between_days(feed, first, last), between_days(messages, first, last), path)
+def _fold(feed: DataFrame, messages: DataFrame, path: str, days: set[date], counts: dict) -> None:
+    """Fold the given days; one without rows is struck from the folded days."""
+    spark = feed.sparkSession
+    if any(dt in counts for dt in days):
+        chosen = [F.lit(dt) for dt in sorted(days)]
+        feed, messages = (log.where(day(log).isin(*chosen)) for log in (feed, messages))
+        for name, build in BUILD.items():
+            write_days(build(feed, messages), f"{path}/{name}")
+    others = {dt: rows for dt, rows in folded_days(spark, path).items() if dt not in days}
+    _record(spark, path, others | {dt: counts[dt] for dt in days if dt in counts})
 
 
-def last_day(spark: SparkSession, path: str) -> date | None:
-    """The newest day of the tables; None where there are none yet."""
-    try:
-        return read_days(spark, path, USERS).agg(F.max("dt")).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def fold_days(feed: DataFrame, messages: DataFrame, path: str, first: date, last: date) -> None:
+    """Fold a run of days into all tables; a day folded before is replaced, also by nothing."""
+    counts = row_counts(between_days(feed, first, last), between_days(messages, first, last))
+    _fold(feed, messages, path, {first + timedelta(days=k) for k in range((last - first).days + 1)}, counts)
 
 
-def extend_rollup(feed: DataFrame, messages: DataFrame, path: str, as_of: date) -> None:
-    """Bring the tables up to ``as_of``; the first call builds them from all history.
+def extend_rollup(
+    feed: DataFrame, messages: DataFrame, path: str, as_of: date, refold: tuple[date, date] | None = None
+) -> None:
+    """Bring the tables up to ``as_of``: fold every day whose number of rows changed in a log.
 
-    The newest stored day was perhaps still running when it was folded, so it is
-    folded again, as is yesterday, for rows that came late. For rows that come later
-    than that, call ``fold_days`` with their days.
+    So late rows, days that lost all rows, and days that a broken run left out are all
+    folded. The logs are only counted by day for this, which for a log partitioned by
+    day reads no column. Rows that changed while their number did not are folded with
+    ``refold``, a first and a last day.
     """
-    last = last_day(feed.sparkSession, path)
-    if last is None:
-        write_rollup(*(log.where(day(log) <= F.lit(as_of)) for log in (feed, messages)), path)
-    else:
-        fold_days(feed, messages, path, min(last, yesterday(as_of)), as_of)
-
-
-def read_days(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{path}/{name}")
+    feed, messages = (log.where(day(log) <= F.lit(as_of)) for log in (feed, messages))
+    counts = row_counts(feed, messages)
+    known = {dt: rows for dt, rows in folded_days(feed.sparkSession, path).items() if dt <= as_of}
+    changed = {dt for dt in counts.keys() | known.keys() if counts.get(dt) != known.get(dt)}
+    if refold:
+        changed |= {dt for dt in counts if refold[0] <= dt <= refold[1]}
+    if changed:
+        _fold(feed, messages, path, changed, counts)
+
+
+def read_days(spark: SparkSession, path: str, name: str, as_of: date | None = None) -> DataFrame:
+    """A table's folded days, up to ``as_of``."""
+    feed, messages = name != RECEIVERS, name != POSTS
+    days = [
+        F.lit(dt)
+        for dt, (feed_rows, message_rows) in sorted(folded_days(spark, path).items())
+        if (as_of is None or dt <= as_of) and (feed and feed_rows or messages and message_rows)
+    ]
+    if not days:
+        return spark.createDataFrame([], SCHEMAS[name])
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{path}/{name}").where(F.col("dt").isin(*days))
 
 
 def feed_days(user_days: DataFrame) -> DataFrame:
@@ -107,7 +156,7 @@ def feed_days(user_days: DataFrame) -> DataFrame:
 
 
 def rolled_feed_metrics(user_days: DataFrame, first: date, last: date) -> DataFrame:
-    """``daily_feed_metrics`` from the rollup: users are rows, so nothing is counted distinct."""
+    """``daily_feed_metrics`` from the rollup: a user is one row, so nothing is counted distinct."""
     return (
         between_days(user_days, first, last)
         .where(F.col("feed_actions") > 0)
@@ -118,7 +167,7 @@ def rolled_feed_metrics(user_days: DataFrame, first: date, last: date) -> DataFr
                 "sum(likes) AS likes",
                 f"{ctr_pct('sum(likes)', 'sum(views)')} AS ctr_pct",
                 "sum(feed_actions) AS actions",
-                "count(*) AS users",
+                "count(user_id) AS users",
             )
         )
     )
@@ -130,7 +179,7 @@ def rolled_message_metrics(user_days: DataFrame, first: date, last: date) -> Dat
         between_days(user_days, first, last)
         .where(F.col("messages") > 0)
         .groupBy("dt")
-        .agg(*exprs("sum(messages) AS messages", "count(*) AS users"))
+        .agg(*exprs("sum(messages) AS messages", "count(user_id) AS users"))
     )
 
 
@@ -141,5 +190,6 @@ def rolled_post_counts(post_days: DataFrame) -> DataFrame:
 
 def rolled_top(days: DataFrame, id_col: str, count_col: str, metric: str, k: int = TOP) -> DataFrame:
     """``leaders.top_by_count`` from the rollup: the ids with the largest sums of ``count_col``."""
-    counts = days.where(F.col(count_col) > 0).groupBy(id_col).agg(F.sum(count_col).alias(metric))
+    counted = F.when(F.col(id_col).isNotNull(), F.col(count_col)).otherwise(0)
+    counts = days.where(F.col(count_col) > 0).groupBy(id_col).agg(F.sum(counted).alias(metric))
     return counts.orderBy(*leader_order(metric, id_col)).limit(k)

@@ -10,7 +10,9 @@ from pyspark.sql import types as T
 
 from daygauge.functions.columns import on_day
 
-# Column -> kinds of type accepted for it. Ids are read as bigint.
+# Column -> kinds of type accepted for it. Ids are read as bigint. Ids and times may be NULL: such
+# rows count as actions; distinct counts skip a NULL user, leaderboards give it 0, overlap reads it
+# as user 0, a cohort needs a user and a day, and a row without a time belongs to no day.
 _ID = T.IntegralType
 _TIME = (T.TimestampNTZType, T.TimestampType)
 FEED_CONTRACT = {"user_id": _ID, "post_id": _ID, "action": T.StringType, "time": _TIME}
@@ -56,6 +58,7 @@ def feed_actions(spark: SparkSession, path: str | None = None, *, table: str | N
 
 def message_actions(spark: SparkSession, path: str | None = None, *, table: str | None = None) -> DataFrame:
     """The message log: sender (``user_id``), ``receiver_id``, ``time``."""
+    # Fixed value: a spelling of the column that logs may have.
     df = _scan(spark, path, table).withColumnRenamed("reciever_id", "receiver_id")
     return conform(df, MESSAGE_CONTRACT)
 

@@ -10,9 +10,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def shared_path(spark: SparkSession, fallback: str) -> str:
-    """A fresh path in the cluster's shared folder, or under ``fallback`` where none is named."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or fallback}/daygauge-{uuid.uuid4().hex}"
+def shared_path(spark: SparkSession) -> str:
+    """A fresh path in the folder that driver and executors share.
+
+    That is the folder of ``spark.checkpoint.dir``; where none is named, one in the warehouse.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/work"
+    return f"{folder}/daygauge-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own, by the file system it is in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def with_rank_index(top: DataFrame, order: Sequence[Column]) -> DataFrame:

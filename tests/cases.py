@@ -24,6 +24,15 @@ MICRO_FEED = [
     (3, 1, "other", at(D)),
     (1, 1, "view", at(D + timedelta(days=2))),
 ]
+# Rows without a user, a post, a receiver or a time.
+NULL_FEED = [
+    (1, 1, "view", at(D)),
+    (1, None, "view", at(D)),
+    (2, 1, "like", at(D)),
+    (None, 1, "view", at(D)),
+    (1, 2, "view", None),
+]
+NULL_MESSAGES = [(1, 5, at(D)), (None, 5, at(D)), (None, None, at(D))]
 MICRO_MESSAGES = [(0, 5, at(D)), (1, 5, at(D)), (4, 1, at(D))]
 
 

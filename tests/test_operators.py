@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from benchmarks import literal_forms as literal
 from daygauge.operators import activity, daily, leaders, overlap, retention
+from daygauge.operators.activity import user_day_activity
+from daygauge.plans import report
+from daygauge.plans import rollup as ru
 
 D = cases.D
 
@@ -207,10 +210,53 @@ def test_top_posts_matches_brute_force_and_one_pass(logs, k):
     assert tuples(literal.top_posts_one_pass(feed, k)) == expected
 
 
-def test_top_posts_beyond_the_broadcast_bound(logs, monkeypatch):
+def test_top_posts_takes_rows_without_a_post_as_a_post(spark):
+    rows = [(u, p, "view", cases.at(D)) for u, p in ((1, None), (2, None), (2, 7), (3, 7), (3, 8))]
+    feed = spark.createDataFrame(rows, cases.FEED_SCHEMA)
+    for join in ("10485760", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", join)
+        try:
+            assert leaders.top_posts(feed, 2).collect() == [(7, 2, 0, 0.0, 2), (None, 2, 0, 0.0, 2)]
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_top_posts_uses_the_counts_it_is_given(logs):
+    _, _, feed, _ = logs
+    post = leaders.top_posts(feed, 1).first()
+    counts = leaders.post_counts(feed).withColumn("views", F.expr(f"if(post_id = {post.post_id}, 100000, views)"))
+    for k in (1, 50):
+        assert leaders.top_posts(feed, k, counts).first()[:2] == (post.post_id, 100_000)
+
+
+def test_null_ids_and_times_count_the_same_everywhere(spark):
+    feed = spark.createDataFrame(cases.NULL_FEED, cases.FEED_SCHEMA)
+    messages = spark.createDataFrame(cases.NULL_MESSAGES, cases.MESSAGE_SCHEMA)
+    as_of = D + timedelta(days=1)
+    assert daily.dau_day(feed, D).first()[0] == 2
+    metrics = daily.daily_feed_metrics(feed, D, D).first()
+    assert (metrics.actions, metrics.users, metrics.views) == (4, 2, 3)
+    kpis = report.daily_kpis(feed, messages, as_of).first()
+    assert (kpis.feed_dau, kpis.messenger_dau, kpis.views, kpis.messages) == (2, 1, 3, 3)
+    assert leaders.top_by_count(feed, "user_id", "n").collect() == [(1, 3), (2, 1), (None, 0)]
+    assert leaders.top_by_count(messages, "receiver_id", "n").collect() == [(5, 2), (None, 0)]
+    users = user_day_activity(feed, messages).where("dt IS NOT NULL")
+    assert ru.rolled_feed_metrics(users, D, D).first().users == 2
+    assert ru.rolled_message_metrics(users, D, D).first().users == 1
+    assert ru.rolled_top(users, "user_id", "messages", "n").collect() == [(1, 1), (None, 0)]
+    rows = sorted(tuples(overlap.user_overlap(feed, messages).where("dt IS NOT NULL")))
+    assert rows == [(0, 0, D, "OutOfType"), (1, 1, D, "Both"), (2, 0, D, "Feed only")]
+    assert tuples(retention.cohort_activity(feed)) == [(D, D, 1, 2, 2)]
+    assert [tuple(r)[0] for r in retention.retention_pivot(feed).collect()] == [D]
+
+
+@pytest.mark.parametrize("horizon", [1, 3, 7, 40, 62, 63])
+def test_the_known_cohort_equals_all_cohorts(logs, horizon):
     rows, _, feed, _ = logs
-    monkeypatch.setattr(leaders, "BROADCAST_ROWS", 5)
-    assert tuples(leaders.top_posts(feed, 20)) == cases.posts(rows, 20)
+    for start in (D, D + timedelta(days=1), D + timedelta(days=3)):
+        as_of = start + timedelta(days=horizon)
+        full = retention.cohort_sizes(feed, horizon).where(F.col("start_date") == F.lit(start))
+        assert tuples(retention._week_cohort(feed, as_of, horizon)) == tuples(full)
 
 
 @pytest.mark.parametrize("k", [3, 100])

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 
 TESTDATA = "/root/testdata"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = entry._log_queries(), entry._log_sql()
 
 
 def rows_of(columns, rows):

@@ -32,34 +32,34 @@ def logs(spark):
 @pytest.mark.parametrize(
     "name, bounds",
     [
-        *((n, DAY_RANGE) for n in entry.queries() if n.endswith("_day") and n != "overlap_by_day"),
-        *((n, WEEK_RANGE) for n in entry.queries() if n.endswith("_series")),
+        *((n, DAY_RANGE) for n in entry._log_queries() if n.endswith("_day") and n != "overlap_by_day"),
+        *((n, WEEK_RANGE) for n in entry._log_queries() if n.endswith("_series")),
         ("daily_feed_metrics", WEEK_RANGE),
         ("daily_message_metrics", WEEK_RANGE),
         ("chart_range_label", WEEK_RANGE),
     ],
 )
 def test_dates_reach_every_scan(spark, name, bounds):
-    filters = [line for line in plan(entry.queries()[name](spark, SF)).splitlines() if line.startswith("PushedFilters")]
+    filters = [line for line in plan(entry._log_queries()[name](spark, SF)).splitlines() if line.startswith("PushedFilters")]
     assert filters and all(bound in line for bound in bounds for line in filters)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", entry._log_queries())
 def test_no_cross_join_and_no_python(spark, name):
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(entry._log_queries()[name](spark, SF))
     for bad in ("CartesianProduct", "NestedLoop", "Python", "InPandas"):
         assert bad not in text
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n.startswith("top_")])
+@pytest.mark.parametrize("name", [n for n in entry._log_queries() if n.startswith("top_")])
 def test_top_k_without_a_global_sort(spark, name):
-    text = tree(entry.queries()[name](spark, SF))
+    text = tree(entry._log_queries()[name](spark, SF))
     assert "TakeOrderedAndProject" in text
     assert "rangepartitioning" not in text and " Sort " not in text
 
 
 def test_series_compute_only_their_metric(spark):
-    text = plan(entry.queries()["views_series"](spark, SF))
+    text = plan(entry._log_queries()["views_series"](spark, SF))
     assert "distinct" not in text and "user_id" not in text
 
 
@@ -85,14 +85,13 @@ def test_overlap_takes_one_shuffle_and_no_join(logs):
         assert costly not in text
 
 
-def test_post_leaders_are_broadcast_only_within_the_bound(logs, monkeypatch):
-    assert "BroadcastHashJoin" in tree(leaders.top_posts(logs[0], 100))
-    monkeypatch.setattr(leaders, "BROADCAST_ROWS", 50)
-    beyond = plan(leaders.top_posts(logs[0], 100))
-    assert "Join" not in beyond
-    # Distinct users are spread over (post, user) before they are counted per post.
-    shuffles = [line for line in beyond.splitlines() if line.startswith("Arguments: hashpartitioning")]
-    assert len(shuffles) == 2 and "post_id" in shuffles[0] and "user_id" in shuffles[0]
+def test_few_post_leaders_are_broadcast_and_many_are_not(spark):
+    feed = spark.range(10_000_000_000).selectExpr(
+        "id AS user_id", "id % 7000000 AS post_id", "'view' AS action", "timestamp_ntz'2024-01-01' AS time"
+    )
+    assert "BroadcastHashJoin" in tree(leaders.top_posts(feed, 100))
+    many = tree(leaders.top_posts(feed, 1_000_000))
+    assert "Join" in many and "BroadcastHashJoin" not in many
 
 
 def test_a_day_partition_is_pruned(spark, tmp_path, logs):

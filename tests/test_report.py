@@ -176,7 +176,8 @@ def test_tables_left_by_a_broken_run_are_folded_again(spark, tmp_path):
     messages = spark.createDataFrame(message_rows, cases.MESSAGE_SCHEMA)
     path = str(tmp_path / "rollup")
     ru.write_rollup(feed.limit(5), messages.limit(5), path, names=(ru.POSTS,))
-    assert ru.last_day(spark, path) is None
+    (tmp_path / "rollup" / ru.FOLDED).rename(tmp_path / "gone")  # the run broke before it wrote this
+    assert ru.folded_days(spark, path) == {}
     ru.extend_rollup(feed, messages, path, D + timedelta(days=3))
     assert tuples(ru.read_days(spark, path, ru.POSTS).select("post_id", "dt", "views", "likes")) == tuples(
         ru.post_days(feed)
@@ -198,11 +199,64 @@ def test_a_hot_day_is_split_over_files(spark, tmp_path):
     finally:
         spark.conf.set(advisory, before)
     assert len(glob.glob(f"{path}/{ru.USERS}/dt={D}/part-*")) > 1
-    assert ru.read_days(spark, path, ru.USERS).count() == 400_000
+    assert spark.read.parquet(f"{path}/{ru.USERS}").count() == 400_000
 
 
-def test_shared_path_prefers_the_cluster_folder(spark):
-    assert sinks.shared_path(spark, "/elsewhere").startswith(spark.conf.get("spark.checkpoint.dir"))
+def test_shared_path_is_in_the_cluster_folder(spark):
+    assert sinks.shared_path(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def stored_tables_equal(spark, feed, messages, path):
+    return all(
+        tuples(ru.read_days(spark, path, name).select(*build(feed, messages).columns)) == tuples(build(feed, messages))
+        for name, build in ru.BUILD.items()
+    )
+
+
+def test_late_rows_emptied_days_and_lone_days(spark, tmp_path):
+    rows, message_rows = cases.random_logs(seed=8, users=20, rows=400, days=8)
+    messages = spark.createDataFrame(message_rows, cases.MESSAGE_SCHEMA)
+    path, end = str(tmp_path / "rollup"), D + timedelta(days=8)
+
+    def extended(rows, messages, **more):
+        feed = spark.createDataFrame(rows, cases.FEED_SCHEMA)
+        ru.extend_rollup(feed, messages, path, end, **more)
+        return stored_tables_equal(spark, feed, messages, path)
+
+    # A lone day first: the others are not taken for folded.
+    whole = spark.createDataFrame(rows, cases.FEED_SCHEMA)
+    ru.fold_days(whole, messages, path, D + timedelta(days=6), D + timedelta(days=6))
+    assert extended(rows, messages)
+    late = [*rows, (3, 4, "view", cases.at(D + timedelta(days=1)))]
+    assert extended(late, messages)
+    emptied = [r for r in late if r[3].date() != D + timedelta(days=2)]
+    assert extended(emptied, messages)
+    empty_day = messages.where(F.to_date("time") != F.lit(D + timedelta(days=2)))
+    assert extended(emptied, empty_day)
+    # As many rows as before, but others.
+    changed = [(u + 1, p, a, t) if t.date() == D else (u, p, a, t) for u, p, a, t in emptied]
+    assert not extended(changed, empty_day)
+    assert extended(changed, empty_day, refold=(D, D))
+
+
+@pytest.mark.parametrize("as_of", [date(2024, 1, 15), date(2024, 1, 31)])
+def test_the_job_is_the_same_for_any_date_and_rollup(spark, logs, tmp_path, as_of):
+    feed, messages = logs
+    further = str(tmp_path / "further")
+    ru.write_rollup(feed, messages, further)
+    ways = {"logs": None, "fresh": str(tmp_path / "fresh"), "further": further}
+    work = glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/daygauge-*")
+    for way, path in ways.items():
+        daily_report.write_daily_report(feed, messages, as_of, str(tmp_path / "out" / way), path)
+    assert glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/daygauge-*") == work
+    for name in ("report.txt", "charts.csv", *daily_report.HEADINGS):
+        texts = [text_of(tmp_path / "out" / way / name, name[-4:]) for way in ways]
+        assert texts[0] == texts[1] == texts[2]
+    rows = [tuple(r) for r in feed.where(F.to_date("time") <= F.lit(as_of)).select("user_id", "post_id", "action", "time").collect()]
+    printed = list(csv.reader(text_of(tmp_path / "out" / "logs" / "Top_100_posts.csv", ".csv").splitlines()))[1:]
+    assert [tuple(map(int, (r[1], r[2], r[3], r[5]))) for r in printed] == [
+        (p, v, l, u) for p, v, l, _, u in cases.posts(rows, 100)
+    ]
 
 
 # --- job ----------------------------------------------------------------------
@@ -250,6 +304,24 @@ def test_both_ways_count_the_rows_of_today(spark, logs, tmp_path):
         assert texts[0] == texts[1]
 
 
+def test_days_follow_the_time_zone(spark, tmp_path, monkeypatch):
+    instants = ["2024-03-09 20:59:59", "2024-03-09 21:00:01", "2024-03-10 20:59:59", "2024-03-10 21:00:01"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    log = spark.createDataFrame([(n + 1, 1, "view", t) for n, t in enumerate(instants)], "user_id long, post_id long, action string, t string")
+    log = log.withColumn("time", F.col("t").cast("timestamp")).drop("t")
+    log.write.parquet(str(tmp_path / "feed"))
+    log.selectExpr("user_id", "post_id AS receiver_id", "time").write.parquet(str(tmp_path / "messages"))
+    args = ["--feed", tmp_path / "feed", "--messages", tmp_path / "messages", "--out", tmp_path / "out"]
+    monkeypatch.setattr("sys.argv", ["daily_report", *map(str, args), "--as-of", "2024-03-11", "--tz", "Europe/Moscow"])
+    try:
+        daily_report.main()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    # The day of Moscow holds the second and third instant.
+    assert text_of(tmp_path / "out" / "report.txt", ".txt").splitlines()[1:4:2] == ["Feed DAU = 2", "Views = 2"]
+
+
 def test_command_line(spark, logs, tmp_path, monkeypatch):
     feed, messages = logs
     feed.withColumn("dt", F.to_date("time")).write.partitionBy("dt").parquet(str(tmp_path / "feed"))
