@@ -18,11 +18,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DataType, StringType, StructField, StructType
 from tokenizers import models
 
-from daygauge.llm.splitting import as_characters, sections, special_ids, tokenizer, word_pieces
+from daygauge.llm.splitting import as_characters, sections, special_ids, split_words, tokenizer, word_pieces
+from daygauge.llm.workspace import text_slices
 
 # Texts of more characters are dealt out in parts of about PART characters.
 LONG = 32_768
@@ -31,7 +34,22 @@ PART = 8_192
 LEAF = 1_024
 WINDOW = 4
 # Different pre-tokens that a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
+
+
+class _Known(dict):
+    """Packed ids of pre-tokens, made when a pre-token is first met."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.make(piece)
+        if len(piece) <= LEAF:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[piece] = ids
+        return ids
 
 
 class Codec:
@@ -48,18 +66,11 @@ class Codec:
         self.specials = special_ids(path)
         size = own.get_vocab_size(with_added_tokens=True)
         self.values = [own.id_to_token(i) or "" for i in range(size)]
-        self.known: dict[str, bytes] = {}
-
-    def piece(self, piece: str) -> bytes:
-        """The ids of one whole pre-token."""
-        ids = self.known.get(piece)
-        if ids is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            ids = pack([t.id for t in self.whole.tokenize(as_characters(piece))])
-            if len(piece) <= LEAF:
-                self.known[piece] = ids
-        return ids
+        self.known = _Known(lambda piece: self.leaf(piece, True))
+
+    def pieces(self, pieces: list[str]) -> bytes:
+        """The ids of whole pre-tokens."""
+        return b"".join(map(self.known.__getitem__, pieces))
 
     def leaf(self, piece: str, last: bool) -> bytes:
         """The ids of a cut from a pre-token; only the last one ends a word."""
@@ -118,33 +129,34 @@ def halves(piece: str, leaf: int = LEAF) -> list[str]:
     return halves(piece[:half], leaf) + halves(piece[half:], leaf)
 
 
-def text_parts(text: str, path: str, part: int = PART, leaf: int = LEAF) -> list[tuple]:
-    """Parts of a text in order: (kind, cut, pieces).
+def text_parts(text: str, path: str, part: int = PART, leaf: int = LEAF) -> list[tuple[str, int, str]]:
+    """Parts of a text in order: (kind, cut, body).
 
-    kind ``pieces`` has whole pre-tokens, ``special`` a special string, and ``leaf`` one leaf of
-    a long pre-token, where ``cut`` tells which: 1 for a first leaf, 2 inner, 3 last.
+    kind ``pieces`` has whole pre-tokens with blanks between them, ``special`` a special string,
+    and ``leaf`` one leaf of a long pre-token, where ``cut`` tells which: 1 the first, 2 an
+    inner one, 3 the last.
     """
-    parts: list[tuple] = []
+    parts: list[tuple[str, int, str]] = []
     held: list[str] = []
     size = 0
 
     def flush():
         nonlocal held, size
         if held:
-            parts.append(("pieces", 0, held))
+            parts.append(("pieces", 0, " ".join(held)))
         held, size = [], 0
 
     for at, section in enumerate(sections(text, path)):
         if at % 2:
             flush()
-            parts.append(("special", 0, [section]))
+            parts.append(("special", 0, section))
             continue
         for piece in word_pieces(section, path):
             if len(piece) > leaf:
                 flush()
                 leaves = halves(piece, leaf)
                 marks = [1] + [2] * (len(leaves) - 2) + [3]
-                parts += [("leaf", mark, [own]) for mark, own in zip(marks, leaves)]
+                parts += [("leaf", mark, own) for mark, own in zip(marks, leaves)]
                 continue
             held.append(piece)
             size += len(piece)
@@ -154,12 +166,12 @@ def text_parts(text: str, path: str, part: int = PART, leaf: int = LEAF) -> list
     return parts
 
 
-def encode_part(own: Codec, kind: str, cut: int, pieces: list[str]) -> bytes:
+def encode_part(own: Codec, kind: str, cut: int, body: str) -> bytes:
     if kind == "special":
-        return pack([own.specials[pieces[0]]])
+        return pack([own.specials[body]])
     if kind == "leaf":
-        return own.leaf(pieces[0], cut == 3)
-    return b"".join(map(own.piece, pieces))
+        return own.leaf(body, cut == 3)
+    return own.pieces(split_words(body, own.path))
 
 
 def join_parts(own: Codec, parts: list[tuple[int, bytes]]) -> bytes:
@@ -178,59 +190,73 @@ def join_parts(own: Codec, parts: list[tuple[int, bytes]]) -> bytes:
 
 def encode_text(text: str | None, path: str, leaf: int = LEAF) -> bytes:
     """Encode one text; a null one has no ids."""
-    own = codec(path)
-    if text and len(text) <= leaf:
-        return b"".join(
-            pack([own.specials[s]]) if at % 2 else b"".join(map(own.piece, word_pieces(s, path)))
-            for at, s in enumerate(sections(text, path))
-        )
-    parts = text_parts(text or "", path, leaf=leaf)
-    return join_parts(own, [(cut, encode_part(own, kind, cut, pieces)) for kind, cut, pieces in parts])
+    own, found = codec(path), []
+    for at, section in enumerate(sections(text or "", path)):
+        if at % 2:
+            found.append(pack([own.specials[section]]))
+            continue
+        pieces = word_pieces(section, path)
+        if len(section) > leaf and max(map(len, pieces), default=0) > leaf:
+            parts = text_parts(section, path, leaf=leaf)
+            found.append(join_parts(own, [(cut, encode_part(own, kind, cut, body)) for kind, cut, body in parts]))
+        else:
+            found.append(own.pieces(pieces))
+    return b"".join(found)
 
 
-def _encoded_short(text: Column, path: str, leaf: int) -> Column:
-    @F.pandas_udf("binary")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([encode_text(t, path, leaf) for t in texts], dtype="object")
+def _schema(rows: DataFrame, *fields: tuple[str, DataType]) -> StructType:
+    return StructType([rows.schema["doc"], *(StructField(name, kind) for name, kind in fields)])
+
+
+def _encoded_short(rows: DataFrame, path: str, leaf: int) -> DataFrame:
+    """Of rows (doc, body): doc, ids, decoded."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, texts in text_slices(batch.column("body")):
+                ids = [encode_text(t, path, leaf) for t in texts]
+                text = [codec(path).text(i) for i in ids]
+                columns = [batch.column("doc").slice(start, len(ids)), pa.array(ids, pa.binary()), pa.array(text, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc", "ids", "decoded"])
+
+    return rows.select("doc", "body").mapInArrow(encode, _schema(rows, ("ids", BinaryType()), ("decoded", StringType())))
 
-    return encode(text)
+
+PART_FIELDS = "array<struct<kind:string,cut:int,body:string>>"
 
 
 def _encoded_long(rows: DataFrame, path: str, part: int, leaf: int) -> DataFrame:
-    """Of rows (row, body): row, ids. Parts of a text are encoded in different tasks."""
+    """Of rows (doc, body, row): doc, ids, decoded. Parts of a text are encoded in different tasks."""
 
-    @F.pandas_udf("array<struct<kind:string,cut:int,pieces:array<string>>>")
+    @F.pandas_udf(PART_FIELDS)
     def cut_up(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series(
-                [
-                    [{"kind": k, "cut": c, "pieces": p} for k, c, p in text_parts(t, path, part, leaf)]
-                    for t in texts
-                ],
-                dtype="object",
-            )
+            cut = [[{"kind": k, "cut": c, "body": b} for k, c, b in text_parts(t, path, part, leaf)] for t in texts]
+            yield pd.Series(cut, dtype="object")
 
     @F.pandas_udf("binary")
-    def encode(
-        batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]],
-    ) -> Iterator[pd.Series]:
-        for kinds, cuts, pieces in batches:
-            own = codec(path)
-            yield pd.Series([encode_part(own, *p) for p in zip(kinds, cuts, pieces)], dtype="object")
+    def encode(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for parts in batches:
+            yield pd.Series([encode_part(codec(path), *p) for p in zip(*parts)], dtype="object")
 
-    @F.pandas_udf("binary")
-    def join(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.pandas_udf("ids binary, decoded string")
+    def join(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for cuts, ids in batches:
             own = codec(path)
-            yield pd.Series([join_parts(own, list(zip(c, i))) for c, i in zip(cuts, ids)], dtype="object")
-
-    parts = rows.select("row", F.posexplode_outer(cut_up("body")).alias("at", "p")).select("row", "at", "p.*")
-    spread = parts.repartition("row", "at")
-    ids = spread.select("row", "at", "cut", F.when(F.col("kind").isNotNull(), encode("kind", "cut", "pieces")).alias("ids"))
-    of_text = F.sort_array(F.collect_list(F.struct("at", "cut", "ids")))
-    ordered = ids.where("ids IS NOT NULL").groupBy("row").agg(of_text.alias("parts"))
-    return ordered.select("row", join("parts.cut", "parts.ids").alias("ids"))
+            whole = [join_parts(own, list(zip(c, i))) for c, i in zip(cuts, ids)]
+            yield pd.DataFrame({"ids": whole, "decoded": [own.text(w) for w in whole]})
+
+    parts = rows.select("row", "doc", F.posexplode_outer(cut_up("body")).alias("at", "p"))
+    first = F.when(F.coalesce("at", F.lit(0)) == 0, F.col("doc")).alias("doc")
+    spread = parts.select("row", first, "at", "p.*").repartition("row", "at")
+    encoded_parts = spread.select(
+        "row", "doc", "at", "cut", F.when(F.col("kind").isNotNull(), encode("kind", "cut", "body")).alias("ids")
+    )
+    one = F.when(F.col("at").isNotNull(), F.struct("at", "cut", "ids"))
+    texts = encoded_parts.groupBy("row").agg(
+        F.first("doc", ignorenulls=True).alias("doc"), F.sort_array(F.collect_list(one)).alias("parts")
+    )
+    return texts.select("doc", join("parts.cut", "parts.ids").alias("j")).select("doc", "j.*")
 
 
 def encoded(
@@ -238,28 +264,30 @@ def encoded(
     path: str,
     text: str = "text",
     out: str = "ids",
+    text_out: str | None = None,
     long: int = LONG,
     part: int = PART,
     leaf: int = LEAF,
 ) -> DataFrame:
     """Add ``out``: the ids of each text as packed little-endian unsigned 32-bit integers.
 
-    ``path`` names the tokenizer's file, which every worker reads. Nothing is added around a
-    text; special strings inside it are their own token. Null and empty texts, and texts of
-    white space, have no ids (an empty binary). Rows are encoded one by one, so repeated rows
-    and ties need nothing, and an empty table gives no rows. Other columns are kept; one of the
-    name ``out`` is replaced. Texts above ``long`` characters go through parts.
+    With ``text_out`` the text of the ids is added too, as ``decoded`` gives it. ``path`` names
+    the tokenizer's file, which every worker reads. Nothing is added around a text; special
+    strings inside it are their own token. Null and empty texts, and texts of white space, have
+    no ids (an empty binary). Rows are encoded one by one, so repeated rows and ties need
+    nothing, and an empty table gives no rows. Other columns are kept; those of the names
+    ``out`` and ``text_out`` are replaced. Texts above ``long`` characters go through parts.
     """
-    kept = [c for c in docs.columns if c != out]
+    kept = [c for c in docs.columns if c not in (out, text_out)]
     whole = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc")
     body = F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("body")
     rows = docs.select(whole, body, F.monotonically_increasing_id().alias("row"))
     is_long = F.char_length("body") > long
-    short = rows.where(~is_long).select("doc", _encoded_short(F.col("body"), path, leaf).alias("ids"))
-    longer = rows.where(is_long)
-    ids = _encoded_long(longer.select("row", "body"), path, part, leaf)
-    parted = longer.join(ids, "row", "left").select("doc", F.coalesce("ids", F.lit(b"")).alias("ids"))
-    return short.unionByName(parted).select("doc.*", F.col("ids").alias(out))
+    done = _encoded_short(rows.where(~is_long), path, leaf).unionByName(
+        _encoded_long(rows.where(is_long), path, part, leaf)
+    )
+    added = [F.col("ids").alias(out), *([F.col("decoded").alias(text_out)] if text_out else [])]
+    return done.select("doc.*", *added)
 
 
 def decoded(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -268,7 +296,6 @@ def decoded(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
     @F.pandas_udf("string")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for packed in batches:
-            own = codec(path)
-            yield pd.Series([own.text(p or b"") for p in packed], dtype="object")
+            yield pd.Series([codec(path).text(p or b"") for p in packed], dtype="object")
 
     return docs.withColumn(out, decode(F.col(f"`{ids}`")))

@@ -90,9 +90,17 @@ def byte_pieces(section: str, path: str) -> list[str]:
     return [as_text(c) for c, _ in tokenizer(path).pre_tokenizer.pre_tokenize_str(section)]
 
 
+def normalised_words(section: str, path: str) -> str:
+    """A section as the lower-casing word BPE reads it."""
+    return section.lower() if OTHER.search(section) is None else tokenizer(path).normalizer.normalize_str(section)
+
+
+def split_words(normalised: str, path: str) -> list[str]:
+    """Pre-tokens of a normalised section; white space is dropped."""
+    if OTHER.search(normalised) is None:
+        return WORD_SPLIT.findall(normalised)
+    return [as_text(c) for c, _ in tokenizer(path).pre_tokenizer.pre_tokenize_str(normalised)]
+
+
 def word_pieces(section: str, path: str) -> list[str]:
-    """Pre-tokens of the lower-casing word BPE; white space is dropped."""
-    if OTHER.search(section) is None:
-        return WORD_SPLIT.findall(section.lower())
-    own = tokenizer(path)
-    return [as_text(c) for c, _ in own.pre_tokenizer.pre_tokenize_str(own.normalizer.normalize_str(section))]
+    return split_words(normalised_words(section, path), path)

@@ -5,14 +5,18 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Characters that separate words; every other character belongs to a word.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
+# Text that a Python worker has in hand at once, besides the Arrow batch it came in.
+SLICE_CHARS = 1 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -30,7 +34,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -53,6 +57,19 @@ def text_bytes(docs: DataFrame, text: str) -> int:
     return docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
 
 
+def text_slices(texts: pa.Array, chars: int = SLICE_CHARS) -> Iterator[tuple[int, list[str | None]]]:
+    """The texts of an Arrow column, about ``chars`` characters at a time, each time with the place of the first."""
+    start, held, size = 0, [], 0
+    for value in texts:
+        held.append(value.as_py())
+        size += len(held[-1] or "")
+        if size >= chars:
+            yield start, held
+            start, held, size = start + len(held), [], 0
+    if held:
+        yield start, held
+
+
 def parts_for(amount: int, each: int, least: int = 1) -> int:
     """How many parts of about ``each`` hold ``amount``."""
     return max(least, -(-amount // each))
