@@ -69,7 +69,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    texts = bpe.decoded(bpe.encoded(docs.select("doc_id", "text"), path).drop("text"), path)
+    texts = bpe.encoded(docs.select("doc_id", "text"), path, text_out="decoded").drop("text")
     return texts.select(
         "doc_id",
         F.expr("CAST(octet_length(ids) DIV 4 AS bigint)").alias("n_tokens"),
