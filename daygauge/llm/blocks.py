@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,3 +52,22 @@ def batches(
             start, held, size = start + len(held), [], 0
     if held:
         yield start, held
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Values byte by byte, all first bytes before all second ones: close values compress well so."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def from_planes(packed: pa.Scalar, dtype) -> np.ndarray:
+    flat = np.frombuffer(packed.as_buffer(), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(flat.T).view(dtype).ravel()
+
+
+def ascending(numbers: np.ndarray) -> bytes:
+    """64-bit numbers in ascending order, as the steps between them."""
+    return planes(np.diff(numbers, prepend=np.int64(0)))
+
+
+def from_ascending(packed: pa.Scalar) -> np.ndarray:
+    return np.cumsum(from_planes(packed, np.int64))

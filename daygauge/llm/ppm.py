@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from daygauge.llm.blocks import BATCH_ROWS, BLOCK_BYTES, batches, in_blocks
+from daygauge.llm.blocks import BATCH_ROWS, BLOCK_BYTES, ascending, batches, from_ascending, from_planes, in_blocks, planes
 from daygauge.llm.workspace import stored
 
 # With the number of a text in a batch, (context, symbol) has to fit into 63 bits: 5 bytes at most.
@@ -195,7 +195,7 @@ def _ask(parts: int, order: int):
             part = _part_of(kind, numbers, parts, order)
             for p in np.unique(part).tolist():
                 own = part == p
-                packed = numbers[own].tobytes(), counts[own].astype(np.uint32).tobytes()
+                packed = ascending(numbers[own]), planes(counts[own].astype(np.uint32))
                 rows.append({"kind": kind, "part": p, "block": block, "numbers": packed[0], "counts": packed[1]})
         schema = pa.schema(
             [("kind", pa.string()), ("part", pa.int32()), ("block", pa.int32()), ("numbers", pa.binary()), ("counts", pa.binary())]
@@ -210,11 +210,11 @@ def _answer(below: Below, order: int):
 
     def answer(table: pa.Table) -> pa.Table:
         kind = table.column("kind")[0].as_py()
-        numbers = [np.frombuffer(x.as_buffer(), np.int64) for x in table.column("numbers")]
-        counts = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("counts")]
+        numbers = [from_ascending(x) for x in table.column("numbers")]
+        counts = [from_planes(x, np.uint32) for x in table.column("counts")]
         different, totals = summed(np.concatenate(numbers), np.concatenate(counts))
         values = costs(different, totals, below, order) if kind == "gram" else totals.astype(np.float64)
-        sent = [values[np.searchsorted(different, own)].tobytes() for own in numbers]
+        sent = [planes(values[np.searchsorted(different, own)]) for own in numbers]
         distinct = [int(np.count_nonzero(totals))] + [0] * (len(sent) - 1)
         columns = [table.column("kind"), table.column("part"), table.column("block"), table.column("numbers"), pa.array(sent, pa.binary()), pa.array(distinct, pa.int64())]
         return pa.Table.from_arrays(columns, names=["kind", "part", "block", "numbers", "vals", "distinct"])
@@ -227,8 +227,8 @@ def _values(answers: pa.Table, kind: str) -> tuple[np.ndarray, np.ndarray]:
     rows = [i for i, k in enumerate(answers.column("kind").to_pylist()) if k == kind]
     if not rows:
         return np.empty(0, np.int64), np.empty(0)
-    numbers = np.concatenate([np.frombuffer(answers.column("numbers")[i].as_buffer(), np.int64) for i in rows])
-    values = np.concatenate([np.frombuffer(answers.column("vals")[i].as_buffer(), np.float64) for i in rows])
+    numbers = np.concatenate([from_ascending(answers.column("numbers")[i]) for i in rows])
+    values = np.concatenate([from_planes(answers.column("vals")[i], np.float64) for i in rows])
     order = np.argsort(numbers)
     return numbers[order], values[order]
 
@@ -283,8 +283,8 @@ def one_byte_counts(questions: DataFrame, order: int) -> np.ndarray:
     def counted(parts):
         for batch in parts:
             for numbers, counts in zip(batch.column("numbers"), batch.column("counts")):
-                codes = np.frombuffer(numbers.as_buffer(), np.int64)
-                keys, n = summed((codes >> (9 + 8 * (order - 1)) << 9) | (codes & 511), np.frombuffer(counts.as_buffer(), np.uint32))
+                codes = from_ascending(numbers)
+                keys, n = summed((codes >> (9 + 8 * (order - 1)) << 9) | (codes & 511), from_planes(counts, np.uint32))
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
 
     pairs = questions.where("kind = 'gram'").select("numbers", "counts").mapInArrow(counted, "key long, n long")
