@@ -79,9 +79,8 @@ class Below:
         none = ones.sum(axis=0)
         q, t = np.count_nonzero(none), none.sum()
         with np.errstate(divide="ignore", invalid="ignore"):
-            last = -np.log10(SYMBOLS - q) if q < SYMBOLS else 0.0
-            rest = np.full(SYMBOLS, last)
-            first = _started(none, t, q, rest)
+            rest = np.full(SYMBOLS, -np.log10(SYMBOLS - q) if q < SYMBOLS else 0.0)
+            first = _started(none, t, q, rest, rest)
         self.counts = ones
         self.total, self.kinds = ones.sum(axis=1), np.count_nonzero(ones, axis=1)
         overlap = np.where(ones > 0, none[None, :], 0).sum(axis=1)
@@ -95,14 +94,18 @@ class Below:
             np.broadcast_to(rest, shape),
             np.broadcast_to(first, shape),
         )
-        self.started = _started(ones, self.total[:, None], self.kinds[:, None], self.rest)
+        self.started = _started(ones, self.total[:, None], self.kinds[:, None], self.rest, first)
 
 
-def _started(c, t, q, rest):
-    """log10 of a symbol's probability in a context from which nothing is excluded."""
+def _started(c, t, q, rest, shorter):
+    """log10 of a symbol's probability in a context from which nothing is excluded.
+
+    rest: behind an escape; shorter: in the next shorter context, for a context never seen.
+    """
     with np.errstate(divide="ignore", invalid="ignore"):
         seen = np.where(q == SYMBOLS, c / t, (2 * c - 1) / (2 * t))
-        return np.where(c > 0, np.log10(seen), np.log10(q / (2 * t)) + rest)
+        found = np.where(c > 0, np.log10(seen), np.log10(q / (2 * t)) + rest)
+    return np.where(t == 0, shorter, found)
 
 
 def _escaped(t, q, left, kinds, c, rest, started):
@@ -139,8 +142,7 @@ def costs(numbers: np.ndarray, counts: np.ndarray, below: Below, order: int) ->
         q = np.bincount(of, c > 0, len(context)).astype(np.int64)[of]
         overlap = np.bincount(of, np.where(c > 0, c_up, 0), len(context)).astype(np.int64)[of]
         rest = _escaped(t, q, t_up - overlap, q_up - q, c_up, rest_up, started_up)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            started = np.where(t == 0, started_up, _started(c, t, q, rest))
+        started = _started(c, t, q, rest, started_up)
         if depth:
             at = parents[depth - 1]
             c_up, rest_up, started_up, t_up, q_up = c[at], rest[at], started[at], t[at], q[at]

@@ -1,0 +1,167 @@
+"""Plain-Python readings of the text operators, and documents with every awkward case."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def frame(spark, rows, schema=SCHEMA):
+    return spark.createDataFrame(rows, schema)
+
+
+def awkward(spark, texts):
+    """Documents with given texts, some of them twice, with nulls in every column, and columns of clashing names."""
+    rows = []
+    for n, text in enumerate(texts):
+        rows.append((n, text, ["en", "de", None][n % 3], ["a", "b", None][n % 3], None if n % 4 == 0 else n))
+    rows += [rows[1], rows[1], (None, texts[0], None, None, None), (None, None, "en", "a", 0)]
+    clashing = ("row", "id", "body", "doc", "size", "kept", "block", "node", "recipe", "times", "place", "n", "part")
+    docs = frame(spark, rows)
+    for name in clashing:
+        docs = docs.withColumn(name, F.lit(name))
+    return docs, rows
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def lower(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def shingles(text):
+    own = words(lower(text))
+    return frozenset(tuple(own[k : k + 5]) for k in range(max(1, len(own) - 4))) if own else frozenset()
+
+
+def near_components(rows):
+    """Of (id, text): {row number: smallest id}, null ids last."""
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    sets = [shingles(t) for _, t in rows]
+    holders = defaultdict(list)
+    for n, own in enumerate(sets):
+        for s in own:
+            holders[s].append(n)
+    for n, own in enumerate(sets):
+        common = Counter(m for s in own for m in holders[s] if m < n)
+        for m, c in common.items():
+            if 100 * c >= 75 * (len(own) + len(sets[m]) - c):
+                parent[find(n)] = find(m)
+    members = defaultdict(list)
+    for n in range(len(rows)):
+        members[find(n)].append(rows[n][0])
+    first = {root: min(ids, key=lambda i: (i is None, i or 0)) for root, ids in members.items()}
+    return [first[find(n)] for n in range(len(rows))], [len(s) for s in sets]
+
+
+def removed(rows, window=50):
+    """Of (id, text): sorted (id, n_bytes, n_removed, n_spans, sha256 of what is kept)."""
+    last = 1 << 63
+    first = {}
+    encoded = [(last if i is None else i, (t or "").encode()) for i, t in rows]
+    for i, body in encoded:
+        for s in range(len(body) - window + 1):
+            own = body[s : s + window]
+            first[own] = min(i, first.get(own, i))
+    out = []
+    for i, body in encoded:
+        gone = [False] * len(body)
+        for s in range(len(body) - window + 1):
+            if first[body[s : s + window]] < i:
+                gone[s : s + window] = [True] * window
+        kept = bytes(b for b, g in zip(body, gone) if not g)
+        spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        out.append((i, len(body), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
+
+
+def ppm(train, order):
+    """A function (context, symbol) -> probability, from byte sequences with an end."""
+    counts = [defaultdict(Counter) for _ in range(order + 1)]
+    for text in train:
+        symbols = [*b" " * order, *text, 256]
+        for at in range(order, len(symbols)):
+            for j in range(order + 1):
+                counts[j][tuple(symbols[at - j : at])][symbols[at]] += 1
+
+    def probability(context, symbol):
+        excluded, found = set(), 1.0
+        for j in range(order, -1, -1):
+            seen = counts[j].get(tuple(context[len(context) - j :]), {})
+            live = {s: c for s, c in seen.items() if s not in excluded}
+            if live:
+                total, complete = sum(live.values()), len(excluded | set(seen)) == 257
+                if symbol in live:
+                    own = live[symbol]
+                    return found * (own / total if complete else (2 * own - 1) / (2 * total))
+                found *= len(live) / (2 * total)
+            excluded |= set(seen)
+        return found / (257 - len(excluded))
+
+    return probability
+
+
+def ppm_score(probability, text, order):
+    symbols = [*b" " * order, *text, 256]
+    return sum(math.log10(probability(symbols[n - order : n], symbols[n])) for n in range(order, len(symbols)))
+
+
+def mix(rows, weights=(5, 2, 1), budget=1.5, repeats=2):
+    """Of (id, text, source): {source: (size, target)} and the sorted (id, taken)."""
+    sizes = defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += len(words(text))
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[n % len(weights)] for n, s in enumerate(names)}
+    total = budget * sum(sizes.values())
+    full = set()
+    while True:
+        rest, open_ = total - sum(repeats * sizes[s] for s in full), [s for s in names if s not in full]
+        shares = {s: rest * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = {s for s in open_ if shares[s] > repeats * sizes[s] * (1 + 1e-12)}
+        if not over:
+            break
+        full |= over
+    target = {s: float(repeats * sizes[s]) if s in full else shares[s] for s in names}
+    place = lambda i: int(hashlib.md5(f"mix {'' if i is None else i}".encode()).hexdigest()[:8], 16)
+    queue = []
+    for source in names:
+        own = sorted((place(i), "" if i is None else str(i), len(words(t))) for i, t, s in rows if s == source)
+        upto = 0
+        for round_ in range(repeats):
+            groups = Counter(own)
+            for entry in sorted(groups):
+                upto += entry[2] * groups[entry]
+                if target[source]:
+                    queue.append((upto / target[source], (source is None, source or ""), entry, groups[entry]))
+    spent, taken = 0, Counter()
+    queue.sort(key=lambda q: q[:2])
+    at = 0
+    while at < len(queue):
+        peers = [q for q in queue[at:] if q[:2] == queue[at][:2]]
+        spent += sum(q[2][2] * q[3] for q in peers)
+        if spent > total:
+            break
+        for q in peers:
+            taken[(q[1], q[2])] += q[2][2]
+        at += len(peers)
+    result = []
+    for i, text, s in rows:
+        entry = (place(i), "" if i is None else str(i), len(words(text)))
+        result.append(((i is None, i or 0), taken[((s is None, s or ""), entry)]))
+    return {s: (sizes[s], target[s]) for s in names}, sorted(result)

@@ -1,0 +1,77 @@
+"""Prediction by partial matching."""
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import llm_brute as brute
+import numpy as np
+import pytest
+
+from daygauge.llm import ppm
+
+
+def texts(seed, n):
+    rng = random.Random(seed)
+    pool = ["the", "then", "than", "an", "a", "bé", "Queue", "q"]
+    return [" ".join(rng.choice(pool) for _ in range(rng.randint(0, 12))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("order", [2, 3, 5])
+def test_scores_equal_brute_force(spark, order):
+    docs, rows = brute.awkward(
+        spark, [*(f"{t} {chr(0xC0 + 64 * n)}{n}" for n, t in enumerate(texts(order, 40))), None, "", " \t\n", "Z" * 700]
+    )
+    found = ppm.scored(docs.repartition(3), order=order, block_bytes=400).collect()
+    name = lambda i: "" if i is None else str(i)
+    held = lambda i: zlib.crc32(name(i).encode()) % 5 == 1
+    split = [(i, brute.lower(t).encode().split()) for i, t, *_ in rows]
+    probability = brute.ppm([b" ".join(w) for i, w in split if not held(i)], order)
+    counts = Counter(x for i, w in split if not held(i) for x in [*w, None])
+    total, kinds = sum(counts.values()), len(counts)
+    want = []
+    for i, w in split:
+        tokens = [*w, None]
+        base = sum(math.log10((counts[x] + 0.5) / (total + 0.5 * (kinds + 1))) for x in tokens)
+        known = sum(counts[x] > 0 for x in tokens)
+        want.append((name(i), held(i), len(tokens), known, total, base, brute.ppm_score(probability, b" ".join(w), order)))
+    got = [(name(r.doc_id), *tuple(r)[1:]) for r in found]
+    for a, b in zip(sorted(got), sorted(want), strict=True):
+        assert a[:5] == b[:5]
+        assert a[5:] == pytest.approx(b[5:], abs=1e-9)
+
+
+def test_probabilities_of_a_context_add_up_to_one():
+    order = 2
+    split = [t.lower().encode().split() for t in texts(7, 30)] + [[bytes([b]) for b in range(33, 256)]]
+    (numbers, counts), _ = ppm._asked(split, np.ones(len(split), bool), order)
+    contexts = sorted({int(n) >> 9 for n in numbers})[::7]
+    asked = np.array([(c << 9) | s for c in contexts for s in range(257)], np.int64)
+    numbers, counts = ppm.summed(np.concatenate([numbers, asked]), np.concatenate([counts, np.zeros(len(asked), int)]))
+    ones = np.zeros((256, 257), np.int64)
+    np.add.at(ones, (numbers >> 17, numbers & 511), counts)
+    cost = 10 ** ppm.costs(numbers, counts, ppm.Below(ones), order)
+    for c in contexts:
+        assert cost[numbers >> 9 == c].sum() == pytest.approx(1)
+
+
+def test_longer_contexts_predict_held_out_text_better(spark):
+    rng = random.Random(1)
+    syllables = ["an", "the", "ti", "on", "re", "er", "st", "in"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(1, 4)))
+    rows = [(i, " ".join(word() for _ in range(200)), None, None, None) for i in range(120)]
+    docs = brute.frame(spark, rows)
+    totals = [sum(r.score for r in ppm.scored(docs, order=order).collect() if r.held_out) for order in (2, 4)]
+    letters = sum(len(t) + 1 for i, t, *_ in rows if zlib.crc32(str(i).encode()) % 5 == 1)
+    assert -letters * math.log10(8) < totals[0] < totals[1] < 0
+
+
+def test_scoring_without_training_and_without_rows(spark):
+    own = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
+    row = ppm.scored(brute.frame(spark, [(own, "ab", None, None, None)])).first()
+    assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens) == (True, 2, 0, 0)
+    assert row.score == pytest.approx(-3 * math.log10(257)) and row.base_score == pytest.approx(0)
+    assert ppm.scored(brute.frame(spark, [])).collect() == []
+    with pytest.raises(ValueError):
+        ppm.scored(brute.frame(spark, []), order=6)
