@@ -35,10 +35,10 @@ LOWER, MIDDLE, UPPER = 0.25, 0.5, 0.75
 REACH = 6.0
 # Measures as ratios, with the slack that any group has whatever its spread.
 RATIOS = {
-    "symbol_ratio": ("n_symbols / n_words", 0.15),
-    "dup_line_ratio": ("n_dup_lines / n_lines", 0.4),
-    "repeat_ratio": ("n_repeat_words / n_words", 0.25),
-    "word_length": ("word_chars / n_words", 2.0),
+    "symbol_ratio": ("n_symbols", "n_words", 0.15),
+    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.4),
+    "repeat_ratio": ("n_repeat_words", "n_words", 0.25),
+    "word_length": ("word_chars", "n_words", 2.0),
 }
 
 
@@ -120,14 +120,20 @@ def quantiles(sketch: DataFrame, groups: Sequence[str], at: dict[str, float]) ->
     return ranked.groupBy(*groups, "measure").agg(*found)
 
 
+def _ratio(name: str) -> Column:
+    """A measure as a ratio; null without words or lines."""
+    part, whole, _ = RATIOS[name]
+    return F.try_divide(F.col(part).cast("double"), F.col(whole))
+
+
 def thresholds(measured: DataFrame, groups: Sequence[str] = ("lang", "source")) -> DataFrame:
     """Per group a least and a greatest value of each ratio, from the documents that pass the base rules."""
-    ratios = [F.expr(rule).alias(name) for name, (rule, _) in RATIOS.items()]
+    ratios = [_ratio(name).alias(name) for name in RATIOS]
     usual = measured.where(~base_failed()).select(*groups, *ratios)
     spread = quantiles(
         sketches(usual, groups, list(RATIOS)), groups, {"lower": LOWER, "middle": MIDDLE, "upper": UPPER}
     )
-    slack = F.element_at(F.create_map(*[F.lit(x) for n, (_, s) in RATIOS.items() for x in (n, s)]), F.col("measure"))
+    slack = F.element_at(F.create_map(*[F.lit(x) for n, (*_, s) in RATIOS.items() for x in (n, s)]), F.col("measure"))
     bounds = spread.select(
         *groups,
         "measure",
@@ -145,8 +151,7 @@ def thresholds(measured: DataFrame, groups: Sequence[str] = ("lang", "source"))
 def _inside() -> Column:
     """Whether no ratio is beyond its group's bounds; a ratio or a bound that is missing rejects nothing."""
     checks = [
-        F.coalesce(F.expr(f"{rule} BETWEEN least_{name} AND most_{name}"), F.lit(True))
-        for name, (rule, _) in RATIOS.items()
+        F.coalesce(_ratio(name).between(F.col(f"least_{name}"), F.col(f"most_{name}")), F.lit(True)) for name in RATIOS
     ]
     result = checks[0]
     for check in checks[1:]:

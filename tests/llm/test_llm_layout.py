@@ -1,0 +1,104 @@
+"""Mixing and sharding."""
+
+import random
+from collections import Counter
+
+import llm_brute as brute
+import pytest
+
+from daygauge.llm import mixing, sharding
+
+
+def random_documents(seed, n, sources, hot=0.4):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        source = sources[0] if rng.random() < hot else rng.choice(sources)
+        rows.append((i, rng.choice([None, "", "w " * rng.randint(1, 30)]), None, source, None))
+    return rows
+
+
+@pytest.mark.parametrize("rows_a_bucket", [5, 20_000])
+@pytest.mark.parametrize("seed, sources", [(1, ["a", "b", "c", "d", None]), (2, ["x"]), (3, ["Z", "a", "ä", None, ""])])
+def test_mixing_equals_brute_force(spark, seed, sources, rows_a_bucket):
+    rows = random_documents(seed, 200, sources)
+    rows += [rows[0], rows[3], rows[3], (None, "w w", None, sources[0], None)]
+    goals, taken = brute.mix([(i, t, s) for i, t, _, s, _ in rows])
+    docs = brute.frame(spark, rows).repartition(3)
+    found = mixing.mix_counts(docs, rows_a_bucket=rows_a_bucket).collect()
+    assert sorted(((r.doc_id is None, r.doc_id or 0), r.taken) for r in found) == taken
+    by_id = {i: s for i, _, _, s, _ in rows}
+    for r in found:
+        size, target = goals[by_id[r.doc_id]]
+        assert r.source_size == size and r.target == pytest.approx(target)
+        assert r.taken <= 2 * r.size
+    longest = max(len(brute.words(t)) for _, t, *_ in rows)
+    per_source = Counter()
+    for r in found:
+        per_source[by_id[r.doc_id]] += r.taken
+    assert all(abs(per_source[s] - goals[s][1]) <= 2 * longest + 2 for s in goals)
+    mixed = mixing.mixed(docs, rows_a_bucket=rows_a_bucket)
+    assert mixed.columns == docs.columns
+    times = Counter({r.doc_id: 0 for r in found})
+    for r in found:
+        times[r.doc_id] += r.times
+    assert Counter(r.doc_id for r in mixed.collect()) == +times
+
+
+def test_mixing_awkward_tables(spark):
+    docs, rows = brute.awkward(spark, ["", None, " "])
+    assert [r.taken for r in mixing.mix_counts(docs).collect()] == [0] * len(rows)
+    assert mixing.mixed(docs).columns == docs.columns
+    empty = docs.limit(0)
+    assert mixing.mix_counts(empty).collect() == mixing.mixed(empty).collect() == []
+
+
+def ring_brute(keys, shards, virtual_nodes):
+    """Keys one by one in the order of the rounds: how many of each arc each shard takes."""
+    positions, owners = sharding.ring(shards, virtual_nodes)
+    arcs = Counter(int((positions < k).sum()) % len(positions) for k in keys)
+    free = sharding.capacities(len(keys), shards)
+    placed = Counter()
+    for step in range(len(owners)):
+        for arc in range(len(owners)):
+            shard = owners[(arc + step) % len(owners)]
+            while arcs[arc] and free[shard]:
+                arcs[arc] -= 1
+                free[shard] -= 1
+                placed[arc, shard] += 1
+    return placed
+
+
+def test_placements_equal_brute_force():
+    rng = random.Random(5)
+    for shards, nodes, n in ((3, 4, 50), (16, 8, 1000), (5, 1, 7), (4, 3, 0)):
+        keys = [rng.randrange(1 << 32) for _ in range(n)] + [7] * (n // 2)
+        positions, owners = sharding.ring(shards, nodes)
+        counts = Counter(int((positions < k).sum()) % len(positions) for k in keys)
+        plan = sharding.placements([counts[a] for a in range(len(owners))], owners, shards)
+        taken = Counter()
+        for arc, first, after, shard, _ in plan:
+            taken[arc, shard] += after - first
+        assert taken == ring_brute(keys, shards, nodes)
+
+
+@pytest.mark.parametrize("rows_a_bucket", [2, 20_000])
+def test_shards_are_even_and_gapless(spark, rows_a_bucket):
+    rows = [(i, f"text {i} é", None, None, None) for i in range(700)]
+    rows += [(5, f"hot {i}", None, None, None) for i in range(330)] + [rows[9]] * 3 + [(None, None, None, None, None)] * 4
+    found = sharding.sharded(brute.frame(spark, rows).repartition(5), 16, rows_a_bucket=rows_a_bucket).collect()
+    assert Counter((r.doc_id, r.size) for r in found) == Counter((i, len((t or "").encode()) + 1) for i, t, *_ in rows)
+    counts = Counter(r.shard for r in found)
+    assert max(counts.values()) - min(counts[s] for s in range(16)) <= 1
+    for shard in counts:
+        assert sorted(r.slot for r in found if r.shard == shard) == list(range(counts[shard]))
+
+
+def test_one_more_shard_moves_few_rows(spark):
+    docs = brute.frame(spark, [(i, "t", None, None, None) for i in range(4000)])
+    before = {r.doc_id: r.shard for r in sharding.sharded(docs, 10).collect()}
+    after = {r.doc_id: r.shard for r in sharding.sharded(docs, 11).collect()}
+    # A new assignment by modulo would move ten of eleven rows.
+    assert sum(before[i] != after[i] for i in before) < 0.6 * len(before)
+    assert sharding.sharded(docs.limit(0), 16).collect() == []
+    assert {r.doc_id: r.shard for r in sharding.sharded(docs.repartition(7), 10).collect()} == before
