@@ -202,9 +202,9 @@ def _quality_sql() -> str:
     width = f"ln({quality.WIDTH}::DOUBLE)"
     ratios = list(quality.RATIOS.items())
     each = "\n  UNION ALL ".join(
-        f"SELECT lang, source, '{name}' AS measure, {rule.replace(' / ', '::DOUBLE / ')} AS value, "
+        f"SELECT lang, source, '{name}' AS measure, {part}::DOUBLE / nullif({whole}, 0) AS value, "
         f"{slack}::DOUBLE AS slack FROM b WHERE NOT base_failed"
-        for name, (rule, slack) in ratios
+        for name, (part, whole, slack) in ratios
     )
     bounds = ",\n         ".join(
         f"max(CASE WHEN measure = '{name}' THEN {bound} END) AS {bound}_{name}"
@@ -212,8 +212,8 @@ def _quality_sql() -> str:
         for bound in ("least", "most")
     )
     inside = " AND ".join(
-        f"coalesce({rule.replace(' / ', '::DOUBLE / ')} BETWEEN least_{name} AND most_{name}, true)"
-        for name, (rule, _) in ratios
+        f"coalesce({part}::DOUBLE / nullif({whole}, 0) BETWEEN least_{name} AND most_{name}, true)"
+        for name, (part, whole, _) in ratios
     )
     quantile = (
         "CASE WHEN min(bucket) FILTER (WHERE upto >= al * {0}) = {1} THEN 0 "
