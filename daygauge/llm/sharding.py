@@ -1,8 +1,9 @@
 """Consistent-hash ring with virtual nodes and bounded loads.
 
 Keys go to the next virtual node clockwise; a shard takes as many as its capacity, and
-what it can't take goes on clockwise. Capacities add up to the number of rows, so the
-shards' counts are at most one apart.
+what it can't take goes on clockwise. Without slack, capacities add up to the number of
+rows, so the shards' counts are at most one apart; slack lets more keys stay where they
+first fall, so that another number of shards moves fewer.
 
 Every key of an arc between two virtual nodes meets the same nodes, so only the arcs'
 counts are needed to know how many of an arc's keys each shard takes. The arcs are as
@@ -12,6 +13,7 @@ many as the virtual nodes, whatever the input; the keys themselves never leave S
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,18 +38,22 @@ def ring(shards: int, virtual_nodes: int = VIRTUAL_NODES) -> tuple[np.ndarray, l
     return np.array([p for p, _ in points], dtype=np.int64), [s for _, s in points]
 
 
-def capacities(rows: int, shards: int) -> list[int]:
-    """Rows that each shard takes; the first ones take the remainder."""
+def capacities(rows: int, shards: int, slack: float = 0.0) -> list[int]:
+    """Rows that each shard takes at most; without slack, the first ones take the remainder."""
+    if slack:
+        return [math.ceil(rows * (1 + slack) / shards)] * shards
     return [rows // shards + (s < rows % shards) for s in range(shards)]
 
 
-def placements(counts: list[int], owners: list[int], shards: int) -> list[tuple[int, int, int, int, int]]:
+def placements(
+    counts: list[int], owners: list[int], shards: int, slack: float = 0.0
+) -> list[tuple[int, int, int, int, int]]:
     """(arc, first rank, rank after the last, shard, first slot), from the keys' count per arc.
 
     All arcs fill their own node's shard first, in the order of the ring; then what is left
     of each arc goes one node further, until nothing is left.
     """
-    free = capacities(sum(counts), shards)
+    free = capacities(sum(counts), shards, slack)
     used = [0] * shards
     at = [0] * len(counts)
     plan = []
@@ -72,13 +78,14 @@ def sharded(
     key: str = "doc_id",
     text: str = "text",
     virtual_nodes: int = VIRTUAL_NODES,
+    slack: float = 0.0,
     rows_a_bucket: int = ROWS_A_BUCKET,
 ) -> DataFrame:
     """One row per document: the key, size, text_crc32, shard, slot.
 
     size: UTF-8 bytes plus 1; text_crc32 of the text, a null text counting as empty in both.
-    The law is ``rows``: the shards' counts are at most one apart, and slots run without gaps
-    from 0 in each. Keys that are equal or null have one place on the ring and are told apart
+    Without ``slack`` the law is ``rows``: the shards' counts are at most one apart. With it no
+    shard has more than 1 + slack times the mean. Slots run without gaps from 0 in each. Keys that are equal or null have one place on the ring and are told apart
     by their rank there (ordered by checksum and size; equal rows are interchangeable), so a
     key that holds a third of all rows overflows like any other arc. An empty table gives no
     rows. Only the three narrow columns are moved.
@@ -108,7 +115,7 @@ def sharded(
     rows = rows.withColumn("fine", spread)
     counted = rows.groupBy("arc", "fine").agg(F.count("*").alias("n"))
     by_arc = {r["arc"]: r["n"] for r in counted.groupBy("arc").agg(F.sum("n").alias("n")).collect()}
-    plan = placements([by_arc.get(a, 0) for a in range(len(owners))], owners, shards)
+    plan = placements([by_arc.get(a, 0) for a in range(len(owners))], owners, shards, slack)
     # As many entries as arcs and cut points: bounded by the ring, not by the rows.
     schema = "arc int, first bigint, after bigint, shard int, slot bigint"
     entries = F.broadcast(spark.createDataFrame(plan, schema))

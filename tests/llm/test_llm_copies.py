@@ -34,8 +34,10 @@ def near_texts(seed):
     return texts
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_near_duplicates_equal_brute_force(spark, seed):
+@pytest.mark.parametrize("seed, leaders, block_bytes", [(1, 6, 2 << 20), (2, 1, 20_000)])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, seed, leaders, block_bytes):
+    monkeypatch.setattr(near_dup, "LEADERS", leaders)
+    monkeypatch.setattr(near_dup, "BLOCK_BYTES", block_bytes)
     docs, rows = brute.awkward(spark, near_texts(seed))
     first, sizes = brute.near_components([r[:2] for r in rows])
     found = near_dup.near_duplicates(docs.repartition(3)).collect()
