@@ -11,18 +11,19 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from daygauge.llm.splitting import byte_pieces, sections, tokenizer
-from daygauge.llm.workspace import stored
+from daygauge.llm.workspace import stored, text_slices
 
-# The most frequent pre-tokens, sent to all tasks: a few MB.
+# The most frequent pre-tokens, up to this many, are sent to all tasks: a few MB.
 FREQUENT = 200_000
 # A task's distinct pre-tokens are sent on and forgotten at this number.
-HELD = 400_000
+HELD = 200_000
+RARE = pa.list_(pa.struct([("piece", pa.string()), ("times", pa.int32())]))
 
 
 def document_pieces(text: str | None, path: str) -> tuple[Counter, int]:
@@ -62,6 +63,21 @@ def piece_table(docs: DataFrame, path: str, text: str, held: int = HELD) -> Data
     return distinct.mapInArrow(encoded, "piece string, n long, tokens int")
 
 
+def _frequent(table: DataFrame, most: int) -> DataFrame:
+    """The pre-tokens above a frequency that at most ``most`` of them reach: piece, tokens.
+
+    Frequencies are graded by their logarithm, so a few hundred counts tell where to cut.
+    """
+    grade = F.floor(20 * F.ln("n")).cast("int")
+    held, cut = 0, None
+    for at, n in table.groupBy(grade.alias("grade")).count().orderBy(F.desc("grade")).collect():
+        held += n
+        if held > most:
+            break
+        cut = at
+    return table.where(grade >= cut if cut is not None else F.lit(False)).select("piece", "tokens")
+
+
 def token_counts(
     docs: DataFrame,
     path: str,
@@ -79,42 +95,45 @@ def token_counts(
     """
     spark = docs.sparkSession
     table = stored(piece_table(docs, path, text, held), "pre-tokens")
-    top = table.orderBy(F.desc("n"), "piece").limit(frequent).select("piece", "tokens")
-    known = spark.sparkContext.broadcast(dict(map(tuple, top.collect())))
+    known = spark.sparkContext.broadcast(dict(map(tuple, _frequent(table, frequent).collect())))
 
-    @F.pandas_udf("known long, pieces array<string>, times array<int>")
-    def counted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = known.value
-        for texts in batches:
-            rows = []
-            for value in texts:
-                found, total = document_pieces(value, path)
-                pieces, times = [], []
-                for piece, n in found.items():
-                    own = tokens.get(piece)
-                    if own is None:
-                        pieces.append(piece)
-                        times.append(n)
-                    else:
-                        total += n * own
-                rows.append((total, pieces, times))
-            yield pd.DataFrame(rows, columns=["known", "pieces", "times"])
+        for batch in batches:
+            for start, texts in text_slices(batch.column("body")):
+                totals, rare = [], []
+                for value in texts:
+                    found, total = document_pieces(value, path)
+                    own = []
+                    for piece, n in found.items():
+                        count = tokens.get(piece)
+                        if count is None:
+                            own.append({"piece": piece, "times": n})
+                        else:
+                            total += n * count
+                    totals.append(total)
+                    rare.append(own)
+                columns = [batch.column(name).slice(start, len(texts)) for name in ("row", "id", "n_bytes")]
+                columns += [pa.array(totals, pa.int64()), pa.array(rare, RARE)]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "n_bytes", "known", "rare"])
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(key).alias("id"),
         F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("bigint").alias("n_bytes"),
-        counted(F.col(text)).alias("c"),
+        F.col(text).alias("body"),
     )
-    each = rows.select("row", "id", "n_bytes", "c.known", F.explode_outer(F.arrays_zip("c.pieces", "c.times")).alias("p"))
+    added = StructType.fromDDL("known long, rare array<struct<piece:string,times:int>>")
+    rows = rows.mapInArrow(counted, StructType([*rows.drop("body").schema.fields, *added.fields]))
+    each = rows.select("row", "id", "n_bytes", "known", F.explode_outer("rare").alias("p"))
     # A document without rare pre-tokens keeps one row through the join, with a key that no
     # pre-token has (NUL before digits), each its own so that they don't meet in one task.
-    piece = F.coalesce("p.pieces", F.concat(F.lit("\0"), F.col("row").cast("string"))).alias("piece")
+    piece = F.coalesce("p.piece", F.concat(F.lit("\0"), F.col("row").cast("string"))).alias("piece")
     rare = each.select("row", "id", "n_bytes", "known", piece, F.col("p.times").alias("times"))
     joined = rare.join(table.select("piece", "tokens"), "piece", "left")
     more = F.coalesce(F.col("times") * F.col("tokens"), F.lit(0)).cast("bigint")
     return (
         joined.groupBy("row")
-        .agg(F.first("id").alias("id"), F.first("n_bytes").alias("n_bytes"), F.first("known").alias("known"), F.sum(more).alias("more"))
+        .agg(*[F.first(name).alias(name) for name in ("id", "n_bytes", "known")], F.sum(more).alias("more"))
         .select(F.col("id").alias(key), "n_bytes", (F.col("known") + F.col("more")).alias("n_tokens"))
     )
