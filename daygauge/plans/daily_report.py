@@ -96,9 +96,8 @@ def main() -> None:
     parser.add_argument("--as-of", type=date.fromisoformat, help="today's date (default: now in --tz)")
     parser.add_argument("--tz", default="UTC", help="time zone of today's date and of the days of instants")
     parser.add_argument("--rollup", help="folder of the stored day rollups to extend and use")
-    parser.add_argument(
-        "--refold", nargs=2, type=date.fromisoformat, metavar=("FIRST", "LAST"), help="days to fold into the rollup again"
-    )
+    days = {"nargs": 2, "type": date.fromisoformat, "metavar": ("FIRST", "LAST")}
+    parser.add_argument("--refold", **days, help="days to fold into the rollup again")
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("daygauge-daily-report").getOrCreate()
