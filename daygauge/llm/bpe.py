@@ -216,10 +216,12 @@ def _encoded_short(rows: DataFrame, path: str, leaf: int) -> DataFrame:
             for start, texts in text_slices(batch.column("body")):
                 ids = [encode_text(t, path, leaf) for t in texts]
                 text = [codec(path).text(i) for i in ids]
-                columns = [batch.column("doc").slice(start, len(ids)), pa.array(ids, pa.binary()), pa.array(text, pa.string())]
+                columns = [batch.column("doc").slice(start, len(ids))]
+                columns += [pa.array(ids, pa.binary()), pa.array(text, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc", "ids", "decoded"])
 
-    return rows.select("doc", "body").mapInArrow(encode, _schema(rows, ("ids", BinaryType()), ("decoded", StringType())))
+    schema = _schema(rows, ("ids", BinaryType()), ("decoded", StringType()))
+    return rows.select("doc", "body").mapInArrow(encode, schema)
 
 
 PART_FIELDS = "array<struct<kind:string,cut:int,body:string>>"

@@ -190,4 +190,5 @@ def mixed(
         shuffle_key(F.col(f"doc.`{key}`")).alias("place"),
     )
     taken = lead.join(cuts, same(F.col("source"), F.col("c_source"))).withColumn("times", _times(repeats))
-    return taken.where("times > 0").select(F.explode(F.array_repeat("doc", F.col("times").cast("int"))).alias("doc")).select("doc.*")
+    each = F.explode(F.array_repeat("doc", F.col("times").cast("int"))).alias("doc")
+    return taken.where("times > 0").select(each).select("doc.*")

@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from daygauge.llm.blocks import BATCH_ROWS, BLOCK_BYTES, ascending, batches, from_ascending, from_planes, in_blocks, planes
+from daygauge.llm.blocks import BATCH_ROWS, BLOCK_BYTES, batches, in_blocks
+from daygauge.llm.blocks import ascending, from_ascending, from_planes, planes
 from daygauge.llm.workspace import stored
 
 # With the number of a text in a batch, (context, symbol) has to fit into 63 bits: 5 bytes at most.
@@ -199,10 +200,8 @@ def _ask(parts: int, order: int):
                 own = part == p
                 packed = ascending(numbers[own]), planes(counts[own].astype(np.uint32))
                 rows.append({"kind": kind, "part": p, "block": block, "numbers": packed[0], "counts": packed[1]})
-        schema = pa.schema(
-            [("kind", pa.string()), ("part", pa.int32()), ("block", pa.int32()), ("numbers", pa.binary()), ("counts", pa.binary())]
-        )
-        return pa.Table.from_pylist(rows, schema)
+        kinds = [("kind", pa.string()), ("part", pa.int32()), ("block", pa.int32())]
+        return pa.Table.from_pylist(rows, pa.schema([*kinds, ("numbers", pa.binary()), ("counts", pa.binary())]))
 
     return ask
 
@@ -218,8 +217,9 @@ def _answer(below: Below, order: int):
         values = costs(different, totals, below, order) if kind == "gram" else totals.astype(np.float64)
         sent = [planes(values[np.searchsorted(different, own)]) for own in numbers]
         distinct = [int(np.count_nonzero(totals))] + [0] * (len(sent) - 1)
-        columns = [table.column("kind"), table.column("part"), table.column("block"), table.column("numbers"), pa.array(sent, pa.binary()), pa.array(distinct, pa.int64())]
-        return pa.Table.from_arrays(columns, names=["kind", "part", "block", "numbers", "vals", "distinct"])
+        answered = table.select(["kind", "part", "block", "numbers"])
+        answered = answered.append_column("vals", pa.array(sent, pa.binary()))
+        return answered.append_column("distinct", pa.array(distinct, pa.int64()))
 
     return answer
 

@@ -178,7 +178,10 @@ def quality(
     ones alike. An empty table gives no rows. Other columns are not read.
     """
     rows = docs.select(
-        F.col(key).alias("id"), F.col(lang).alias("lang"), F.col(source).alias("source"), _measured(F.col(text)).alias("m")
+        F.col(key).alias("id"),
+        F.col(lang).alias("lang"),
+        F.col(source).alias("source"),
+        _measured(F.col(text)).alias("m"),
     ).select("id", "lang", "source", "m.*")
     measured = stored(rows, "quality-measures")
     bounds = stored(thresholds(measured), "quality-bounds")

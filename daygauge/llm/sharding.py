@@ -85,10 +85,11 @@ def sharded(
 
     size: UTF-8 bytes plus 1; text_crc32 of the text, a null text counting as empty in both.
     Without ``slack`` the law is ``rows``: the shards' counts are at most one apart. With it no
-    shard has more than 1 + slack times the mean. Slots run without gaps from 0 in each. Keys that are equal or null have one place on the ring and are told apart
-    by their rank there (ordered by checksum and size; equal rows are interchangeable), so a
-    key that holds a third of all rows overflows like any other arc. An empty table gives no
-    rows. Only the three narrow columns are moved.
+    shard has more than 1 + slack times the mean. Slots run without gaps from 0 in each. Keys
+    that are equal or null have one place on the ring and are told apart by their rank there
+    (ordered by checksum and size; equal rows are interchangeable), so a key that holds a third
+    of all rows overflows like any other arc. An empty table gives no rows. Only the three
+    narrow columns are moved.
     """
     spark = docs.sparkSession
     positions, owners = ring(shards, virtual_nodes)
