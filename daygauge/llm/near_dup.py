@@ -7,13 +7,18 @@ agree in it with the probability of their similarity, and one or two rounds are
 document of usual length. Bands of coordinates put similar documents into common buckets.
 
 Documents with equal sets are one node from the start. A bucket doesn't compare all its
-nodes: one node, the leader, is compared with the others, links are confirmed on the whole
-sets, and linked nodes become one component. Only nodes of one bucket that are still in
-different components and were not compared yet go on to the next round. Pairs inside a
-component need no comparison, since they change no component.
+nodes: a few leaders are compared with the others, links are confirmed on the whole sets, and
+linked nodes become one component. Pairs inside a component need no comparison, since they
+change no component. After that, a large bucket of near copies is one component and some
+nodes that none of the leaders resembles. Such buckets that share nodes are one group, and its
+nodes outside the largest component are compared, as a set of queries in blocks, with all nodes
+of the group. A block is compared with another inside one task, by bits that say which of their
+common shingles each set has; only links come out, and no pair of a bucket is left out.
 
 With 32 bands of 4 coordinates a pair of similarity 0.75 has no common bucket with a
-probability of 5 in a million, and pairs of more similarity with less.
+probability of 5 in a million, and pairs of more similarity with less. Before whole sets are
+fetched, pairs are passed over whose sketches agree in fewer coordinates than such a pair's do
+but for 3 in a million.
 """
 
 from __future__ import annotations
@@ -23,21 +28,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from daygauge.llm.workspace import numbered, stored
+from daygauge.llm.workspace import numbered, stored, text_slices
 
 WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 32, 4
 # Candidates' keys up to this many are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_KEYS = 4_000_000
-# Remaining comparisons are made at once when they are at most so many for each bucket entry.
-PAIRS_AN_ENTRY = 4
-# Shingles that are sketched together.
-TOGETHER = 1 << 20
+# A bucket's leaders in each round, and the rounds before the rest is compared.
+LEADERS, TURNS = 2, 2
+# Bytes of whole sets in a block.
+BLOCK_BYTES = 2 << 20
+# Standard deviations that a linked pair's agreement may be below its expectation.
+DEVIATIONS = 4.5
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -95,45 +104,47 @@ def band_keys(sketched: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _chunks(sets: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
-    held, size = [], 0
-    for s in sets:
-        held.append(s)
-        size += len(s)
-        if size >= TOGETHER:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
-def _described(text: Column, words: int, bands: int, rows: int) -> Column:
-    """Struct of n (set size), sig (a digest of the set; null for an empty one) and its band keys."""
-
-    @F.pandas_udf("n long, sig binary, bands array<long>")
-    def described(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            out = []
-            for sets in _chunks([shingles(t, words) for t in texts]):
-                keys = band_keys(sketches(sets, bands * rows), bands)
-                out += [
-                    (len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), k) if len(s) else (0, None, None)
-                    for s, k in zip(sets, keys)
+def _described(rows: DataFrame, words: int, bands: int, band_rows: int) -> DataFrame:
+    """Of rows (row, id, hash, body): row, id, hash, n (set size), sig (a digest of the set; null for an
+    empty one), bands (its keys) and coords (two bytes of each coordinate)."""
+    size = bands * band_rows
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, texts in text_slices(batch.column("body")):
+                sets = [shingles(t, words) for t in texts]
+                filled = [s for s in sets if len(s)]
+                sketched = sketches(filled, size)
+                counts = np.array([len(s) for s in sets], np.int64)
+                ends = np.cumsum(np.where(counts > 0, bands, 0))
+                digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+                short = iter(sketched.astype(np.uint16))
+                columns = [
+                    *(batch.column(name).slice(start, len(texts)) for name in ("row", "id", "hash")),
+                    pa.array(counts),
+                    pa.array(digests, pa.binary()),
+                    pa.ListArray.from_arrays(np.append(0, ends).astype(np.int32), band_keys(sketched, bands).ravel()),
+                    pa.array([next(short).tobytes() if len(s) else None for s in sets], pa.binary()),
                 ]
-            yield pd.DataFrame(out, columns=["n", "sig", "bands"])
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "hash", "n", "sig", "bands", "coords"])
 
-    return described(text)
+    added = "n long, sig binary, bands array<long>, coords binary"
+    schema = StructType([*rows.drop("body").schema.fields, *StructType.fromDDL(added).fields])
+    return rows.mapInArrow(describe, schema)
 
 
-def _set(text: Column, words: int) -> Column:
-    @F.pandas_udf("sig binary, packed binary")
-    def packed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            sets = [shingles(t, words).tobytes() for t in texts]
-            digests = [hashlib.blake2b(s, digest_size=16).digest() for s in sets]
-            yield pd.DataFrame({"sig": digests, "packed": sets})
+def _sets(bodies: DataFrame, words: int) -> DataFrame:
+    """Of rows (body): sig, packed (the whole set)."""
 
-    return packed(text)
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in text_slices(batch.column("body")):
+                sets = [shingles(t, words).tobytes() for t in texts]
+                digests = [hashlib.blake2b(s, digest_size=16).digest() for s in sets]
+                columns = [pa.array(digests, pa.binary()), pa.array(sets, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["sig", "packed"])
+
+    return bodies.mapInArrow(packed, "sig binary, packed binary")
 
 
 def _linked(percent: int) -> Column:
@@ -150,6 +161,20 @@ def _linked(percent: int) -> Column:
     return linked("a_set", "b_set")
 
 
+def _alike(percent: int, size: int) -> Column:
+    """Whether sketches agree as much as those of a linked pair must, but for rare chances."""
+    share = percent / 100
+    least = size * share - DEVIATIONS * (size * share * (1 - share)) ** 0.5
+
+    @F.pandas_udf("boolean")
+    def alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for left, right in batches:
+            a, b = (np.frombuffer(b"".join(x), np.uint16).reshape(len(x), size) for x in (left, right))
+            yield pd.Series((a == b).sum(axis=1) >= least, dtype="bool")
+
+    return alike("a_coords", "b_coords")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Of edges (a, b): node, root, the least node that is reachable.
 
@@ -184,70 +209,136 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     return components(old.union(links.select("a", "b")))
 
 
+def _in_order(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _led(entries: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Of entries (key, node, root): pairs with their bucket's leaders, and the entries that are left to compare.
+
+    Leaders are drawn by lot, one for each of several hashes, so that a bucket sends few rows.
+    They are compared with all of their bucket, so they leave it; buckets of one root are done.
+    """
+    lots = [
+        F.min(F.struct(F.xxhash64("node", F.lit(turn * LEADERS + i)).alias("lot"), "node", "root"))
+        for i in range(LEADERS)
+    ]
+    roots = F.min("root").alias("lo"), F.max("root").alias("hi")
+    drawn = entries.groupBy("key").agg(*roots, F.array(*lots).alias("led")).where("lo < hi")
+    leaders = drawn.select("key", F.explode("led").alias("l"))
+    leaders = leaders.select("key", F.col("l.node").alias("x"), F.col("l.root").alias("x_root"))
+    leaders = stored(leaders.distinct(), "leaders")
+    pairs = entries.join(leaders, "key").where("root <> x_root").withColumnRenamed("node", "y")
+    rest = entries.join(leaders.select("key").distinct(), "key", "left_semi")
+    rest = rest.join(leaders.select("key", F.col("x").alias("node")), ["key", "node"], "left_anti")
+    return _in_order(pairs), stored(rest.select("key", "node"), "buckets")
+
+
+def _compared(percent: int):
+    """Links between the sets of two blocks, without those inside a component."""
+
+    def packed(sets: list[np.ndarray], universe: np.ndarray) -> np.ndarray:
+        bits = np.zeros((len(sets), len(universe) // 64 + 1), np.uint64)
+        for row, own in zip(bits, sets):
+            at = np.searchsorted(universe, own)
+            at = at[universe[np.minimum(at, len(universe) - 1)] == own] if len(universe) else at[:0]
+            np.bitwise_or.at(row, at // 64, np.uint64(1) << (at % 64).astype(np.uint64))
+        return bits
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for left, right in zip(batch.column("left"), batch.column("right")):
+                left, right = left.as_py(), right.as_py()
+                a, b = ([np.frombuffer(x["packed"], np.uint64) for x in side] for side in (left, right))
+                universe = np.intersect1d(np.concatenate(a), np.concatenate(b))
+                a_bits, b_bits = packed(a, universe), packed(b, universe)
+                sizes, roots = np.array([len(x) for x in b]), np.array([x["root"] for x in right])
+                nodes, found = np.array([x["node"] for x in right], np.int64), []
+                for node, own, row in zip(left, a, a_bits):
+                    common = np.bitwise_count(b_bits & row).sum(axis=1).astype(np.int64)
+                    linked = (100 * common >= percent * (len(own) + sizes - common)) & (roots != node["root"])
+                    found += [(node["node"], other) for other in nodes[linked].tolist()]
+                columns = [pa.array([pair[i] for pair in found], pa.int64()) for i in range(2)]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    return compare
+
+
+def _left_over(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among the entries (key, node, root) of buckets with several roots."""
+    mixed = entries.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("node").alias("a"))
+    mixed = mixed.where("lo < hi").select("key", "a")
+    entries = stored(entries.join(mixed, "key"), "mixed-buckets")
+    groups = components(entries.select("a", F.col("node").alias("b"))).withColumnRenamed("root", "group")
+    members = groups.join(entries.select("node", "root").distinct(), "node").join(sets, "node")
+    members = stored(members, "mixed-groups")
+    weight = F.sum(F.octet_length("packed")).alias("bytes")
+    sizes = members.groupBy("group", "root").agg(F.count("*").alias("n"), weight)
+    main = sizes.groupBy("group").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.sum("bytes").alias("bytes"))
+    blocks = F.ceil(F.col("bytes") / BLOCK_BYTES).cast("int")
+    placed = members.join(main.select("group", "main", blocks.alias("blocks")), "group")
+    placed = placed.withColumn("block", F.expr("pmod(xxhash64(node), blocks)"))
+
+    def packed(rows: DataFrame, side: str) -> DataFrame:
+        return rows.groupBy("group", "block").agg(F.collect_list(F.struct("node", "root", "packed")).alias(side))
+
+    queries = packed(placed.where("root <> main"), "left").select("group", "left")
+    pairs = queries.join(packed(placed, "right").select("group", "right"), "group").select("left", "right")
+    return pairs.mapInArrow(_compared(percent), "a long, b long")
+
+
 def node_components(
-    rows: DataFrame, words: int, percent: int, bands: int, band_rows: int, pairs_an_entry: float
+    rows: DataFrame, words: int, percent: int, bands: int, band_rows: int
 ) -> tuple[DataFrame, DataFrame]:
     """Of rows (row, id, body): the rows as (row, id, n, sig, node), and the components (node, root).
 
     A node stands for all rows with equal sets; its number is the least of their ``row``.
     Nodes without links have no entry among the components.
     """
-    texts = rows.select("row", "id", F.xxhash64("body").alias("hash"), _described(F.col("body"), words, bands, band_rows).alias("d"))
-    described = stored(texts.select("row", "id", "hash", "d.*"), "sketches")
-    first = F.min(F.struct("row", "hash", "bands")).alias("f")
+    hashed = rows.select("row", "id", F.xxhash64("body").alias("hash"), "body")
+    described = stored(_described(hashed, words, bands, band_rows), "sketches")
+    first = F.min(F.struct("row", "hash", "bands", "coords")).alias("f")
     nodes = described.where("n > 0").groupBy("sig").agg(first)
-    nodes = stored(nodes.select("sig", F.col("f.row").alias("node"), F.col("f.hash").alias("hash"), "f.bands"), "nodes")
+    nodes = nodes.select("sig", F.col("f.row").alias("node"), F.col("f.hash").alias("hash"), "f.bands", "f.coords")
+    nodes = stored(nodes, "nodes")
 
     # Entries of the buckets that have two nodes at least.
     entries = nodes.select(F.explode("bands").alias("key"), "node")
-    filled = entries.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("leader")).where("size > 1")
-    entries = stored(entries.join(filled.select("key", "leader"), "key"), "buckets")
+    filled = entries.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
+    entries = stored(entries.join(filled, "key").withColumn("root", F.col("node")), "buckets")
 
     # The whole sets of these nodes only, made again from their texts.
-    wanted = stored(nodes.join(entries.select("node").distinct(), "node", "left_semi").select("node", "sig", "hash"), "candidates")
+    wanted = nodes.join(entries.select("node").distinct(), "node", "left_semi")
+    wanted = stored(wanted.select("node", "sig", "hash", "coords"), "candidates")
     keys = wanted.select("hash").distinct()
     keys = F.broadcast(keys) if wanted.count() <= BROADCAST_KEYS else keys
     bodies = rows.select(F.xxhash64("body").alias("hash"), "body").join(keys, "hash", "left_semi")
-    sets = bodies.dropDuplicates(["hash", "body"]).select(_set(F.col("body"), words).alias("s")).select("s.*")
-    sets = stored(wanted.join(sets.dropDuplicates(["sig"]), "sig").select("node", "packed"), "sets")
+    sets = _sets(bodies.dropDuplicates(["hash", "body"]).select("body"), words).dropDuplicates(["sig"])
+    sets = stored(wanted.join(sets, "sig").select("node", "packed"), "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        left = sets.select(F.col("node").alias("a"), F.col("packed").alias("a_set"))
-        right = sets.select(F.col("node").alias("b"), F.col("packed").alias("b_set"))
-        whole = pairs.select("a", "b").distinct().join(right, "b").join(left, "a")
-        return whole.where(_linked(percent)).select("a", "b")
-
-    others = entries.where("node <> leader")
-    roots = components(confirmed(others.select(F.col("leader").alias("a"), F.col("node").alias("b"))))
-    entries = others.select("key", "node")
-    for turn in range(1, 1 << 30):
-        placed = _rooted(entries, roots)
-        leader = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("lot"), "node", "root")).alias("l")
-        mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), leader).where("lo < hi")
-        entries = stored(placed.join(mixed.select("key", "l.*").withColumnsRenamed({"node": "leader", "root": "leader_root"}), "key"), "buckets")
-        sizes = entries.groupBy("key", "root").agg(F.count("*").alias("n"))
-        sizes = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"))
-        count, pairs = sizes.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2)).first()
-        if not count:
-            return _with_nodes(described, nodes), roots
-        if pairs <= pairs_an_entry * count:
-            left, right = entries.alias("x"), entries.alias("y")
-            apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root"))
-            rest = left.join(right, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-            return _with_nodes(described, nodes), _merged(roots, confirmed(rest))
-        led = entries.where("root <> leader_root")
-        roots = _merged(roots, confirmed(led.select(F.col("leader").alias("a"), F.col("node").alias("b"))))
-        entries = entries.where("node <> leader").select("key", "node")
-    raise AssertionError("unreachable")
-
-
-def _with_nodes(described: DataFrame, nodes: DataFrame) -> DataFrame:
-    return described.select("row", "id", "n", "sig").join(nodes.select("sig", "node"), "sig", "left")
-
-
-def _grouped(rows: DataFrame, words, percent, bands, band_rows, pairs_an_entry) -> DataFrame:
+        for side in ("b", "a"):
+            coords = wanted.select(F.col("node").alias(side), F.col("coords").alias(f"{side}_coords"))
+            pairs = pairs.join(coords, side)
+        likely = stored(pairs.where(_alike(percent, bands * band_rows)).select("a", "b"), "likely-pairs")
+        for side in ("b", "a"):
+            whole = sets.select(F.col("node").alias(side), F.col("packed").alias(f"{side}_set"))
+            likely = likely.join(whole, side)
+        return stored(likely.where(_linked(percent)).select("a", "b"), "links")
+
+    roots = None
+    for turn in range(TURNS):
+        pairs, entries = _led(entries, turn)
+        links = confirmed(pairs)
+        roots = components(links) if roots is None else _merged(roots, links)
+        entries = _rooted(entries, roots)
+    roots = _merged(roots, stored(_left_over(entries, sets, percent), "links"))
+    return described.select("row", "id", "n", "sig").join(nodes.select("sig", "node"), "sig", "left"), roots
+
+
+def _grouped(rows: DataFrame, words: int, percent: int, bands: int, band_rows: int) -> DataFrame:
     """Of rows (row, id, body): row, id, n, first (of the component, as a struct of none, id, row)."""
-    placed, roots = node_components(rows, words, percent, bands, band_rows, pairs_an_entry)
+    placed, roots = node_components(rows, words, percent, bands, band_rows)
     # Rows without shingles are components of their own, with negative numbers.
     placed = placed.withColumn("node", F.coalesce("node", -F.col("row") - 1))
     placed = stored(_rooted(placed.select("row", "id", "n", "node"), roots), "placed")
@@ -264,7 +355,6 @@ def near_duplicates(
     percent: int = PERCENT,
     bands: int = BANDS,
     band_rows: int = ROWS,
-    pairs_an_entry: float = PAIRS_AN_ENTRY,
 ) -> DataFrame:
     """One row per document: the key, n_shingles, component_id, kept.
 
@@ -275,9 +365,11 @@ def near_duplicates(
     Other columns are not read.
     """
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body")
+        F.monotonically_increasing_id().alias("row"),
+        F.col(key).alias("id"),
+        F.coalesce(F.col(text), F.lit("")).alias("body"),
     )
-    grouped = _grouped(rows, words, percent, bands, band_rows, pairs_an_entry)
+    grouped = _grouped(rows, words, percent, bands, band_rows)
     return grouped.select(
         F.col("id").alias(key),
         F.col("n").alias("n_shingles"),
@@ -294,11 +386,11 @@ def without_near_duplicates(
     percent: int = PERCENT,
     bands: int = BANDS,
     band_rows: int = ROWS,
-    pairs_an_entry: float = PAIRS_AN_ENTRY,
 ) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns. Texts move once."""
     whole = numbered(docs, "near-documents")
-    rows = whole.select("row", F.col(f"doc.`{key}`").alias("id"), F.coalesce(F.col(f"doc.`{text}`"), F.lit("")).alias("body"))
-    grouped = _grouped(rows, words, percent, bands, band_rows, pairs_an_entry)
+    body = F.coalesce(F.col(f"doc.`{text}`"), F.lit("")).alias("body")
+    rows = whole.select("row", F.col(f"doc.`{key}`").alias("id"), body)
+    grouped = _grouped(rows, words, percent, bands, band_rows)
     first = grouped.where(F.col("row") == F.col("first.row")).select("row")
     return whole.join(first, "row", "left_semi").select("doc.*")
