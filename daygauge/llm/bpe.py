@@ -34,7 +34,7 @@ PART = 8_192
 LEAF = 1_024
 WINDOW = 4
 # Different pre-tokens that a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 class _Known(dict):

@@ -83,9 +83,18 @@ def same(left: Column, right: Column) -> Column:
 _shipped: set[str] = set()
 
 
+# Texts are long: Spark's default of 64 MB for an Arrow batch takes several times that in each task.
+BATCH_CONF, DEFAULT_BATCH, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once for each application."""
+    """Send this package to the executors, once for each application.
+
+    Arrow batches of the session become smaller, unless their size was set to something already.
+    """
     context = spark.sparkContext
+    if spark.conf.get(BATCH_CONF) == DEFAULT_BATCH:
+        spark.conf.set(BATCH_CONF, BATCH)
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parents[1]
