@@ -2,12 +2,13 @@
 
 The corpus' distinct pre-tokens with their frequencies are gathered first, and each is
 encoded once. The table of the results then meets every document's pre-token frequencies.
-Its most frequent pre-tokens, a fixed number of them, go to all tasks; they cover nearly all
-occurrences of text whatever its size. The rest is joined by a shuffle.
+Its most frequent pre-tokens, a fixed number of them, go to all tasks, long ones as digests; they
+cover nearly all occurrences of text whatever its size. The rest is joined by a shuffle.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -21,6 +22,8 @@ from daygauge.llm.workspace import stored, text_slices
 
 # The most frequent pre-tokens, up to this many, are sent to all tasks: a few MB.
 FREQUENT = 200_000
+# Longer pre-tokens (in bytes) are sent as their SHA-256: a pre-token is as long as its unsplit run.
+LONGEST = 64
 # A task's distinct pre-tokens are sent on and forgotten at this number.
 HELD = 200_000
 RARE = pa.list_(pa.struct([("piece", pa.string()), ("times", pa.int32())]))
@@ -63,10 +66,19 @@ def piece_table(docs: DataFrame, path: str, text: str, held: int = HELD) -> Data
     return distinct.mapInArrow(encoded, "piece string, n long, tokens int")
 
 
+def _name(piece: str) -> str | bytes:
+    """What a pre-token goes by in all tasks: itself, or the digest of a long one."""
+    if 4 * len(piece) <= LONGEST:
+        return piece
+    body = piece.encode()
+    return piece if len(body) <= LONGEST else hashlib.sha256(body).digest()
+
+
 def _frequent(table: DataFrame, most: int) -> DataFrame:
-    """The pre-tokens above a frequency that at most ``most`` of them reach: piece, tokens.
+    """The pre-tokens above a frequency that at most ``most`` of them reach: piece, digest, tokens.
 
     Frequencies are graded by their logarithm, so a few hundred counts tell where to cut.
+    A pre-token above ``LONGEST`` has its digest and no piece, so the bytes are bounded too.
     """
     grade = F.floor(20 * F.ln("n")).cast("int")
     held, cut = 0, None
@@ -75,7 +87,12 @@ def _frequent(table: DataFrame, most: int) -> DataFrame:
         if held > most:
             break
         cut = at
-    return table.where(grade >= cut if cut is not None else F.lit(False)).select("piece", "tokens")
+    long = F.octet_length("piece") > LONGEST
+    return table.where(grade >= cut if cut is not None else F.lit(False)).select(
+        F.when(~long, F.col("piece")).alias("piece"),
+        F.when(long, F.unhex(F.sha2(F.col("piece").cast("binary"), 256))).alias("digest"),
+        "tokens",
+    )
 
 
 def token_counts(
@@ -95,7 +112,8 @@ def token_counts(
     """
     spark = docs.sparkSession
     table = stored(piece_table(docs, path, text, held), "pre-tokens")
-    known = spark.sparkContext.broadcast(dict(map(tuple, _frequent(table, frequent).collect())))
+    sent = _frequent(table, frequent).collect()
+    known = spark.sparkContext.broadcast({r.piece if r.digest is None else bytes(r.digest): r.tokens for r in sent})
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = known.value
@@ -106,7 +124,7 @@ def token_counts(
                     found, total = document_pieces(value, path)
                     own = []
                     for piece, n in found.items():
-                        count = tokens.get(piece)
+                        count = tokens.get(_name(piece))
                         if count is None:
                             own.append({"piece": piece, "times": n})
                         else:

@@ -45,6 +45,17 @@ def test_token_counts_equal_the_library(spark, frequent, held):
     assert token_counts.token_counts(docs.limit(0), BYTES).collect() == []
 
 
+def test_long_frequent_pieces_reach_all_tasks_as_digests(spark):
+    texts = [f"{'x' * 50_000} {'é' * 33} {'é' * 32} word{n}" for n in range(6)]
+    docs = brute.frame(spark, [(n, t, None, None, None) for n, t in enumerate(texts)])
+    sent = token_counts._frequent(token_counts.piece_table(docs, BYTES, "text"), 200_000).collect()
+    assert " word" in {r.piece for r in sent}
+    assert all(len((r.piece or "").encode()) <= 64 for r in sent)
+    assert sum(r.digest is not None for r in sent) == 3
+    found = token_counts.token_counts(docs, BYTES).collect()
+    assert sorted((r.doc_id, r.n_tokens) for r in found) == [(n, len(ids_of(BYTES, t))) for n, t in enumerate(texts)]
+
+
 @pytest.mark.parametrize("leaf", [2, 3, 16, 1024])
 def test_joined_halves_equal_the_librarys_encoding(leaf):
     rng = random.Random(leaf)
