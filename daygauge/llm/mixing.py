@@ -84,18 +84,24 @@ def _narrow(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
 
 
 def _cuts(rows: DataFrame, weights, budget, repeats, rows_a_bucket) -> DataFrame:
-    """Per source: source, source_size, target, and ``last``, the last entry that is served."""
+    """Per source: source, source_size, target, and ``last``, the last entry that is served.
+
+    Rows that share an entry are added up before any window sees them, so a key that very
+    many rows have is a row for each of their sizes.
+    """
     count, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     parts = parts_for(count, rows_a_bucket)
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = stored(targets(sizes, weights, budget, repeats), "mix-targets")
 
     # Words of the source up to and with each document: whole buckets first, then inside one.
+    same_entry = ["source", "place", F.col("id").cast("string").alias("id"), "size"]
+    rows = rows.groupBy(*same_entry).agg(F.sum("size").alias("amount"))
     rows = rows.withColumn("part", F.floor(F.col("place") * parts / F.lit(2.0**32)))
-    parted = rows.groupBy("source", "part").agg(F.sum("size").alias("words"))
+    parted = rows.groupBy("source", "part").agg(F.sum("amount").alias("words"))
     ahead = F.sum("words").over(W.partitionBy("source").orderBy("part")) - F.col("words")
     offsets = parted.select(F.col("source").alias("o_source"), F.col("part").alias("o_part"), ahead.alias("ahead"))
-    inside = F.sum("size").over(W.partitionBy("source", "part").orderBy(_entry(F.lit(0))))
+    inside = F.sum("amount").over(W.partitionBy("source", "part").orderBy(_entry(F.lit(0))))
     goal = goals.withColumnRenamed("source", "g_source")
     entries = (
         rows.withColumn("inside", inside)
@@ -106,7 +112,7 @@ def _cuts(rows: DataFrame, weights, budget, repeats, rows_a_bucket) -> DataFrame
         .withColumn("finish", F.col("words") / F.nullif(F.col("target"), F.lit(0.0)))
         .where("finish IS NOT NULL")
         .withColumn("slice", F.floor(F.least(F.col("finish"), F.lit(1e6)) * parts))
-        .select("source", "finish", "slice", "size", _entry(F.col("round")).alias("entry"))
+        .select("source", "finish", "slice", F.col("amount").alias("size"), _entry(F.col("round")).alias("entry"))
     )
     entries = stored(entries, "mix-entries")
 

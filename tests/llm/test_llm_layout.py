@@ -53,6 +53,21 @@ def test_mixing_awkward_tables(spark):
     assert mixing.mix_counts(empty).collect() == mixing.mixed(empty).collect() == []
 
 
+def test_rows_of_one_key_meet_the_windows_added_up(spark, monkeypatch):
+    rows = [(None, "w " * (n % 3), None, "a", None) for n in range(600)] + [(n, "w w", None, "a", None) for n in range(9)]
+    sizes = {}
+
+    def stored(df, name):
+        sizes[name] = df.count()
+        return df
+
+    monkeypatch.setattr(mixing, "stored", stored)
+    found = mixing.mix_counts(brute.frame(spark, rows)).collect()
+    assert sizes["mix-rows"] == len(rows) and sizes["mix-entries"] == 2 * (3 + 9)
+    _, taken = brute.mix([(i, t, s) for i, t, _, s, _ in rows])
+    assert sorted(((r.doc_id is None, r.doc_id or 0), r.taken) for r in found) == taken
+
+
 def ring_brute(keys, shards, virtual_nodes):
     """Keys one by one in the order of the rounds: how many of each arc each shard takes."""
     positions, owners = sharding.ring(shards, virtual_nodes)
