@@ -134,6 +134,26 @@ def test_removed_passages_equal_brute_force(spark, sizes):
     assert sorted(got) == brute.removed(rows)
 
 
+def test_a_block_sends_a_window_of_many_documents_once():
+    rng = random.Random(8)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(120))
+    texts = [f"{n:05d} " + "".join(rng.choice("xyz") for _ in range(30)) + passage for n in range(300)]
+    docs = run_index.pa.table({
+        "block": run_index.pa.array([0] * 300, run_index.pa.int32()), "row": range(300), "id": range(300), "body": texts
+    })
+    copies = run_index._notes("copy", run_index.pa.array([0]), run_index.pa.nulls(1), [b""])
+    asked = run_index._ask_anchors(1, 50, 20)(docs, copies)
+    repeated = run_index._repeated(128)(asked)
+    sent = run_index._ask_snippets(1, 4, 50, 20)(docs, run_index.pa.concat_tables([copies, repeated], promote_options="permissive"))
+    shared = {passage[k : k + 50] for k in range(len(passage) - 49)}
+    # Keys that go to another task: one a window, not one for each of the 300 documents that have it.
+    moved = [r for r in sent.to_pylist() if r.get("kind") != "place"]
+    assert 0 < sum(len(r["id"]) // 8 for r in moved) < 300 * len(shared) // 5
+    pieces = [run_index.zstandard.ZstdDecompressor().decompress(r["bytes"]) for r in moved if r["kind"] == "window"]
+    windows = [p[k : k + 50].decode() for p in pieces for k in range(0, len(p), 50)]
+    assert len(windows) == len(set(windows)) and shared & set(windows)
+
+
 def test_no_passages_in_an_empty_table(spark):
     assert run_index.repeated_spans(brute.frame(spark, [])).collect() == []
 
