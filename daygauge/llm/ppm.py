@@ -13,6 +13,10 @@ symbol only. So the trie is a table of (context, symbol) with counts, dealt out
 two bytes of the context: a part then holds whole subtrees, in which all longer contexts find
 their shorter ones, down to contexts of one byte, whose counts (at most 256 * 257) go to all
 tasks. The model grows with the corpus and is never in one place.
+
+Where very many (context, symbol) share an ending, as most of a text's sentences do, its subtree
+is dealt out by one byte more, and again if need be. A part then has not all of the shorter
+contexts it needs, so their counts (at most 257 each) go to all tasks, like those of one byte.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ from daygauge.llm.workspace import stored
 ORDER = 5
 END = 256
 SYMBOLS = 257
+# Contexts with so many questions under them, over all blocks, are dealt out by one byte more.
+HOT = 1 << 20
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -121,16 +127,36 @@ def _escaped(t, q, left, kinds, c, rest, started):
     return np.where(t == 0, started, np.where(left == 0, rest, found))
 
 
-def costs(numbers: np.ndarray, counts: np.ndarray, below: Below, order: int) -> np.ndarray:
-    """log10 probability of each (context, symbol), given whole subtrees in ascending order."""
+# Of contexts that are dealt out by more bytes, by their length: (context, symbol) in ascending order, counts.
+Split = dict[int, tuple[np.ndarray, np.ndarray]]
+
+
+def _whole(numbers: np.ndarray, counts: np.ndarray, given: tuple[np.ndarray, np.ndarray]):
+    """Give contexts whose subtree is in several parts all their symbols and counts."""
+    partial = np.isin(numbers >> 9, given[0] >> 9)
+    own = np.isin(given[0] >> 9, numbers[partial] >> 9)
+    numbers = np.concatenate([numbers[~partial], given[0][own]])
+    counts = np.concatenate([counts[~partial], given[1][own]])
+    order = np.argsort(numbers)
+    return numbers[order], counts[order]
+
+
+def costs(
+    numbers: np.ndarray, counts: np.ndarray, below: Below, order: int, split: Split | None = None
+) -> np.ndarray:
+    """log10 probability of each (context, symbol), given whole subtrees, but for ``split``, in ascending order."""
     levels = [(numbers, counts)]
     parents = []
-    for _ in range(order, 2, -1):
+    for length in range(order - 1, 1, -1):
         keys = levels[-1][0]
         shorter = (keys >> 17 << 9) | (keys & 511)
         different, at = np.unique(shorter, return_inverse=True)
+        totals = np.bincount(at, levels[-1][1], len(different)).astype(np.int64)
+        if split and length in split:
+            different, totals = _whole(different, totals, split[length])
+            at = np.searchsorted(different, shorter)
         parents.append(at)
-        levels.append((different, np.bincount(at, levels[-1][1], len(different)).astype(np.int64)))
+        levels.append((different, totals))
 
     keys = levels[-1][0]
     one, symbol = keys >> 17, keys & 511
@@ -169,9 +195,14 @@ def _asked(texts: list[list[bytes]], train: np.ndarray, order: int):
     return both, (hashes, counts)
 
 
-def _part_of(kind: str, numbers: np.ndarray, parts: int, order: int) -> np.ndarray:
-    """Grams go by the last two bytes of their context, words by their hash."""
-    key = numbers >> (9 + 8 * (order - 2)) if kind == "gram" else numbers
+def _context(numbers: np.ndarray, length: int, order: int) -> np.ndarray:
+    """The last ``length`` bytes of the contexts."""
+    return numbers >> (9 + 8 * (order - length))
+
+
+def _part_of(kind: str, numbers: np.ndarray, parts: int, order: int, length: int = 2) -> np.ndarray:
+    """Grams go by the last two bytes of their context, or ``length``, words by their hash."""
+    key = _context(numbers, length, order) if kind == "gram" else numbers
     return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % parts
 
 
@@ -206,7 +237,46 @@ def _ask(parts: int, order: int):
     return ask
 
 
-def _answer(below: Below, order: int):
+def _dealt_out(questions: DataFrame, parts: int, order: int, split: Split) -> DataFrame:
+    """Questions under contexts of ``split`` go to parts by one byte more than the longest such context has."""
+    if not split:
+        return questions
+    contexts = {length: np.unique(keys >> 9) for length, (keys, _) in split.items()}
+
+    def moved(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                kind = row.column("kind")[0].as_py()
+                numbers = from_ascending(row.column("numbers")[0])
+                length = np.full(len(numbers), 2)
+                if kind == "gram":
+                    for n, hot in contexts.items():
+                        length[np.isin(_context(numbers, n, order), hot)] = n + 1
+                if (length == 2).all():
+                    yield row
+                    continue
+                counts = from_planes(row.column("counts")[0], np.uint32)
+                part = np.full(len(numbers), row.column("part")[0].as_py())
+                for n in contexts:
+                    own = length == n + 1
+                    part[own] = _part_of(kind, numbers[own], parts, order, n + 1)
+                each = np.unique(part)
+                block = row.column("block")[0].as_py()
+                cut = [part == p for p in each]
+                columns = [
+                    pa.array([kind] * len(each), pa.string()),
+                    pa.array(each, pa.int32()),
+                    pa.array([block] * len(each), pa.int32()),
+                    pa.array([ascending(numbers[own]) for own in cut], pa.binary()),
+                    pa.array([planes(counts[own]) for own in cut], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return questions.mapInArrow(moved, QUESTIONS)
+
+
+def _answer(below: Below, order: int, split: Split | None = None):
     """Add up a part's counts over all blocks, and give each block the values of what it asked."""
 
     def answer(table: pa.Table) -> pa.Table:
@@ -214,7 +284,7 @@ def _answer(below: Below, order: int):
         numbers = [from_ascending(x) for x in table.column("numbers")]
         counts = [from_planes(x, np.uint32) for x in table.column("counts")]
         different, totals = summed(np.concatenate(numbers), np.concatenate(counts))
-        values = costs(different, totals, below, order) if kind == "gram" else totals.astype(np.float64)
+        values = costs(different, totals, below, order, split) if kind == "gram" else totals.astype(np.float64)
         sent = [planes(values[np.searchsorted(different, own)]) for own in numbers]
         distinct = [int(np.count_nonzero(totals))] + [0] * (len(sent) - 1)
         answered = table.select(["kind", "part", "block", "numbers"])
@@ -279,21 +349,49 @@ def _score(order: int):
     return score
 
 
-def one_byte_counts(questions: DataFrame, order: int) -> np.ndarray:
-    """Counts of the symbols behind each byte: at most 256 * 257 rows come back."""
+def _counts_under(questions: DataFrame, order: int, length: int, contexts: np.ndarray | None):
+    """Counts of the symbols behind contexts of ``length`` bytes, and the longer contexts with many questions.
 
-    def counted(parts):
-        for batch in parts:
-            for numbers, counts in zip(batch.column("numbers"), batch.column("counts")):
-                codes = from_ascending(numbers)
-                keys, n = summed((codes >> (9 + 8 * (order - 1)) << 9) | (codes & 511), from_planes(counts, np.uint32))
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
+    Without ``contexts`` all count. At most 257 rows a context come back for the symbols, and 256
+    for the contexts of one byte more: (context, symbol) and counts, contexts and questions.
+    """
 
-    pairs = questions.where("kind = 'gram'").select("numbers", "counts").mapInArrow(counted, "key long, n long")
+    def counted(batches):
+        for batch in batches:
+            for numbers, counts in zip(batch.column("numbers"), batch.column("counts")):
+                codes, n = from_ascending(numbers), from_planes(counts, np.uint32)
+                if contexts is not None:
+                    own = np.isin(_context(codes, length, order), contexts)
+                    codes, n = codes[own], n[own]
+                keys, n = summed((_context(codes, length, order) << 9) | (codes & 511), n)
+                # Codes are in ascending order, so a context's questions are neighbours.
+                ends = np.flatnonzero(np.diff(_context(codes, length + 1, order), append=-1))
+                longer, asked = _context(codes[ends], length + 1, order), np.diff(ends, prepend=-1)
+                kinds = np.repeat([False, True], [len(keys), len(longer)])
+                columns = [kinds, np.concatenate([keys, longer]), np.concatenate([n, asked])]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["longer", "key", "n"])
+
+    pairs = questions.where("kind = 'gram'").select("numbers", "counts")
+    pairs = pairs.mapInArrow(counted, "longer boolean, key long, n long")
+    rows = pairs.groupBy("longer", "key").agg(F.sum("n").alias("n")).toArrow().sort_by("key")
+    longer, key, n = (rows.column(c).to_numpy() for c in ("longer", "key", "n"))
+    longer = longer.astype(bool)
+    return (key[~longer], n[~longer]), (key[longer], n[longer])
+
+
+def shared_counts(questions: DataFrame, order: int, hot: int) -> tuple[np.ndarray, Split]:
+    """What all tasks have: counts of the symbols behind each byte, and behind contexts with ``hot`` questions."""
     ones = np.zeros((256, SYMBOLS), np.int64)
-    for key, n in pairs.groupBy("key").agg(F.sum("n")).collect():
-        ones[key >> 9, key & 511] = n
-    return ones
+    (keys, counts), (longer, asked) = _counts_under(questions, order, 1, None)
+    ones[keys >> 9, keys & 511] = counts
+    split: Split = {}
+    # A context of ``order`` bytes has 257 questions a block at most.
+    for length in range(2, order):
+        contexts = longer[asked >= hot]
+        if not len(contexts):
+            break
+        split[length], (longer, asked) = _counts_under(questions, order, length, contexts)
+    return ones, split
 
 
 def scored(
@@ -302,6 +400,7 @@ def scored(
     text: str = "text",
     order: int = ORDER,
     block_bytes: int = BLOCK_BYTES,
+    hot: int = HOT,
 ) -> DataFrame:
     """One row per document: the key, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -326,8 +425,9 @@ def scored(
     table, blocks = in_blocks(rows, "body", block_bytes)
     texts = table.select("block", "held_out", "body")
     questions = stored(texts.groupBy("block").applyInArrow(_ask(blocks, order), QUESTIONS), "ppm-questions")
-    below = Below(one_byte_counts(questions, order))
-    answers = questions.groupBy("kind", "part").applyInArrow(_answer(below, order), ANSWERS)
+    ones, split = shared_counts(questions, order, hot)
+    dealt = _dealt_out(questions, blocks, order, split)
+    answers = dealt.groupBy("kind", "part").applyInArrow(_answer(Below(ones), order, split), ANSWERS)
     answers = stored(answers, "ppm-answers")
     schema = StructType(
         [table.schema["id"], StructField("held_out", BooleanType())]

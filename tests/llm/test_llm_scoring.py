@@ -42,6 +42,40 @@ def test_scores_equal_brute_force(spark, order):
         assert a[5:] == pytest.approx(b[5:], abs=1e-9)
 
 
+@pytest.mark.parametrize("order, hot", [(3, 30), (4, 60), (5, 5), (5, 60)])
+def test_scores_are_the_same_where_hot_contexts_are_split(spark, order, hot):
+    docs, rows = brute.awkward(spark, [*texts(order, 60), *(f"a. the. {n}. " * 9 for n in range(20)), None, ""])
+    found = ppm.scored(docs.repartition(3), order=order, block_bytes=400, hot=hot).collect()
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
+    split = [(i, brute.lower(t).encode().split()) for i, t, *_ in rows]
+    probability = brute.ppm([b" ".join(w) for i, w in split if not held(i)], order)
+    want = sorted((str(i), brute.ppm_score(probability, b" ".join(w), order)) for i, w in split)
+    got = sorted((str(r.doc_id), r.score) for r in found)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert [x for _, x in got] == pytest.approx([x for _, x in want], abs=1e-9)
+
+
+def test_one_pair_of_bytes_does_not_fill_a_part(spark):
+    rng = random.Random(3)
+    rows = [(n, " ".join("".join(rng.choice("abcdefgh") for _ in range(3)) + "." for _ in range(300))) for n in range(30)]
+    table, blocks = ppm.in_blocks(
+        spark.createDataFrame([(*r, n, False) for n, r in enumerate(rows)], "id long, body string, row long, held_out boolean"),
+        "body", 2000,
+    )
+    questions = table.select("block", "held_out", "body").groupBy("block").applyInArrow(ppm._ask(blocks, 5), ppm.QUESTIONS)
+
+    def largest(asked):
+        loads = Counter()
+        for r in asked.where("kind = 'gram'").collect():
+            loads[r.part] += len(r.numbers) // 8
+        return max(loads.values()), sum(loads.values())
+
+    ones, split = ppm.shared_counts(questions, 5, 500)
+    assert ones.sum() == sum(len(t) + 1 for _, t in rows)
+    (before, all_before), (after, all_after) = largest(questions), largest(ppm._dealt_out(questions, blocks, 5, split))
+    assert all_before == all_after and split and after < before / 2
+
+
 def test_probabilities_of_a_context_add_up_to_one():
     order = 2
     split = [t.lower().encode().split() for t in texts(7, 30)] + [[bytes([b]) for b in range(33, 256)]]
