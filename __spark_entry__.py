@@ -83,8 +83,14 @@ def _text_module(name: str):
         return None
 
 
+def _text_modules() -> tuple:
+    """The queries of the text operators and the pipeline over them, which needs them; None where not installed."""
+    text = _text_module("daygauge.llm.queries")
+    return text, _text_module("corpus_pipeline") if text else None
+
+
 def queries() -> dict[str, Query]:
-    text, pipeline = _text_module("daygauge.llm.queries"), _text_module("corpus_pipeline")
+    text, pipeline = _text_modules()
     return {
         **_log_queries(),
         **(text.queries() if text else {}),
@@ -212,7 +218,7 @@ def _with(select: str, *ctes: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    text, pipeline = _text_module("daygauge.llm.queries"), _text_module("corpus_pipeline")
+    text, pipeline = _text_modules()
     return {
         **_log_sql(),
         **(text.oracle_sql() if text else {}),
