@@ -9,11 +9,13 @@ document of usual length. Bands of coordinates put similar documents into common
 Documents with equal sets are one node from the start. A bucket doesn't compare all its
 nodes: a few leaders are compared with the others, links are confirmed on the whole sets, and
 linked nodes become one component. Pairs inside a component need no comparison, since they
-change no component. After that, a large bucket of near copies is one component and some
-nodes that none of the leaders resembles. Such buckets that share nodes are one group, and its
-nodes outside the largest component are compared, as a set of queries in blocks, with all nodes
-of the group. A block is compared with another inside one task, by bits that say which of their
-common shingles each set has; only links come out, and no pair of a bucket is left out.
+change no component; so buckets take turns, a share of them at a time, and nodes that one turn
+has tied make no pairs in the next. After that, a large bucket of near copies is one component
+and some nodes that none of the leaders resembles. Such buckets that share nodes are one group,
+and its nodes outside the largest component are compared, as a set of queries in blocks, with all
+nodes of the group. Each pair of blocks is a row of its own, so a large group is spread over
+tasks. Two blocks are compared by bits that say which of their common shingles each set has; out
+comes a link of each query with each component, and no pair of a bucket is left out.
 
 With 32 bands of 4 coordinates a pair of similarity 0.75 has no common bucket with a
 probability of 5 in a million, and pairs of more similarity with less. Before whole sets are
@@ -23,6 +25,7 @@ but for 3 in a million.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -41,8 +44,8 @@ PERCENT = 75
 BANDS, ROWS = 32, 4
 # Candidates' keys up to this many are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_KEYS = 4_000_000
-# A bucket's leaders in each round, and the rounds before the rest is compared.
-LEADERS, TURNS = 2, 2
+# A bucket's leaders, and the turns in which buckets are led, each a share of them.
+LEADERS, TURNS = 2, 3
 # Bytes of whole sets in a block.
 BLOCK_BYTES = 2 << 20
 # Standard deviations that a linked pair's agreement may be below its expectation.
@@ -175,13 +178,20 @@ def _alike(percent: int, size: int) -> Column:
     return alike("a_coords", "b_coords")
 
 
+def _in_order(pairs: DataFrame) -> DataFrame:
+    """The different pairs (a, b), a <= b, among pairs (x, y)."""
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Of edges (a, b): node, root, the least node that is reachable.
 
-    Each round takes the least root among a node's neighbours, then the root's own root, so
+    Each different edge is followed once. Each round takes the least root among a node's neighbours, then the root's own root, so
     long chains shrink by half each time. The tables are stored between rounds.
     """
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")), "links")
+    once = _in_order(edges.select(F.col("a").alias("x"), F.col("b").alias("y")))
+    once = stored(once, "links")
+    both = once.union(once.select("b", "a"))
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("root")), "roots")
     total = labels.agg(F.sum(F.col("root").cast("decimal(38,0)"))).first()[0]
     while total is not None:
@@ -204,23 +214,24 @@ def _rooted(entries: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """The components after more links (a, b) between nodes."""
-    old = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> b")
-    return components(old.union(links.select("a", "b")))
-
-
-def _in_order(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    """The components after more links (a, b) between nodes: only the roots that links tie are followed."""
+    ends = links.select("a").union(links.select("b")).distinct().toDF("node")
+    fresh = ends.join(roots, "node", "left_anti").select("node", F.col("node").alias("root"))
+    known = roots.union(fresh)
+    tied = _rooted(links.select("b", F.col("a").alias("node")), known).select(F.col("root").alias("a"), F.col("b").alias("node"))
+    tied = _rooted(tied, known).select("a", F.col("root").alias("b")).where("a <> b")
+    tops = components(tied).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return stored(known.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "roots")
 
 
-def _led(entries: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+def _led(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of entries (key, node, root): pairs with their bucket's leaders, and the entries that are left to compare.
 
     Leaders are drawn by lot, one for each of several hashes, so that a bucket sends few rows.
     They are compared with all of their bucket, so they leave it; buckets of one root are done.
     """
     lots = [
-        F.min(F.struct(F.xxhash64("node", F.lit(turn * LEADERS + i)).alias("lot"), "node", "root"))
+        F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("lot"), "node", "root"))
         for i in range(LEADERS)
     ]
     roots = F.min("root").alias("lo"), F.max("root").alias("hi")
@@ -235,7 +246,7 @@ def _led(entries: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
 
 
 def _compared(percent: int):
-    """Links between the sets of two blocks, without those inside a component."""
+    """A link of each left set with each component that the right sets have, without its own."""
 
     def packed(sets: list[np.ndarray], universe: np.ndarray) -> np.ndarray:
         bits = np.zeros((len(sets), len(universe) // 64 + 1), np.uint64)
@@ -257,7 +268,8 @@ def _compared(percent: int):
                 for node, own, row in zip(left, a, a_bits):
                     common = np.bitwise_count(b_bits & row).sum(axis=1).astype(np.int64)
                     linked = (100 * common >= percent * (len(own) + sizes - common)) & (roots != node["root"])
-                    found += [(node["node"], other) for other in nodes[linked].tolist()]
+                    first = np.unique(roots[linked], return_index=True)[1]
+                    found += [(node["node"], other) for other in nodes[linked][first].tolist()]
                 columns = [pa.array([pair[i] for pair in found], pa.int64()) for i in range(2)]
                 yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
@@ -266,12 +278,14 @@ def _compared(percent: int):
 
 def _left_over(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links among the entries (key, node, root) of buckets with several roots."""
-    mixed = entries.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("node").alias("a"))
-    mixed = mixed.where("lo < hi").select("key", "a")
-    entries = stored(entries.join(mixed, "key"), "mixed-buckets")
-    groups = components(entries.select("a", F.col("node").alias("b"))).withColumnRenamed("root", "group")
-    members = groups.join(entries.select("node", "root").distinct(), "node").join(sets, "node")
-    members = stored(members, "mixed-groups")
+    mixed = entries.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    entries = stored(entries.join(mixed.select("key"), "key", "left_semi"), "mixed-buckets")
+    # Buckets that share a node are tied to the least bucket of that node; a bucket tied to no other is a group.
+    least = stored(entries.groupBy("node", "root").agg(F.min("key").alias("a")), "mixed-nodes")
+    ties = entries.select("node", F.col("key").alias("b")).join(least, "node").where("a <> b").select("a", "b")
+    groups = components(ties).select(F.col("node").alias("a"), F.col("root").alias("k_group"))
+    members = least.join(groups, "a", "left").withColumn("group", F.coalesce("k_group", "a"))
+    members = stored(members.select("group", "node", "root").join(sets, "node"), "mixed-groups")
     weight = F.sum(F.octet_length("packed")).alias("bytes")
     sizes = members.groupBy("group", "root").agg(F.count("*").alias("n"), weight)
     main = sizes.groupBy("group").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.sum("bytes").alias("bytes"))
@@ -280,10 +294,11 @@ def _left_over(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     placed = placed.withColumn("block", F.expr("pmod(xxhash64(node), blocks)"))
 
     def packed(rows: DataFrame, side: str) -> DataFrame:
-        return rows.groupBy("group", "block").agg(F.collect_list(F.struct("node", "root", "packed")).alias(side))
+        return rows.groupBy("group", "block", "blocks").agg(F.collect_list(F.struct("node", "root", "packed")).alias(side))
 
-    queries = packed(placed.where("root <> main"), "left").select("group", "left")
-    pairs = queries.join(packed(placed, "right").select("group", "right"), "group").select("left", "right")
+    queries = packed(placed.where("root <> main"), "left")
+    queries = queries.select("group", F.explode(F.expr("sequence(0L, blocks - 1L)")).alias("block"), "left")
+    pairs = queries.join(packed(placed, "right").drop("blocks"), ["group", "block"]).select("left", "right")
     return pairs.mapInArrow(_compared(percent), "a long, b long")
 
 
@@ -305,7 +320,7 @@ def node_components(
     # Entries of the buckets that have two nodes at least.
     entries = nodes.select(F.explode("bands").alias("key"), "node")
     filled = entries.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
-    entries = stored(entries.join(filled, "key").withColumn("root", F.col("node")), "buckets")
+    entries = stored(entries.join(filled, "key"), "buckets")
 
     # The whole sets of these nodes only, made again from their texts.
     wanted = nodes.join(entries.select("node").distinct(), "node", "left_semi")
@@ -326,13 +341,15 @@ def node_components(
             likely = likely.join(whole, side)
         return stored(likely.where(_linked(percent)).select("a", "b"), "links")
 
-    roots = None
+    roots, rest = None, []
     for turn in range(TURNS):
-        pairs, entries = _led(entries, turn)
+        share = entries.where(F.pmod(F.xxhash64("key"), F.lit(TURNS)) == turn)
+        pairs, left = _led(_rooted(share, roots) if roots else share.withColumn("root", F.col("node")))
+        rest.append(left)
         links = confirmed(pairs)
         roots = components(links) if roots is None else _merged(roots, links)
-        entries = _rooted(entries, roots)
-    roots = _merged(roots, stored(_left_over(entries, sets, percent), "links"))
+    left = _rooted(functools.reduce(DataFrame.union, rest), roots)
+    roots = _merged(roots, stored(_left_over(left, sets, percent), "links"))
     return described.select("row", "id", "n", "sig").join(nodes.select("sig", "node"), "sig", "left"), roots
 
 

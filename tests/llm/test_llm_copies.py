@@ -34,9 +34,12 @@ def near_texts(seed):
     return texts
 
 
-@pytest.mark.parametrize("seed, leaders, block_bytes", [(1, 6, 2 << 20), (2, 1, 20_000)])
-def test_near_duplicates_equal_brute_force(spark, monkeypatch, seed, leaders, block_bytes):
+@pytest.mark.parametrize(
+    "seed, leaders, block_bytes, broadcast", [(1, 6, 2 << 20, 4_000_000), (2, 1, 20_000, 0), (3, 2, 5_000, 0)]
+)
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, seed, leaders, block_bytes, broadcast):
     monkeypatch.setattr(near_dup, "LEADERS", leaders)
+    monkeypatch.setattr(near_dup, "BROADCAST_KEYS", broadcast)
     monkeypatch.setattr(near_dup, "BLOCK_BYTES", block_bytes)
     docs, rows = brute.awkward(spark, near_texts(seed))
     first, sizes = brute.near_components([r[:2] for r in rows])
@@ -51,6 +54,28 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, seed, leaders, bl
     assert whole.columns == docs.columns and whole.count() == len(kept)
 
 
+def test_a_third_of_all_documents_in_one_group(spark, monkeypatch):
+    """Their comparison is dealt out by pairs of blocks, and components are those of brute force."""
+    monkeypatch.setattr(near_dup, "BLOCK_BYTES", 20_000)
+    rng = random.Random(6)
+    vocabulary = [f"w{n}" for n in range(5000)]
+    text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    base, texts = text(110), [" ".join(text(40)) for _ in range(240)]
+    for _ in range(120):  # some within the threshold of each other, some not
+        own = list(base)
+        for _ in range(rng.randint(0, 8)):
+            own[rng.randrange(len(own))] = rng.choice(vocabulary)
+        texts.append(" ".join(own))
+    compared = []
+    left_over = near_dup._left_over
+    monkeypatch.setattr(near_dup, "_left_over", lambda *a: compared.append(left_over(*a)) or compared[-1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs).collect()}
+    assert found == dict(enumerate(brute.near_components(list(enumerate(texts)))[0]))
+    assert "hashpartitioning(group" in compared[0]._jdf.queryExecution().toString()
+    assert ", block" in compared[0]._jdf.queryExecution().toString().split("MapInArrow")[-1]
+
+
 def test_near_duplicates_of_an_empty_table(spark):
     docs = brute.frame(spark, [])
     assert near_dup.near_duplicates(docs).collect() == near_dup.without_near_duplicates(docs).collect() == []
