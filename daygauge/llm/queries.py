@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygauge.llm import bpe, mixing, near_dup, ppm, quality, recipes, run_index, sharding, token_counts, urls
+from daygauge.llm import bpe, mixing, near_dup, pieces, ppm, quality, recipes, run_index, sharding, token_counts, urls
 from daygauge.llm.workspace import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +90,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_documents(spark, sf_dir)).drop("n_lines")
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = _documents(spark, sf_dir).select("doc_id", F.col("text").alias("pieces"))
+    made = pieces.encoded(docs, path, text="pieces", out="pieces", end=True, decode=True)
+    return made.select(
+        "doc_id",
+        F.size("pieces.ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("pieces.ids", " "), 256).alias("ids_sha256"),
+        F.sha2("pieces.decoded", 256).alias("decoded_sha256"),
+        F.array_max("pieces.ends").cast("bigint").alias("n_bytes"),
+    )
+
+
 def _shipped(query: Query) -> Query:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +124,7 @@ def queries() -> dict[str, Query]:
         op8_bpe,
         op9_exact_dedup,
         op10_quality_rules,
+        op13_sentencepiece,
     ]
     return {query.__name__: _shipped(query) for query in found}
 

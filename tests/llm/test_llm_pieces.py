@@ -1,0 +1,121 @@
+"""Encoding by a piece model against the library, and the spans of its pieces."""
+
+import hashlib
+import random
+
+import llm_brute as brute
+import public_tokenizers
+import pytest
+from sentencepiece import SentencePieceNormalizer, SentencePieceProcessor
+
+import __spark_entry__ as entry
+from daygauge.llm import pieces
+from daygauge.llm.charmap import Normaliser
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+LETTERS = [*"abc  d  eé中文▁\n\t\x00'1ﬁ①ｶﾞ　 ", "the ", "ing", "</s>", "<0x0A>", "\U0001f600", "  ", "hello world"]
+
+
+def random_texts(seed, n):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(LETTERS) for _ in range(rng.randint(0, 40))) for _ in range(n)]
+
+
+def model_file(rule=None):
+    """The model as it is, or with the compiled map of another rule in its place."""
+    with open(PATH, "rb") as file:
+        raw = file.read()
+    if rule is None:
+        return raw
+    spec = dict(pieces._fields(SentencePieceNormalizer(rule_name=rule).serialized_model_proto()))[3]
+    return pieces._message([(k, spec if k == 3 else v) for k, v in pieces._fields(raw)])
+
+
+@pytest.mark.parametrize("rule", [None, "nmt_nfkc", "nfkc_cf"])
+def test_ids_text_and_spans_are_the_library_s(rule):
+    """Also for maps with many entries, and where spaces are squeezed."""
+    raw = model_file(rule)
+    own, library = pieces.PieceModel(raw), SentencePieceProcessor(model_proto=raw)
+    assert bool(own.normalise.prefixes) == bool(rule)
+    for n, text in enumerate([*random_texts(1, 1500), "", " ", "▁", "   ▁  ", "\t\n", "é" * 3000, "a b " * 900]):
+        found = library.encode(text, return_type="proto")
+        ids, begins, ends = own.encode(text, part=(3, 50, 1 << 18)[n % 3])
+        assert ids.tolist() == [p.id for p in found.pieces]
+        assert begins.tolist() == [p.begin for p in found.pieces]
+        assert ends.tolist() == [p.end for p in found.pieces]
+        assert own.decode(ids.tolist()) == library.decode(ids.tolist())
+
+
+def test_any_ids_are_decoded_as_by_the_library():
+    own, library = pieces.PieceModel(model_file()), SentencePieceProcessor(model_file=PATH)
+    rng, space = random.Random(2), own.names.index("▁")
+    for _ in range(3000):
+        kinds = (rng.randrange(32000), rng.randrange(3, 259), rng.randrange(300), space, 259)
+        ids = [rng.choice(kinds) for _ in range(rng.randint(0, 8))]
+        assert own.decode(ids) == library.decode(ids)
+
+
+def test_a_worker_that_forgets_gives_the_same(monkeypatch):
+    texts = random_texts(3, 200)
+    want = [x[0].tolist() for x in map(pieces.PieceModel(model_file()).encode, texts)]
+    monkeypatch.setattr(pieces, "REMEMBERED", 5)
+    monkeypatch.setattr(pieces, "SHORT", 3)
+    own = pieces.PieceModel(model_file())
+    assert [own.encode(t)[0].tolist() for t in texts] == want
+    assert all(len(s) <= 3 for s in own.known)
+
+
+def test_longest_prefix_is_replaced_and_keeps_its_source():
+    norm = Normaliser({"a": "x", "ab": "", "abc": "y z", "é": "e", "q ": "q"}, dummy=False, squeeze=False)
+    text, places = norm("abcéabda ab")
+    assert text == "y▁zedx▁"
+    assert places.tolist() == [0, 0, 0, 0, 0, 3, 7, 8, 9, 9, 9, 12]
+    assert not norm.cuts
+
+
+def test_models_of_other_kinds_are_refused():
+    fields = list(pieces._fields(model_file()))
+    trainer = pieces._message([(3, 1), (35, 1)])
+    with pytest.raises(ValueError, match="merges"):
+        pieces.PieceModel(pieces._message([(k, trainer if k == 2 else v) for k, v in fields]))
+
+
+def test_rows_of_every_kind(spark):
+    long = "".join(random.Random(4).choice(LETTERS) for _ in range(60_000)) + "x" * 30_000 + " word" * 5000
+    docs, rows = brute.awkward(spark, [*random_texts(5, 60), None, "", " ", "</s>", long])
+    library = SentencePieceProcessor(model_file=PATH)
+    made = pieces.encoded(docs, PATH, end=True, decode=True, part=1000)
+    assert made.columns == [*docs.columns, "pieces"]
+    want = sorted((str(i), str(t), [*library.encode(t or ""), 2]) for i, t, *_ in rows)
+    found = made.collect()
+    assert sorted((str(r.doc_id), str(r.text), r.pieces.ids) for r in found) == want
+    for r in found:
+        raw = (r.text or "").encode()
+        spans = list(zip(r.pieces.begins, r.pieces.ends))
+        assert r.pieces.decoded == library.decode(r.pieces.ids)
+        # The spans follow each other and leave out no byte; the end is an empty span.
+        assert b"".join(raw[b:e] for b, e in spans) == raw and spans[-1] == (len(raw), len(raw))
+        assert [r.size, r.doc, r.body] == ["size", "doc", "body"]
+    again = pieces.decoded(made.select("doc_id", "pieces.ids"), PATH)
+    assert {(r.doc_id, r.decoded) for r in again.collect()} == {(r.doc_id, r.pieces.decoded) for r in found}
+
+
+def test_no_rows(spark):
+    docs = brute.frame(spark, [])
+    assert pieces.encoded(docs, PATH, decode=True).collect() == []
+    assert pieces.decoded(pieces.encoded(docs, PATH).select("pieces.ids"), PATH).collect() == []
+
+
+def test_op13_as_registered(spark):
+    folder = "/root/testdata/sf0.001"
+    library = SentencePieceProcessor(model_file=PATH)
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    want = []
+    for r in spark.read.parquet(f"{folder}/documents.parquet").collect():
+        ids = library.encode(r.text or "", add_eos=True)
+        text = r.text or ""
+        want.append((r.doc_id, len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids)), len(text.encode())))
+    df = entry.queries()["op13_sentencepiece"](spark, folder)
+    assert df.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"]
+    assert dict(df.dtypes)["n_tokens"] == "bigint"
+    assert sorted(map(tuple, df.collect())) == sorted(want)
