@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygauge.llm import bpe, mixing, near_dup, pieces, ppm, quality, recipes, run_index, sharding, token_counts, urls
-from daygauge.llm.workspace import ship
+from daygauge.llm import alignment, bpe, mixing, near_dup, pieces, ppm, quality, recipes, run_index, sharding
+from daygauge.llm import token_counts, urls
+from daygauge.llm.workspace import ship, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +91,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_documents(spark, sf_dir)).drop("n_lines")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    docs = _documents(spark, sf_dir).select(F.col("doc_id").cast("bigint"), F.col("text").alias("aligned"))
+    made = alignment.aligned(docs, *paths, text="aligned", out="aligned")
+    digest = F.when(F.col("aligned.groups") == "", "").otherwise(F.sha2("aligned.groups", 256))
+    fields = [f"aligned.{c}" for c in ("n_a", "n_b", "n_groups", "n_links", "pairs", "times")]
+    numbered = made.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", *fields, digest.alias("groups_sha256")
+    )
+    return alignment.with_counts(stored(numbered, "aligned"), "pairs", "times")
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = _documents(spark, sf_dir).select("doc_id", F.col("text").alias("pieces"))
@@ -124,6 +137,7 @@ def queries() -> dict[str, Query]:
         op8_bpe,
         op9_exact_dedup,
         op10_quality_rules,
+        op11_token_alignment,
         op13_sentencepiece,
     ]
     return {query.__name__: _shipped(query) for query in found}

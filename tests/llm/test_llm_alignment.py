@@ -1,0 +1,158 @@
+"""Alignment of two tokenizers against brute force over whole texts."""
+
+import hashlib
+import random
+from collections import Counter
+
+import llm_brute as brute
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry
+from daygauge.llm import alignment
+from daygauge.llm.blocks import from_ascending, from_planes
+from daygauge.llm.workspace import stored
+
+A_PATH, B_PATH = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+LETTERS = [*"abc  d  eé中文▁\n\t\x00'1ﬁ①ｶﾞ　 ​\x85\r", "the ", "ing", "</s>", "<|endoftext|>", "\n\n", " \n"]
+LETTERS += ["\U0001f600", "  ", "hello world", "don't ", "extraordinarily", "0123", "..."]
+
+
+def random_texts(seed, n):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(LETTERS) for _ in range(rng.randint(0, 30))) for _ in range(n)]
+
+
+class Reading:
+    """Groups and links of whole texts, by the libraries and plain loops."""
+
+    def __init__(self):
+        self.a = Tokenizer.from_file(A_PATH)
+        self.a.encode_special_tokens = True
+        self.b = SentencePieceProcessor(model_file=B_PATH)
+        own = alignment.Aligner(A_PATH, B_PATH)
+        self.values = own.a_bytes, own.b.values
+
+    def __call__(self, text):
+        """Ids of A, of B, groups and links; all empty where the bytes differ."""
+        if not text:
+            return [], [], [], []
+        ids = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
+        raw = [[v[i] for i in own] for v, own in zip(self.values, ids)]
+        if not b"".join(raw[0]) == b"".join(raw[1]) == (" " + text).encode():
+            return [], [], [], []
+        ends = [np.cumsum([len(x) for x in own]).tolist() for own in raw]
+        groups, at = [], [0, 0]
+        for end in sorted(set(ends[0]) & set(ends[1])):
+            upto = [e.index(end) + 1 for e in ends]
+            groups.append("|".join(",".join(map(str, ids[k][at[k] : upto[k]])) for k in range(2)))
+            at = upto
+        spans = [list(zip(own, [0, *e], e)) for own, e in zip(ids, ends)]
+        links, first = [], 0
+        for x, s, e in spans[0]:
+            while spans[1][first][2] <= s:
+                first += 1
+            k = first
+            while k < len(spans[1]) and spans[1][k][1] < e:
+                links.append((x, spans[1][k][0]))
+                k += 1
+        return *ids, groups, links
+
+
+def expected(rows):
+    """Of (id, text): the rows of the query."""
+    read = Reading()
+    made = [(i, *read(t)) for i, t in rows]
+    counts = Counter(link for *_, links in made for link in links)
+    most = Counter()
+    for (_, b), n in counts.items():
+        most[b] = max(most[b], n)
+    return [
+        (i, len(a), len(b), len(groups), len(links), hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "",
+         sum(counts[x] == most[x[1]] for x in links), sum(counts[x] for x in links))
+        for i, a, b, groups, links in made
+    ]
+
+
+def in_order(rows):
+    return sorted(map(tuple, rows), key=repr)
+
+
+def test_gallop_finds_ranks_from_any_start():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        among = np.unique(rng.integers(0, 300, rng.integers(1, 80)))
+        ends = np.unique(rng.integers(0, 320, rng.integers(0, 60)))
+        want = np.searchsorted(among, ends)
+        start = rng.integers(0, want + 1) if len(want) else want
+        assert alignment.gallop(ends, among, start).tolist() == want.tolist()
+        zero = [np.zeros(len(x), np.int64) for x in (ends, among)]
+        a, b = alignment.common_ends(ends, among, *zero)
+        common = sorted(set(ends.tolist()) & set(among.tolist()))
+        assert ends[a].tolist() == among[b].tolist() == common
+
+
+def test_chunks_are_cut_where_both_tokenizers_cut():
+    read, own = Reading(), alignment.Aligner(A_PATH, B_PATH)
+    assert own.apart
+    for text in random_texts(2, 1500):
+        chunks = own.chunks(text)
+        assert "".join(chunks) == " " + text
+        own.learn([chunks])
+        found = [own.known[c] for c in chunks] if text else []
+        a, b, groups, links = read(text)
+        if None in found:
+            assert not a
+            continue
+        assert ";".join(f[3] for f in found) == ";".join(groups)
+        packed = np.frombuffer(b"".join(f[4] for f in found), np.int64)
+        assert sorted((x >> 32, x & 0xFFFFFFFF) for x in packed.tolist()) == sorted(links)
+        assert (sum(f[0] for f in found), sum(f[1] for f in found)) == (len(a), len(b))
+
+
+@pytest.mark.parametrize("frequent, held, remembered", [(0, 10, 50), (60, 1 << 20, 200_000), (400_000, 1 << 20, 200_000)])
+def test_rows_of_every_kind(spark, monkeypatch, frequent, held, remembered):
+    """Whether pairs are looked up or joined, and whatever a worker forgets."""
+    for name, value in (("HELD", held), ("REMEMBERED", remembered), ("SHORT", 6 if remembered == 50 else 48)):
+        monkeypatch.setattr(alignment, name, value)
+    long = "".join(random.Random(4).choice(LETTERS[:6] + LETTERS[-6:]) for _ in range(20_000)) + "x" * 5000
+    docs, rows = brute.awkward(spark, [*random_texts(5, 50), None, "", " ", "▁", "a▁b", long, "one third " * 400])
+    made = alignment.aligned(docs.drop("row"), A_PATH, B_PATH)
+    assert made.columns == [*docs.drop("row").columns, "aligned"]
+    flat = made.select(F.monotonically_increasing_id().alias("row"), "doc_id", "size", "doc", "n", "aligned.*")
+    counted = alignment.with_counts(stored(flat, "aligned"), "pairs", "times", frequent)
+    kept = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "n_best", "count_sum", "size")
+    found = [
+        (*r[:5], hashlib.sha256(r.groups.encode()).hexdigest() if r.groups else "", *r[6:8])
+        for r in counted.select(*kept).collect()
+        if r["size"] == "size"
+    ]
+    assert in_order(found) == in_order(expected([r[:2] for r in rows]))
+
+
+def test_pairs_are_packed_with_their_numbers(spark):
+    docs = brute.frame(spark, [(1, "the the  the naïve", None, None, None)])
+    r = alignment.aligned(docs, A_PATH, B_PATH).first().aligned
+    pa = alignment.pa
+    pairs, times = from_ascending(pa.scalar(r.pairs)), from_planes(pa.scalar(r.times), np.uint32)
+    links = Counter(x << 32 | y for x, y in Reading()("the the  the naïve")[3])
+    assert dict(zip(pairs.tolist(), times.tolist())) == links
+
+
+def test_no_rows(spark):
+    made = alignment.aligned(brute.frame(spark, []), A_PATH, B_PATH)
+    flat = made.select(F.monotonically_increasing_id().alias("row"), "doc_id", "aligned.*")
+    assert alignment.with_counts(stored(flat, "aligned"), "pairs", "times").collect() == []
+
+
+def test_op11_as_registered(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    df = entry.queries()["op11_token_alignment"](spark, folder)
+    assert df.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_best", "count_sum"]
+    assert {t for c, t in df.dtypes if c != "groups_sha256"} == {"bigint"}
+    assert in_order(df.collect()) == in_order(expected(rows))
