@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygauge.llm import alignment, bpe, mixing, near_dup, pieces, ppm, quality, recipes, run_index, sharding
-from daygauge.llm import token_counts, urls
+from daygauge.llm import alignment, bpe, hard_negatives, mixing, near_dup, pieces, ppm, quality
+from daygauge.llm import recipes, run_index, sharding, token_counts, urls
 from daygauge.llm.workspace import ship, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,6 +103,12 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.with_counts(stored(numbered, "aligned"), "pairs", "times")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    noisy = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives.hard_negatives(rows.withColumn("label", noisy), F.col("vec_id") % 100 == 0)
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = _documents(spark, sf_dir).select("doc_id", F.col("text").alias("pieces"))
@@ -138,6 +144,7 @@ def queries() -> dict[str, Query]:
         op9_exact_dedup,
         op10_quality_rules,
         op11_token_alignment,
+        op12_hard_negatives,
         op13_sentencepiece,
     ]
     return {query.__name__: _shipped(query) for query in found}
@@ -294,6 +301,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b LEFT JOIN bounds ON b.lang IS NOT DISTINCT FROM bounds.lang AND b.source IS NOT DISTINCT FROM bounds.source"""
 
 
+# Every anchor against every row, by plain inner products.
+HARD_NEGATIVES_SQL = """
+WITH own AS (
+  SELECT row_number() OVER () AS row_no, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.row_no, a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM own a JOIN own b ON a.vec_id % 100 = 0 AND a.vec_id IS DISTINCT FROM b.vec_id),
+positives AS (
+  SELECT row_no, anchor_id, other_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY row_no ORDER BY score DESC, other_id NULLS LAST) AS place
+  FROM scored WHERE alike QUALIFY place <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY row_no, place ORDER BY n.score DESC, n.other_id NULLS LAST) AS INTEGER) AS rank,
+       n.other_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n USING (row_no)
+WHERE NOT n.alike AND 100 * n.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score
+QUALIFY rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     """No SQL for the ring of op7: its overflow goes round by round; tested against brute force."""
     return {
@@ -301,4 +332,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_url_filter": _url_sql(),
         "op9_exact_dedup": EXACT_DEDUP_SQL,
         "op10_quality_rules": _quality_sql(),
+        "op12_hard_negatives": HARD_NEGATIVES_SQL,
     }

@@ -22,7 +22,7 @@ def rows_of(columns, rows):
 
 
 def test_every_operator_is_registered():
-    names = {f"op{n}_" for n in range(1, 11)}
+    names = {f"op{n}_" for n in range(1, 14)}
     assert {re.match(r"op\d+_", n)[0] for n in queries.queries()} == names
     assert queries.queries().keys() | {"pipeline"} <= entry.queries().keys()
     assert queries.oracle_sql().keys() <= entry.oracle_sql().keys() <= entry.queries().keys()
@@ -31,7 +31,7 @@ def test_every_operator_is_registered():
 @pytest.mark.parametrize("name", queries.oracle_sql())
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     result = con.execute(queries.oracle_sql()[name])
     columns = [c[0] for c in result.description]
