@@ -27,12 +27,12 @@ from tokenizers import Tokenizer
 
 from daygauge.llm.blocks import ascending, from_ascending, from_planes, planes
 from daygauge.llm.charmap import SPACE_SYMBOL
-from daygauge.llm.pieces import piece_model
-from daygauge.llm.splitting import _TO_BYTES
+from daygauge.llm.pieces import NORMAL, piece_model
+from daygauge.llm.splitting import _TO_BYTES, LETTERS
 from daygauge.llm.workspace import stored, text_slices
 
-# Chunks that a worker remembers, and the longest one of them.
-REMEMBERED, SHORT = 200_000, 48
+# Chunks that half of a worker's memory holds, and the longest one of them.
+REMEMBERED, SHORT = 150_000, 48
 # Pairs looked up in every task at most (17 bytes each); the others go through a join.
 FREQUENT = 400_000
 # Different pairs that a task holds while it counts.
@@ -42,9 +42,15 @@ SLICE_CHARS = 1 << 19
 GRADES = 8
 
 # White space by anyone's reading. Both tokenizers cut before a blank and around a line feed that stand alone.
+# A cuts between a letter and one of the marks, and B does where none of its pieces goes across.
+_MARKS = ".,;:!?#*%$&|<>()"
 _SPACE = r"\s\x1c-\x1f\x85\u180e\u200b-\u200d\u2060\ufeff"
 _ODD = rf"(?:[{_SPACE}]{{2,}}|(?![ \n])[{_SPACE}])"
-CHUNK = re.compile(rf"(?: ?[^{_SPACE}]+|{_ODD}[^{_SPACE}]*)(?:{_ODD}[^{_SPACE}]*)*|[ \n]")
+_REST = rf"(?: ?[^{_SPACE}]+|{_ODD}[^{_SPACE}]*)(?:{_ODD}[^{_SPACE}]*)*|[ \n]"
+CHUNK = re.compile(_REST)
+# Words of letters before marks that end the run, and such marks, are chunks of their own.
+_END = rf"(?=[ \n][^{_SPACE}]|$)"
+MARKED_CHUNK = re.compile(rf" ?[{LETTERS}]+(?=[{_MARKS}]+{_END})|(?<=[{LETTERS}])[{_MARKS}]+{_END}|{_REST}")
 
 
 def gallop(ends: np.ndarray, among: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -133,18 +139,23 @@ class Aligner:
         self.b = piece_model(b_path)
         self.a_widths = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_widths = np.array([len(x) for x in self.b.values], np.int64)
-        normal = self.b.normalise
+        spec = self.b.normalise
         in_lines = any("\n" in name for name in self.b.names)
         self.apart = (
             before.get("use_regex", True) and not before["add_prefix_space"] and self.b.apart and not in_lines
-            and not normal.prefixes and not normal.squeeze and normal.dummy
+            and not spec.prefixes and not spec.squeeze and spec.dummy
         )
+        across = re.compile(f"[{LETTERS}][{re.escape(_MARKS)}]")
+        normal = [name for name, kind in zip(self.b.names, self.b.kinds) if kind == NORMAL]
+        self.cut = CHUNK if any(map(across.search, normal)) else MARKED_CHUNK
         self.a_text, self.b_text = ([str(i) for i in range(len(x))] for x in (self.a_widths, self.b_widths))
         self.known: dict[str, tuple | None] = {}
+        self.before: dict[str, tuple | None] = {}
+        self.long: list[str] = []
 
     def chunks(self, text: str) -> list[str]:
         """A space and the text, cut where both tokenizers cut."""
-        return CHUNK.findall(" " + text) if self.apart else [" " + text]
+        return self.cut.findall(" " + text) if self.apart else [" " + text]
 
     def _ids(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         a = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
@@ -198,18 +209,23 @@ class Aligner:
         return found
 
     def learn(self, texts: list[list[str]]) -> None:
-        """Know all chunks of some texts."""
-        wanted = set(chain.from_iterable(texts))
-        new = wanted.difference(self.known)
+        """Know all chunks of some texts. Of two halves of what is known, the one without late use goes."""
+        new = set(chain.from_iterable(texts)).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = wanted
+            self.before, self.known = self.known, {}
+            new = set(chain.from_iterable(texts))
+        if self.before:
+            again = new.intersection(self.before)
+            self.known.update((c, self.before[c]) for c in again)
+            new -= again
         new = list(new)
         self.known.update(zip(new, self.aligned(new)))
+        self.long = [c for c in new if len(c) > SHORT]
 
-    def forget_long(self, texts: list[list[str]]) -> None:
-        for chunk in {c for c in chain.from_iterable(texts) if len(c) > SHORT}:
+    def forget_long(self) -> None:
+        for chunk in self.long:
             self.known.pop(chunk, None)
+        self.long = []
 
 
 @lru_cache(maxsize=2)
@@ -243,7 +259,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, text: str = "text", out:
                 cut = [own.chunks(t) if t else [] for t in texts]
                 own.learn(cut)
                 made = [_summed([own.known[c] for c in chunks]) for chunks in cut]
-                own.forget_long(cut)
+                own.forget_long()
                 names = [f.split()[0] for f in fields.split(", ")]
                 kinds = [*[pa.int64()] * 4, pa.string(), pa.binary(), pa.binary()]
                 columns = [pa.array([m[k] for m in made], kind) for k, kind in enumerate(kinds)]

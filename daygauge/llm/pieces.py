@@ -34,7 +34,7 @@ SLICE_CHARS = 1 << 19
 
 # Numbers of the fields, and kinds, of a model file.
 _PIECES, _TRAINER, _NORMALISER, _DENORMALISER = 1, 2, 3, 5
-_NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
+NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 _BPE = 2
 
 
@@ -89,15 +89,15 @@ class PieceModel:
         trainer = dict(_fields(next(v for k, v in top if k == _TRAINER)))
         spec = dict(_fields(next(v for k, v in top if k == _NORMALISER)))
         listed = [dict(_fields(v)) for k, v in top if k == _PIECES]
-        kinds = [p.get(3, _NORMAL) for p in listed]
+        kinds = [p.get(3, NORMAL) for p in listed]
         suffix, byte_fallback = trainer.get(24, 0), trainer.get(35, 0)
         if trainer.get(3) != _BPE or suffix or not byte_fallback or not spec.get(5, 1):
             raise ValueError("not a model of merges with byte fallback and spaces as symbols before words")
-        if set(kinds) - {_NORMAL, _UNKNOWN, _CONTROL, _BYTE}:
+        if set(kinds) - {NORMAL, _UNKNOWN, _CONTROL, _BYTE}:
             raise ValueError("a model with pieces given by users or unused")
         self.names = [p[1].decode() for p in listed]
         self.kinds = kinds
-        normal = [name for name, kind in zip(self.names, kinds) if kind == _NORMAL]
+        normal = [name for name, kind in zip(self.names, kinds) if kind == NORMAL]
         self.end_id = trainer.get(42, 2)
         self.unknown = trainer.get(44, b" \xe2\x81\x87 ")
         self.normalise = Normaliser(
@@ -119,7 +119,7 @@ class PieceModel:
 
     def _value(self, i: int) -> bytes:
         kind, name = self.kinds[i], self.names[i]
-        if kind == _NORMAL:
+        if kind == NORMAL:
             return name.replace(SPACE_SYMBOL, " ").encode()
         return {_CONTROL: b"", _UNKNOWN: self.unknown}.get(kind) if kind != _BYTE else bytes([int(name[3:5], 16)])
 
@@ -186,7 +186,7 @@ class PieceModel:
         strip = self.normalise.dummy or self.normalise.squeeze
         while at < len(ids) and not begun and not text:  # a space before the text isn't part of it
             value = self.values[ids[at]]
-            if strip and self.kinds[ids[at]] == _NORMAL and value.startswith(b" "):
+            if strip and self.kinds[ids[at]] == NORMAL and value.startswith(b" "):
                 value, begun = value[1:], not self.normalise.squeeze
             elif self.kinds[ids[at]] == _BYTE:
                 break
