@@ -1,7 +1,10 @@
 """Quality rules with adaptive thresholds per language and source.
 
 Each document is measured; per language and source, a quantile sketch of each measure says
-what is usual there, and documents far beyond the usual are rejected.
+what is usual there, and documents far beyond the usual are rejected. Most documents have no
+symbols and no repeated lines or words; of these measures the sketch tells the share of
+documents that have some, and how much those have. Symbols that are glued to words and symbols
+that stand alone are measures of their own.
 
 The sketch counts values in buckets whose bounds grow by a constant factor. Its quantiles
 have that relative error, two sketches merge by adding their counts, and the same values
@@ -25,20 +28,27 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 MEASURES = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
+GLUED = "n_glued"
 
 # Relative width of a bucket; values under LEAST count as 0.
 WIDTH = 1.02
 LEAST = 0.001
 ZERO = -100_000
-# A value is far out beyond median + REACH * (upper - median) + slack, likewise below.
 LOWER, MIDDLE, UPPER = 0.25, 0.5, 0.75
+# Word length is far out beyond median + REACH * (upper - median) + slack, likewise below.
 REACH = 6.0
-# Measures as ratios, with the slack that any group has whatever its spread.
+# Other measures are beyond slack + HABIT_REACH * share * share * upper, with the share of the group's
+# documents that have some, and the upper quartile of what those have: what few documents do hardly
+# moves the bound of their own group, what is the habit of a group does.
+HABIT_REACH = 3.0
+SPREAD = "word_length"
+# Measures as ratios, with the slack that any group has.
 RATIOS = {
-    "symbol_ratio": ("n_symbols", "n_words", 0.15),
+    "glued_ratio": (GLUED, "n_words", 0.15),
+    "loose_ratio": (f"(n_symbols - {GLUED})", "n_words", 0.15),
     "dup_line_ratio": ("n_dup_lines", "n_lines", 0.4),
     "repeat_ratio": ("n_repeat_words", "n_words", 0.25),
-    "word_length": ("word_chars", "n_words", 2.0),
+    SPREAD: ("word_chars", "n_words", 2.0),
 }
 
 
@@ -76,13 +86,22 @@ def measure_text(text: str | None) -> tuple[int, int, int, int, int, int]:
     )
 
 
+def glued_symbols(text: str | None) -> int:
+    """Symbols in words that have other characters too."""
+    if not text or not any(symbol in text for symbol in SYMBOLS):
+        return 0
+    bare = ((word, word.translate(None, SYMBOLS.encode())) for word in text.encode().split())
+    return sum(len(word) - len(rest) for word, rest in bare if rest)
+
+
 def _measured(text: Column) -> Column:
-    names = [m.split()[0] for m in MEASURES.split(", ")]
+    names = [*(m.split()[0] for m in MEASURES.split(", ")), GLUED]
 
-    @F.pandas_udf(MEASURES)
+    @F.pandas_udf(f"{MEASURES}, {GLUED} long")
     def measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.DataFrame(map(measure_text, texts), columns=names, dtype="int64")
+            rows = [(*measure_text(text), glued_symbols(text)) for text in texts]
+            yield pd.DataFrame(rows, columns=names, dtype="int64")
 
     return measured(text)
 
@@ -123,22 +142,26 @@ def quantiles(sketch: DataFrame, groups: Sequence[str], at: dict[str, float]) ->
 def _ratio(name: str) -> Column:
     """A measure as a ratio; null without words or lines."""
     part, whole, _ = RATIOS[name]
-    return F.try_divide(F.col(part).cast("double"), F.col(whole))
+    return F.try_divide(F.expr(part).cast("double"), F.col(whole))
 
 
 def thresholds(measured: DataFrame, groups: Sequence[str] = ("lang", "source")) -> DataFrame:
     """Per group a least and a greatest value of each ratio, from the documents that pass the base rules."""
     ratios = [_ratio(name).alias(name) for name in RATIOS]
     usual = measured.where(~base_failed()).select(*groups, *ratios)
-    spread = quantiles(
-        sketches(usual, groups, list(RATIOS)), groups, {"lower": LOWER, "middle": MIDDLE, "upper": UPPER}
-    )
+    of = W.partitionBy(*groups, "measure")
+    some = F.sum(F.when(F.col("bucket") != ZERO, F.col("n")).otherwise(0)).over(of)
+    sketch = sketches(usual, groups, list(RATIOS)).withColumn("share", some / F.sum("n").over(of))
+    at = {"lower": LOWER, "middle": MIDDLE, "upper": UPPER}
+    found = quantiles(sketch.where(F.col("bucket") != ZERO), [*groups, "share"], at)
     slack = F.element_at(F.create_map(*[F.lit(x) for n, (*_, s) in RATIOS.items() for x in (n, s)]), F.col("measure"))
-    bounds = spread.select(
+    spread = F.col("measure") == SPREAD
+    habit = slack + F.lit(HABIT_REACH) * F.col("share") * F.col("share") * F.col("upper")
+    bounds = found.select(
         *groups,
         "measure",
-        (F.col("middle") - (F.col("middle") - F.col("lower")) * REACH - slack).alias("least"),
-        (F.col("middle") + (F.col("upper") - F.col("middle")) * REACH + slack).alias("most"),
+        F.when(spread, F.col("middle") - (F.col("middle") - F.col("lower")) * REACH - slack).otherwise(0.0).alias("least"),
+        F.when(spread, F.col("middle") + (F.col("upper") - F.col("middle")) * REACH + slack).otherwise(habit).alias("most"),
     )
     each = [
         F.max(F.when(F.col("measure") == name, F.col(bound))).alias(f"{bound}_{name}")

@@ -237,7 +237,7 @@ def _quality_sql() -> str:
     width = f"ln({quality.WIDTH}::DOUBLE)"
     ratios = list(quality.RATIOS.items())
     each = "\n  UNION ALL ".join(
-        f"SELECT lang, source, '{name}' AS measure, {part}::DOUBLE / nullif({whole}, 0) AS value, "
+        f"SELECT lang, source, '{name}' AS measure, CAST({part} AS DOUBLE) / nullif({whole}, 0) AS value, "
         f"{slack}::DOUBLE AS slack FROM b WHERE NOT base_failed"
         for name, (part, whole, slack) in ratios
     )
@@ -247,17 +247,15 @@ def _quality_sql() -> str:
         for bound in ("least", "most")
     )
     inside = " AND ".join(
-        f"coalesce({part}::DOUBLE / nullif({whole}, 0) BETWEEN least_{name} AND most_{name}, true)"
+        f"coalesce(CAST({part} AS DOUBLE) / nullif({whole}, 0) BETWEEN least_{name} AND most_{name}, true)"
         for name, (part, whole, _) in ratios
     )
-    quantile = (
-        "CASE WHEN min(bucket) FILTER (WHERE upto >= al * {0}) = {1} THEN 0 "
-        "ELSE pow({2}, min(bucket) FILTER (WHERE upto >= al * {0})) END AS {3}"
-    )
+    quantile = "pow({1}, min(bucket) FILTER (WHERE upto >= al * {0})) AS {2}"
     found = ", ".join(
-        quantile.format(share, quality.ZERO, quality.WIDTH, name)
+        quantile.format(share, quality.WIDTH, name)
         for share, name in ((quality.LOWER, "lower_"), (quality.MIDDLE, "middle"), (quality.UPPER, "upper_"))
     )
+    spread = f"measure = '{quality.SPREAD}'"
     return rf"""
 WITH t AS (
   SELECT doc_id, lang, source, coalesce(text, '') AS text, {_WORDS} AS words,
@@ -276,7 +274,10 @@ m AS (
          length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
          length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
-         coalesce(n, 0) AS n_repeat_words
+         coalesce(n, 0) AS n_repeat_words,
+         coalesce(list_sum(list_transform(words, lambda w: CASE
+           WHEN regexp_matches(w, '[^#*$%&|<>]') THEN length(w) - length(regexp_replace(w, '[#*$%&|<>]', '', 'g'))
+           ELSE 0 END)), 0) AS {quality.GLUED}
   FROM t LEFT JOIN repeats USING (doc_id)),
 b AS (
   SELECT *, n_words < {quality.MIN_WORDS}
@@ -287,13 +288,17 @@ k AS (
          CAST(CASE WHEN value < {quality.LEAST} THEN {quality.ZERO} ELSE ceil(ln(value) / {width}) END AS INT) AS bucket,
          count(*) AS n
   FROM v WHERE value IS NOT NULL GROUP BY ALL),
+s AS (
+  SELECT *, coalesce(sum(n) FILTER (WHERE bucket <> {quality.ZERO}) OVER (PARTITION BY lang, source, measure), 0)
+            / sum(n) OVER (PARTITION BY lang, source, measure) AS share FROM k),
 r AS (
   SELECT *, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY bucket) AS upto,
-         sum(n) OVER (PARTITION BY lang, source, measure) AS al FROM k),
-q AS (SELECT lang, source, measure, slack, {found} FROM r GROUP BY lang, source, measure, slack),
+         sum(n) OVER (PARTITION BY lang, source, measure) AS al FROM s WHERE bucket <> {quality.ZERO}),
+q AS (SELECT lang, source, measure, slack, share, {found} FROM r GROUP BY lang, source, measure, slack, share),
 e AS (
-  SELECT *, middle - (middle - lower_) * {quality.REACH} - slack AS least,
-         middle + (upper_ - middle) * {quality.REACH} + slack AS most FROM q),
+  SELECT *, CASE WHEN {spread} THEN middle - (middle - lower_) * {quality.REACH} - slack ELSE 0 END AS least,
+         CASE WHEN {spread} THEN middle + (upper_ - middle) * {quality.REACH} + slack
+              ELSE slack + {quality.HABIT_REACH} * share * share * upper_ END AS most FROM q),
 bounds AS (
   SELECT lang, source, {bounds} FROM e GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

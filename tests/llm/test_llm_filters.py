@@ -103,6 +103,33 @@ def test_sketched_quantiles_have_the_promised_error(spark):
         assert row[name] == 0 if exact < quality.LEAST else exact <= row[name] * (1 + 1e-9) <= exact * quality.WIDTH * 1.001
 
 
+def test_glued_symbols():
+    for text, n in ((None, 0), ("", 0), ("a b", 0), ("a### | # b|", 4), ("é# \n###", 1), ("<a> $ &&", 2)):
+        assert quality.glued_symbols(text) == n
+
+
+def test_bounds_follow_the_habits_of_a_group(spark):
+    """A table is out of place among prose, and at home among tables; glued junk is caught in both."""
+    line = lambda n: " | ".join(f"cell{(n + k) ** 3}" for k in range(0, 400, 100))
+    text = {
+        "prose": lambda n: prose(n, 120),
+        "tables": lambda n: "\n".join(line(1000 * n + k) for k in range(30)),
+        "lists": lambda n: "\n".join([prose(n, 60), *["the same closing line of words"] * 4]),
+    }
+    rows = [(g, kind, text[kind](n)) for g, kind in enumerate(text) for n in range(40)]
+    rows += [(0, "prose", text["tables"](77)), *((g, kind, " ".join(w + "###" for w in prose(88, 120).split())) for g, kind in enumerate(text))]
+    docs = brute.frame(spark, [(n, t, "en", kind, None) for n, (_, kind, t) in enumerate(rows)])
+    kept = {r.doc_id for r in quality.quality(docs).where("kept").collect()}
+    assert kept == set(range(120))
+    measured_rows = docs.select("lang", "source", quality._measured(F.col("text")).alias("m")).select("lang", "source", "m.*")
+    bounds = {r.source: r for r in quality.thresholds(measured_rows).collect()}
+    for name, own in (("loose_ratio", "tables"), ("dup_line_ratio", "lists"), ("repeat_ratio", "lists"), ("word_length", "tables")):
+        most = {source: bounds[source][f"most_{name}"] or 0 for source in bounds}
+        assert len({round(x, 6) for x in most.values()}) > 1
+        assert name == "word_length" or most[own] == max(most.values()) > 0
+    assert all(0.15 < b.most_glued_ratio < 0.2 for b in bounds.values())
+
+
 def test_quality_keeps_usual_and_drops_odd_documents(spark):
     usual = [prose(n, 120) for n in range(40)]
     symbols = " ".join(w + "###" for w in usual[0].split())

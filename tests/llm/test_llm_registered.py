@@ -111,7 +111,12 @@ def sketched(values, share):
 def good(rows):
     measures = {r[0]: measured(r[1]) for r in rows}
     failed = {i: m[0] < 50 or 100 * m[5] > 50 * m[0] for i, m in measures.items()}
-    ratios = lambda m: (m[2] / m[0], m[4] / m[3], m[5] / m[0], m[1] / m[0])
+    def ratios(r):
+        m = measures[r[0]]
+        words = [(w, sum(c in "#*$%&|<>" for c in w)) for w in brute.words(r[1])]
+        glued = sum(n for w, n in words if n < len(w))
+        return glued / m[0], (m[2] - glued) / m[0], m[4] / m[3], m[5] / m[0], m[1] / m[0]
+
     groups = defaultdict(list)
     for r in rows:
         if not failed[r[0]]:
@@ -119,9 +124,15 @@ def good(rows):
     kept = []
     for own in groups.values():
         inside = [True] * len(own)
-        for values, slack in zip(zip(*(ratios(measures[r[0]]) for r in own)), (0.15, 0.4, 0.25, 2.0)):
-            low, middle, high = (sketched(values, share) for share in (0.25, 0.5, 0.75))
-            least, most = middle - (middle - low) * 6 - slack, middle + (high - middle) * 6 + slack
+        for n, (values, slack) in enumerate(zip(zip(*map(ratios, own)), (0.15, 0.15, 0.4, 0.25, 2.0))):
+            some = [v for v in values if v >= quality.LEAST]
+            if not some:
+                continue
+            low, middle, high = (sketched(some, share) for share in (0.25, 0.5, 0.75))
+            share = len(some) / len(values)
+            least, most = 0, slack + 3 * share * share * high
+            if n == 4:
+                least, most = middle - (middle - low) * 6 - slack, middle + (high - middle) * 6 + slack
             inside = [ok and least <= v <= most for ok, v in zip(inside, values)]
         kept += [r for r, ok in zip(own, inside) if ok]
     return kept
