@@ -10,16 +10,19 @@ from __future__ import annotations
 import importlib
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from datetime import date
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daygauge.functions.clock import last_days, yesterday
 from daygauge.operators import activity, daily, leaders, overlap, retention
-from daygauge.plans import report
+from daygauge.plans import daily_report, report, state
+from daygauge.plans import rollup as ru
 from daygauge.sources import events, logs, sinks
 
 AS_OF = date(2024, 1, 31)
@@ -73,6 +76,46 @@ def _exported_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
 
 
+# An old day whose likes had come in as views, a date before the end of the logs, and one after it.
+CORRECTED, EARLIER, LATER = date(2024, 1, 5), date(2024, 1, 25), date(2024, 12, 31)
+# The last days of the logs and some after them.
+DENSE_AS_OF, DENSE_DAYS = date(2024, 2, 5), 10
+
+
+def _running(answer: Callable[[SparkSession, str], DataFrame]) -> Query:
+    """The answer of a rollup that was made early, over a feed with a day that was corrected since, and then extended."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        f, m, path = feed(spark, sf_dir), messages(spark, sf_dir), sinks.shared_path(spark)
+        f = f.withColumn("dt", F.to_date("time"))
+        wrong = F.when(F.col("dt") == F.lit(CORRECTED), "view").otherwise(F.col("action"))
+        landed = f"{path}/feed"
+        ru.write_days(f.withColumn("action", wrong), landed)
+        ru.extend_rollup(logs.feed_actions(spark, landed), m, path, EARLIER, by_content=True, running=True)
+        ru.write_days(f.where(F.col("dt") == F.lit(CORRECTED)), landed)
+        ru.extend_rollup(logs.feed_actions(spark, landed), m, path, LATER, by_content=True, running=True)
+        return answer(spark, path)
+
+    return run
+
+
+def _scan_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the scan for the post counts has seen of the feed."""
+    counted, seen = logs.scan_metrics(feed(spark, sf_dir), f"feed-{uuid.uuid4().hex}", *last_days(AS_OF))
+    leaders.post_counts(counted).write.format("noop").mode("overwrite").save()
+    return spark.range(1).select(*(F.lit(n).cast("bigint").alias(c) for c, n in seen.get.items()))
+
+
+def _published_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the reports of two dates, and read the text of the last one as a reader does."""
+    f, m, out = feed(spark, sf_dir), messages(spark, sf_dir), sinks.shared_path(spark)
+    for as_of in (yesterday(COHORT_AS_OF), COHORT_AS_OF):
+        daily_report.publish_daily_report(f, m, as_of, out, f"{out}/rollup")
+    text = spark.read.text(f"{sinks.published(spark, out)}/report.txt", wholetext=True)
+    lines = text.select(F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("k", "line"))
+    return lines.selectExpr("bigint(k + 1) AS line_no", "line")
+
+
 def _text_module(name: str):
     """A module of the text operators, or None where they are not installed."""
     try:
@@ -134,6 +177,23 @@ def _log_queries() -> dict[str, Query]:
         "top_mailers": _messages(lambda m: leaders.top_by_count(m, "user_id", "sent")),
         "top_receivers": _messages(lambda m: leaders.top_by_count(m, "receiver_id", "received")),
         "top_feed_users": _feed(lambda f: leaders.top_by_count(f, "user_id", "actions")),
+        "top_posts_rolled": _running(
+            lambda spark, path: state.running_top_posts(
+                state.read_totals(spark, path, "post_totals"), ru.read_days(spark, path, ru.POST_USERS)
+            )
+        ),
+        "top_feed_users_running": _running(
+            lambda spark, path: state.running_top(
+                state.read_totals(spark, path, "user_totals"), "user_id", "feed_actions", "actions"
+            )
+        ),
+        "cohort_activity_running": _running(
+            lambda spark, path: retention.activity_of_sizes(state.cohort_sizes(state.read_words(spark, path)))
+        ),
+        "views_dense": _feed(lambda f: daily.feed_series(f, DENSE_AS_OF, "views", DENSE_DAYS, dense=True)),
+        "ctr_dense": _feed(lambda f: daily.feed_series(f, DENSE_AS_OF, "ctr_pct", DENSE_DAYS, dense=True)),
+        "scan_metrics": _scan_metrics,
+        "published_report": _published_lines,
         "export_ranked_csv": _exported_posts,
         "daily_kpis": _both(lambda f, m: report.daily_kpis(f, m, COHORT_AS_OF)),
         "daily_kpis_without_cohort": _both(lambda f, m: report.daily_kpis(f, m, AS_OF)),
@@ -217,6 +277,22 @@ def _with(select: str, *ctes: str) -> str:
     return "WITH " + ",".join((_LOGS, *ctes)) + "\n" + select
 
 
+def _report_lines_sql(week_text: str, indent: str) -> str:
+    # The wording and layout of the report.
+    return f"""
+    SELECT * FROM (
+      SELECT CAST(1 AS BIGINT) AS line_no,
+     'Report №-2 for ' || strftime(report_date, '%d-%m-%Y') || ':' AS line FROM kpis
+      UNION ALL SELECT 2, 'Feed DAU = ' || feed_dau FROM kpis
+      UNION ALL SELECT 3, '{indent}Messenger DAU = ' || messenger_dau FROM kpis
+      UNION ALL SELECT 4, 'Views = ' || views FROM kpis
+      UNION ALL SELECT 5, '{indent}Likes = ' || likes FROM kpis
+      UNION ALL SELECT 6, 'CTR = ' || ctr_pct || '%' FROM kpis
+      UNION ALL SELECT 7, 'Messages = ' || messages FROM kpis
+      UNION ALL SELECT 8, '{indent}Engaged in both feed and messenger = ' || both_users FROM kpis
+      UNION ALL SELECT 9, '{indent}Last week retention = {{' || {week_text} || '}}' FROM kpis)"""
+
+
 def oracle_sql() -> dict[str, str]:
     text, pipeline = _text_modules()
     return {
@@ -246,6 +322,13 @@ def _log_sql() -> dict[str, str]:
             f"CAST({value} AS DOUBLE) AS value FROM {table} WHERE {week} GROUP BY dt"
         )
 
+    def dense(value: str, missing: str) -> str:
+        return _with(
+            f"SELECT CAST(d AS DATE) AS dt, coalesce(value, {missing}) AS {{0}} "
+            f"FROM generate_series(DATE '{DENSE_AS_OF}' - {DENSE_DAYS}, DATE '{DENSE_AS_OF}' - 1, INTERVAL 1 DAY) days(d) "
+            f"LEFT JOIN (SELECT dt, {value} AS value FROM feed GROUP BY dt) m ON m.dt = CAST(d AS DATE)"
+        )
+
     posts = f"""
       SELECT post_id, {_VIEWS} AS views, {_LIKES} AS likes, {_LIKES} / nullif({_VIEWS}, 0) AS ctr,
              count(DISTINCT user_id) AS users
@@ -262,6 +345,8 @@ def _log_sql() -> dict[str, str]:
     )
     indent = " " * 12
 
+    lines = _report_lines_sql(week_text, indent)
+
     return {
         "scan_feed_actions": _with("SELECT user_id, post_id, action, time FROM feed"),
         "scan_message_actions": _with("SELECT user_id, receiver_id, time FROM messages"),
@@ -324,21 +409,19 @@ def _log_sql() -> dict[str, str]:
         ),
         "daily_kpis": _with("SELECT * FROM kpis", *kpi_ctes(COHORT_AS_OF)),
         "daily_kpis_without_cohort": _with("SELECT * FROM kpis", *kpi_ctes(AS_OF)),
-        # The wording and layout of the report, and in chart_range_label the titles and panels.
-        "report_text": _with(
-            f"""
-            SELECT * FROM (
-              SELECT CAST(1 AS BIGINT) AS line_no,
-                     'Report №-2 for ' || strftime(report_date, '%d-%m-%Y') || ':' AS line FROM kpis
-              UNION ALL SELECT 2, 'Feed DAU = ' || feed_dau FROM kpis
-              UNION ALL SELECT 3, '{indent}Messenger DAU = ' || messenger_dau FROM kpis
-              UNION ALL SELECT 4, 'Views = ' || views FROM kpis
-              UNION ALL SELECT 5, '{indent}Likes = ' || likes FROM kpis
-              UNION ALL SELECT 6, 'CTR = ' || ctr_pct || '%' FROM kpis
-              UNION ALL SELECT 7, 'Messages = ' || messages FROM kpis
-              UNION ALL SELECT 8, '{indent}Engaged in both feed and messenger = ' || both_users FROM kpis
-              UNION ALL SELECT 9, '{indent}Last week retention = {{' || {week_text} || '}}' FROM kpis)""",
-            *kpi_ctes(COHORT_AS_OF),
+        # In chart_range_label the titles and panels.
+        "report_text": _with(lines, *kpi_ctes(COHORT_AS_OF)),
+        "published_report": _with(lines, *kpi_ctes(COHORT_AS_OF)),
+        "top_posts_rolled": _with(posts),
+        "top_feed_users_running": top("feed", "user_id", "actions"),
+        "cohort_activity_running": _with("SELECT * FROM cohorts", _COHORTS),
+        "views_dense": dense(_VIEWS, "0").format("views"),
+        "ctr_dense": dense(_CTR, "NULL").format("ctr_pct"),
+        "scan_metrics": _with(
+            "SELECT count(*) AS rows, count(*) FILTER (user_id IS NULL) AS null_users, "
+            "count(*) FILTER (post_id IS NULL) AS null_targets, count(*) FILTER (time IS NULL) AS null_times, "
+            "count(*) FILTER (action NOT IN ('view', 'like')) AS other_actions, "
+            f"count(*) FILTER (NOT ({week})) AS outside FROM feed"
         ),
         "chart_range_label": _with(
             "SELECT * FROM ("

@@ -10,6 +10,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daygauge.functions.clock import WEEK, last_days
 from daygauge.functions.columns import LIKES, VIEWS, between_days, ctr_pct, day, exprs, on_day
@@ -59,14 +60,31 @@ def daily_message_metrics(messages: DataFrame, first: date, last: date) -> DataF
     )
 
 
-def feed_series(feed: DataFrame, as_of: date, metric: str, days: int = WEEK) -> DataFrame:
-    """(dt, metric) for the last full days, one column of ``daily_feed_metrics``.
+def dense_days(metrics: DataFrame, first: date, last: date) -> DataFrame:
+    """Per-day metrics with a row for every day: a day without rows has 0 for counts and NULL for ratios.
 
-    Days without actions have no row.
+    The calendar is the left side of a join with the metrics, which have a row for each day at most.
     """
-    return daily_feed_metrics(feed, *last_days(as_of, days)).select("dt", metric).orderBy("dt")
+    days = metrics.sparkSession.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("dt"))
+    zeros = {f.name: 0 for f in metrics.schema.fields if isinstance(f.dataType, T.IntegralType)}
+    joined = days.join(metrics.where(F.col("dt").between(F.lit(first), F.lit(last))), "dt", "left")
+    return joined.fillna(zeros) if zeros else joined
+
 
+def feed_series(feed: DataFrame, as_of: date, metric: str, days: int = WEEK, dense: bool = False) -> DataFrame:
+    """(dt, metric) for the last full days, one column of ``daily_feed_metrics``.
 
-def message_series(messages: DataFrame, as_of: date, metric: str, days: int = WEEK) -> DataFrame:
-    """(dt, metric) for the last full days, one column of ``daily_message_metrics``."""
-    return daily_message_metrics(messages, *last_days(as_of, days)).select("dt", metric).orderBy("dt")
+    Days without actions have no row, or with ``dense`` the row of ``dense_days``.
+    """
+    window = last_days(as_of, days)
+    series = daily_feed_metrics(feed, *window).select("dt", metric)
+    return (dense_days(series, *window) if dense else series).orderBy("dt")
+
+
+def message_series(
+    messages: DataFrame, as_of: date, metric: str, days: int = WEEK, dense: bool = False
+) -> DataFrame:
+    """(dt, metric) for the last full days, one column of ``daily_message_metrics``; ``dense`` as there."""
+    window = last_days(as_of, days)
+    series = daily_message_metrics(messages, *window).select("dt", metric)
+    return (dense_days(series, *window) if dense else series).orderBy("dt")

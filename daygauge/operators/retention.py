@@ -50,9 +50,13 @@ def cohort_sizes(feed: DataFrame, horizon: int = WEEK) -> DataFrame:
 
 def cohort_activity(feed: DataFrame, horizon: int = WEEK) -> DataFrame:
     """(start_date, dt, duration, users, first_day_users) for every day with returning users."""
+    return activity_of_sizes(cohort_sizes(feed, horizon))
+
+
+def activity_of_sizes(sizes: DataFrame) -> DataFrame:
+    """``cohort_activity`` from the rows of ``cohort_sizes``."""
     return (
-        cohort_sizes(feed, horizon)
-        .selectExpr("start_date", "days[0] AS first_day_users", "posexplode(days) AS (k, users)")
+        sizes.selectExpr("start_date", "days[0] AS first_day_users", "posexplode(days) AS (k, users)")
         .where("users > 0")
         .selectExpr(
             "start_date",
@@ -114,7 +118,12 @@ def retention_week(feed: DataFrame, as_of: date, horizon: int = WEEK) -> DataFra
     return week.selectExpr(f"inline(array({rows})) AS (duration, label, retention)")
 
 
-def retention_week_row(feed: DataFrame, as_of: date, horizon: int = WEEK) -> DataFrame:
-    """The same values as columns ``day_1`` .. of exactly one row; all NULL without a cohort."""
+def retention_week_row(
+    feed: DataFrame, as_of: date, horizon: int = WEEK, cohort: DataFrame | None = None
+) -> DataFrame:
+    """The same values as columns ``day_1`` .. of exactly one row; all NULL without a cohort.
+
+    ``cohort`` may give the cohort's row of ``cohort_sizes`` from a stored state.
+    """
     ratios = (f"max({round2(r)}) AS day_{n}" for n, r in _ratios(horizon))
-    return _week_cohort(feed, as_of, horizon).agg(*exprs(*ratios))
+    return (_week_cohort(feed, as_of, horizon) if cohort is None else cohort).agg(*exprs(*ratios))

@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,10 @@ from daygauge.functions import clock
 from daygauge.functions.columns import day
 from daygauge.operators.leaders import leader_order, top_by_count, top_posts
 from daygauge.plans import rollup as ru
+from daygauge.plans import state
 from daygauge.plans.report import chart_tables, kpi_row, report_text
-from daygauge.sources.logs import feed_actions, message_actions
-from daygauge.sources.sinks import export_ranked_csv, remove_path, shared_path, write_csv, write_text
+from daygauge.sources.logs import feed_actions, message_actions, scan_metrics
+from daygauge.sources.sinks import export_ranked_csv, publish, remove_path, shared_path, write_csv, write_text
 
 # File names and column headings of the exported tables.
 POSTS_CSV, MAILERS_CSV, RECEIVERS_CSV, FEED_CSV = (
@@ -27,6 +29,8 @@ POSTS_CSV, MAILERS_CSV, RECEIVERS_CSV, FEED_CSV = (
     "Top_100_receivers.csv",
     "Top_100_feed.csv",
 )
+# Columns of the user tables and what their leaderboards call them.
+USER_METRICS = (("messages", "sent"), ("feed_actions", "actions"))
 HEADINGS = {
     POSTS_CSV: {"views": "Views", "likes": "Likes", "ctr": "Like/View CTR for TOP", "users": "Unique users"},
     MAILERS_CSV: {"sent": "Sent msgs"},
@@ -42,35 +46,57 @@ def write_daily_report(
     out: str,
     rollup_path: str | None = None,
     refold: tuple[date, date] | None = None,
-) -> None:
+) -> dict[str, dict[str, int]]:
     """Write the whole report for ``as_of`` under ``out``; later rows of the logs count nowhere.
 
-    With ``rollup_path``, the tables there are brought up to date and answer all but
-    the distinct users of the top posts. Without it, the user-day rollup of all history
-    is written once to the shared folder, serves all outputs that need users, and is
-    removed in the end.
+    With ``rollup_path``, the tables and the running state there are brought up to date and
+    answer everything; of the logs only days that changed are read. Without it, the user-day
+    rollup of all history is written once to the shared folder, serves all outputs that need
+    users, and is removed in the end.
+
+    Returns what the scans have seen of each log (``logs.scan_metrics``), in the same pass:
+    without a rollup the whole log up to ``as_of``, with one the days that were folded.
     """
     spark = feed.sparkSession
     feed, messages = (log.where(day(log) <= F.lit(as_of)) for log in (feed, messages))
     if rollup_path:
-        ru.extend_rollup(feed, messages, rollup_path, as_of, refold)
-        posts = ru.rolled_post_counts(ru.read_days(spark, rollup_path, ru.POSTS, as_of))
-        receiver_days = ru.read_days(spark, rollup_path, ru.RECEIVERS, as_of)
-        receivers = ru.rolled_top(receiver_days, "receiver_id", "messages", "received")
+        seen = ru.extend_rollup(feed, messages, rollup_path, as_of, refold, by_content=True, running=True).seen
+        totals = lambda name: state.read_totals(spark, rollup_path, name, as_of)
+        users = totals("user_totals")
+        posts = state.running_top_posts(totals("post_totals"), ru.read_days(spark, rollup_path, ru.POST_USERS, as_of))
+        receivers = state.running_top(totals("receiver_totals"), "receiver_id", "messages", "received")
+        mailers, readers = (state.running_top(users, "user_id", c, n) for c, n in USER_METRICS)
+        cohort = state.week_cohort(state.read_words(spark, rollup_path), as_of)
         user_days = ru.read_days(spark, rollup_path, ru.USERS, as_of)
-        _write_outputs(user_days, top_posts(feed, counts=posts), receivers, as_of, out)
-        return
+        _write_outputs(user_days, cohort, posts, mailers, receivers, readers, as_of, out)
+        return seen
     own_path = shared_path(spark)
     try:
-        ru.write_rollup(feed, messages, own_path, names=(ru.USERS,))
+        (feed_rows, feed_seen), (message_rows, message_seen) = (
+            scan_metrics(log, f"{name}-{uuid.uuid4().hex}") for name, log in (("feed", feed), ("messages", messages))
+        )
+        ru.write_rollup(feed_rows, message_rows, own_path, names=(ru.USERS,), counts=ru.row_counts(feed, messages))
+        user_days = ru.read_days(spark, own_path, ru.USERS)
+        mailers, readers = (ru.rolled_top(user_days, "user_id", c, n) for c, n in USER_METRICS)
         receivers = top_by_count(messages, "receiver_id", "received")
-        _write_outputs(ru.read_days(spark, own_path, ru.USERS), top_posts(feed), receivers, as_of, out)
+        _write_outputs(user_days, None, top_posts(feed), mailers, receivers, readers, as_of, out)
+        return {"feed": feed_seen.get, "message": message_seen.get}
     finally:
         remove_path(spark, own_path)
 
 
-def _write_outputs(user_days: DataFrame, posts: DataFrame, receivers: DataFrame, as_of: date, out: str) -> None:
-    write_text(report_text(kpi_row(user_days, ru.feed_days(user_days), as_of)), f"{out}/report.txt")
+def _write_outputs(
+    user_days: DataFrame,
+    cohort: DataFrame | None,
+    posts: DataFrame,
+    mailers: DataFrame,
+    receivers: DataFrame,
+    readers: DataFrame,
+    as_of: date,
+    out: str,
+) -> None:
+    kpis = kpi_row(user_days, ru.feed_days(user_days), as_of, cohort=cohort)
+    write_text(report_text(kpis), f"{out}/report.txt")
 
     window = clock.last_days(as_of)
     charts = chart_tables(
@@ -80,14 +106,33 @@ def _write_outputs(user_days: DataFrame, posts: DataFrame, receivers: DataFrame,
 
     leaders = {
         POSTS_CSV: (posts, "post_id", "views"),
-        MAILERS_CSV: (ru.rolled_top(user_days, "user_id", "messages", "sent"), "user_id", "sent"),
+        MAILERS_CSV: (mailers, "user_id", "sent"),
         RECEIVERS_CSV: (receivers, "receiver_id", "received"),
-        FEED_CSV: (ru.rolled_top(user_days, "user_id", "feed_actions", "actions"), "user_id", "actions"),
+        FEED_CSV: (readers, "user_id", "actions"),
     }
     for name, (top, id_col, metric) in leaders.items():
         export_ranked_csv(top, f"{out}/{name}", leader_order(metric, id_col), HEADINGS[name])
 
 
+def publish_daily_report(
+    feed: DataFrame,
+    messages: DataFrame,
+    as_of: date,
+    out: str,
+    rollup_path: str | None = None,
+    refold: tuple[date, date] | None = None,
+) -> str:
+    """Write the report to a folder of its own under ``out`` and then publish it; returns that folder.
+
+    Readers follow the manifest (``sinks.published``), which gets its row when all six files are
+    there: a run that breaks between files leaves the report before it as it was, whole.
+    """
+    folder = f"{out}/reports/{as_of}-{uuid.uuid4().hex}"
+    write_daily_report(feed, messages, as_of, folder, rollup_path, refold)
+    publish(feed.sparkSession, out, folder, as_of)
+    return folder
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description="Write the daily engagement report.")
     parser.add_argument("--feed", required=True, help="parquet path of the feed log")
@@ -97,13 +142,15 @@ def main() -> None:
     parser.add_argument("--tz", default="UTC", help="time zone of today's date and of the days of instants")
     parser.add_argument("--rollup", help="folder of the stored day rollups to extend and use")
     days = {"nargs": 2, "type": date.fromisoformat, "metavar": ("FIRST", "LAST")}
+    parser.add_argument("--publish", action="store_true", help="write to a new folder, and publish it when complete")
     parser.add_argument("--refold", **days, help="days to fold into the rollup again")
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("daygauge-daily-report").getOrCreate()
     # One clock: days of instants begin and end where today does.
     spark.conf.set("spark.sql.session.timeZone", args.tz)
-    write_daily_report(
+    write = publish_daily_report if args.publish else write_daily_report
+    write(
         feed_actions(spark, args.feed),
         message_actions(spark, args.messages),
         args.as_of or clock.today(args.tz),

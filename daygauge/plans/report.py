@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from daygauge.functions.clock import WEEK, last_days, range_label, yesterday
 from daygauge.functions.columns import ctr_pct, exprs, number_text, on_day
 from daygauge.operators.activity import user_day_activity
-from daygauge.operators.daily import daily_feed_metrics, daily_message_metrics
+from daygauge.operators.daily import daily_feed_metrics, daily_message_metrics, dense_days
 from daygauge.operators.overlap import with_use_type
 from daygauge.operators.retention import day_label, retention_week_row
 
@@ -62,16 +62,19 @@ def day_kpis(activity: DataFrame) -> DataFrame:
     )
 
 
-def kpi_row(activity: DataFrame, feed_days: DataFrame, as_of: date, horizon: int = WEEK) -> DataFrame:
+def kpi_row(
+    activity: DataFrame, feed_days: DataFrame, as_of: date, horizon: int = WEEK, cohort: DataFrame | None = None
+) -> DataFrame:
     """One row: report_date, the KPIs of yesterday, and day_1 .. of last week's cohort.
 
     ``activity`` holds ``user_day_activity`` rows; ``feed_days`` is anything with
-    the users and days of the feed. Both parts have exactly one row, also when
+    the users and days of the feed, and ``cohort``, if given, the cohort's row of
+    ``retention.cohort_sizes``, for which ``feed_days`` is not read. Both parts have exactly one row, also when
     empty, and are stacked and folded into one.
     """
     d = yesterday(as_of)
     kpis = day_kpis(on_day(activity, d))
-    week = retention_week_row(feed_days, as_of, horizon)
+    week = retention_week_row(feed_days, as_of, horizon, cohort)
     names = [*kpis.columns, *week.columns]
     return kpis.unionByName(week, allowMissingColumns=True).agg(
         *exprs(f"max(DATE'{d}') AS report_date", *(f"max({c}) AS {c}" for c in names))
@@ -115,9 +118,13 @@ def _panels(metrics: DataFrame, charts: tuple, label: str) -> DataFrame:
     return metrics.selectExpr(f"inline(array({points})) AS (title, panel, dt, value)")
 
 
-def chart_tables(feed_metrics: DataFrame, message_metrics: DataFrame, as_of: date) -> DataFrame:
-    """(title, panel, dt, value): the points of all charts, from per-day metrics."""
-    label = range_label(as_of)
+def chart_tables(
+    feed_metrics: DataFrame, message_metrics: DataFrame, as_of: date, dense: bool = False
+) -> DataFrame:
+    """(title, panel, dt, value): the points of all charts, from per-day metrics; ``dense`` as in ``feed_series``."""
+    label, window = range_label(as_of), last_days(as_of)
+    if dense:
+        feed_metrics, message_metrics = (dense_days(m, *window) for m in (feed_metrics, message_metrics))
     return _panels(feed_metrics, FEED_CHARTS, label).unionByName(_panels(message_metrics, MESSAGE_CHARTS, label))
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daygauge.functions.columns import on_day
+from daygauge.functions.columns import day, on_day
 
 # Column -> kinds of type accepted for it. Ids are read as bigint. Ids and times may be NULL: such
 # rows count as actions; distinct counts skip a NULL user, leaderboards give it 0, overlap reads it
@@ -63,6 +63,36 @@ def message_actions(spark: SparkSession, path: str | None = None, *, table: str
     return conform(df, MESSAGE_CONTRACT)
 
 
+# The kinds of feed action that any metric counts by name.
+COUNTED_ACTIONS = ("view", "like")
+
+
+def scan_metrics(
+    log: DataFrame, name: str, first: date | None = None, last: date | None = None
+) -> tuple[DataFrame, Observation]:
+    """The log, and counts of what the next action on it sees, taken in the same scan.
+
+    ``rows``, ``null_users``, ``null_targets`` (posts or receivers), ``null_times``, ``other_actions``
+    (neither view nor like, NULL included; 0 in the message log), and ``outside`` (rows of days before
+    ``first`` or after ``last``). The counts are in the observation once an action on the log is done.
+    Filters that come after are not pushed below the counts: put those that belong to the scan before.
+    """
+    target = "post_id" if "post_id" in log.columns else "receiver_id"
+    dt, none = day(log), F.lit(False)
+    outside = (dt < F.lit(first) if first else none) | (dt > F.lit(last) if last else none)
+    other = ~F.coalesce(F.col("action").isin(*COUNTED_ACTIONS), none) if "action" in log.columns else none
+    seen = Observation(name)
+    flags = {
+        "null_users": F.col("user_id").isNull(),
+        "null_targets": F.col(target).isNull(),
+        "null_times": F.col("time").isNull(),
+        "other_actions": other,
+        "outside": F.coalesce(outside, none),
+    }
+    counts = [F.count(F.lit(1)).alias("rows"), *(F.count_if(flag).alias(c) for c, flag in flags.items())]
+    return log.observe(seen, *counts), seen
+
+
 def preview_day(actions: DataFrame, d: date, n: int = 10, ordered: bool = True) -> DataFrame:
     """``n`` rows of one day, all columns: the first by the columns of the contract,
     or with ``ordered=False`` any ``n``, which stops reading as soon as it has them.

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -61,6 +63,32 @@ def write_text(lines: DataFrame, path: str) -> None:
     lines.coalesce(1).write.mode("overwrite").text(path)
 
 
+MANIFEST_SCHEMA = "published timestamp, as_of date, folder string"
+
+
+def publish(spark: SparkSession, out: str, folder: str, as_of: date) -> None:
+    """Make ``folder``, which is complete, the report that readers of ``out`` find.
+
+    The manifest only ever gets rows, one file each, which appear at once or not at all.
+    """
+    row = spark.range(1).select(F.current_timestamp(), F.lit(as_of), F.lit(folder))
+    row.toDF("published", "as_of", "folder").coalesce(1).write.mode("append").parquet(f"{out}/manifest")
+
+
+def published(spark: SparkSession, out: str, as_of: date | None = None) -> str | None:
+    """The folder of the report published last, or of the last one for ``as_of``; None without one."""
+    try:
+        rows = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{out}/manifest")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    if as_of:
+        rows = rows.where(F.col("as_of") == F.lit(as_of))
+    last = rows.orderBy(F.desc("published"), F.desc("folder")).first()
+    return last.folder if last else None
+
+
 def show_head(df: DataFrame, n: int = 5) -> None:
     """Print the first ``n`` rows."""
     df.show(n, truncate=False)
