@@ -293,7 +293,11 @@ def encoded(
 
 
 def decoded(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """Add ``out``: the text of the ids, special tokens included; null or no ids give an empty text."""
+    """Add ``out``: the text of the ids, special tokens included; null or no ids give an empty text.
+
+    Rows are decoded one by one, so ties and repeated rows need nothing, and an empty table gives no
+    rows. Other columns are kept, one named ``out`` is replaced.
+    """
 
     @F.pandas_udf("string")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

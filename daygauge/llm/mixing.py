@@ -182,6 +182,11 @@ def mixed(
 ) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; the same columns.
 
+    A null source is a source of its own, the last one; null and empty texts have size 0, cost the
+    mix nothing and are queued like others; a null key has a place in the queue like others. Rows equal in source, place and size are
+    taken alike, also repeated ones. A text of any length is one entry. An empty table gives no rows,
+    and columns of any name are kept as they are.
+
     The rows meet the cuts of the sources only, one narrow row per source, which Spark
     broadcasts while that table's size is below its threshold, and joins by a shuffle above.
     """

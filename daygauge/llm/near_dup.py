@@ -404,7 +404,12 @@ def without_near_duplicates(
     bands: int = BANDS,
     band_rows: int = ROWS,
 ) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns. Texts move once."""
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns. Texts move once.
+
+    Null texts and those without words are linked with nothing, so all of them stay. Of a component
+    the row with the smallest key stays, null last, of repeated rows any one. Texts of any length are
+    compared whole. An empty table gives no rows; columns of any name are kept as they are.
+    """
     whole = numbered(docs, "near-documents")
     body = F.coalesce(F.col(f"doc.`{text}`"), F.lit("")).alias("body")
     rows = whole.select("row", F.col(f"doc.`{key}`").alias("id"), body)

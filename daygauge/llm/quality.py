@@ -218,6 +218,10 @@ def good_documents(
 ) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns.
 
+    Null and empty texts go; a null language or source is one of each; repeated rows are judged alike,
+    and a value that equals a bound is inside it. A text of any length is measured whole. An empty
+    table gives no rows, and columns of any name are kept as they are.
+
     Texts are measured twice and never shuffled: the bounds, a narrow row for each language
     and source, go to them, broadcast by Spark while their stored size is under its threshold.
     """

@@ -123,7 +123,13 @@ def without_copies(
     least: int = LEAST,
     most: int = MOST,
 ) -> DataFrame:
-    """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns. Texts move once."""
+    """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns. Texts move once.
+
+    A null text counts as empty, and of all texts without letters one row stays. Of equal texts the
+    row with the longest original stays, then the smallest key, null last; of rows equal in these any
+    one. Long texts are many chunks, of which no task needs more than one text's. An empty table gives
+    no rows; columns of any name are kept as they are.
+    """
     rows = numbered(docs, "exact-documents")
     body = F.coalesce(F.col(f"doc.`{text}`"), F.lit("")).alias("body")
     members = _members(rows.select("row", F.col(f"doc.`{key}`").alias("id"), body), hashed, least, most)

@@ -64,6 +64,17 @@ def test_urls_of_an_empty_table(spark):
     assert urls.with_verdict(pages).collect() == []
 
 
+def test_very_long_and_repeated_urls(spark):
+    long = "http://a.example.com/fr/" + "x/" * 500_000 + "casino"
+    rows = [(1, long), (1, long), (2, "http://" + "a." * 100_000 + "net/casino"), (None, None), (None, None), (3, "")]
+    docs = spark.createDataFrame(rows, "page_id bigint, url string")
+    found = urls.with_verdict(docs, rules=(urls.rule("allow", "com/fr/"),)).select("page_id", "judged.*").collect()
+    assert len(found) == 6
+    assert [tuple(r) for r in found if r.page_id == 1][0] == [tuple(r) for r in found if r.page_id == 1][1]
+    assert all(r.verdict == "allow" and r.rule == "com/fr/" for r in found if r.page_id == 1)
+    assert all(r.host == r.path == "" for r in found if r.page_id is None)
+
+
 # --- quality --------------------------------------------------------------------
 
 

@@ -15,7 +15,8 @@ from test_llm_filters import measured
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
-from daygauge.llm import ppm, quality, sharding
+import corpus_pipeline
+from daygauge.llm import mixing, ppm, quality, sharding
 
 
 def planted():
@@ -172,3 +173,44 @@ def test_the_pipeline_as_registered(spark, fixture):
         back = own.decode(ids, skip_special_tokens=False).encode()
         want.append((i, len(ids), *(hashlib.sha256(b).hexdigest() for b in (np.array(ids, "<u4").tobytes(), back))))
     assert found == sorted(want)
+
+
+NO_DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def test_the_pipeline_of_no_documents(spark, tmp_path):
+    brute.frame(spark, [], NO_DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.collect() == []
+
+
+def test_the_stages_keep_columns_of_any_name(spark, tmp_path):
+    """Nulls in every column, repeated rows, a very long text, and columns named as the operators' own."""
+    prose = [t for _, t, *_ in planted() if t and len(t) > 300]
+    docs, _ = brute.awkward(spark, [*prose[:20], None, "", " ", " ".join(prose * 40)])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[name] == name for r in rows for name in ("row", "id", "body", "doc", "block", "node", "times"))
+        docs = spark.createDataFrame(rows, docs.schema)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == len(rows)
+
+
+def test_sharding_and_mixing_of_awkward_rows(spark):
+    texts = ["a b", "c d e", None, "", " ", "x" * 300_000, "w " * 50_000, "a b"]
+    docs, rows = brute.awkward(spark, texts)
+    placed = sharding.sharded(docs, shards=4).collect()
+    assert len(placed) == len(rows)
+    assert sorted(r["size"] for r in placed) == sorted(len((t or "").encode()) + 1 for _, t, *_ in rows)
+    counts = Counter(r.shard for r in placed)
+    assert max(counts.values()) - min(counts.values()) <= 1
+    assert all(sorted(r.slot for r in placed if r.shard == k) == list(range(n)) for k, n in counts.items())
+    out = mixing.mixed(docs)
+    assert out.columns == docs.columns
+    taken = Counter(str(r.doc_id) + str(r.text) for r in out.collect())
+    given = Counter(str(i) + str(t) for i, t, *_ in rows)
+    assert set(taken) <= set(given) and all(n <= 2 * given[k] for k, n in taken.items())
