@@ -2,6 +2,10 @@
 
 Each stage takes what its predecessor kept, whole, and all but the last return the columns of
 ``documents``. A document that the mix takes twice comes out twice.
+
+In every stage nulls may be in any column, texts may be empty or very long, rows may be repeated or
+tie, the table may be empty, and there may be further columns of any name, which are kept as they
+are. What each stage does with them is said there and in the operator that it calls.
 """
 
 from __future__ import annotations
@@ -14,31 +18,47 @@ from daygauge.llm.workspace import ship, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that fail the base rules or are far out in their language and source."""
+    """Drop documents that fail the base rules or are far out in their language and source.
+
+    Null and empty texts go; a null language or source is one of each; repeated rows go or stay together.
+    """
     ship(spark)
     return quality.good_documents(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of equal texts."""
+    """Keep one document of equal texts.
+
+    A null text equals an empty one. The longest original stays, then the smallest id, null last; of
+    repeated rows one.
+    """
     ship(spark)
     return recipes.without_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each component of near-duplicates."""
+    """Keep one document of each component of near-duplicates.
+
+    The smallest id stays, null last; of repeated rows one. Texts without words are linked with nothing.
+    """
     ship(spark)
     return near_dup.without_near_duplicates(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take documents by the sources' weights, some of them twice."""
+    """Take documents by the sources' weights, some of them twice.
+
+    A null source is one of its own; texts without words cost the mix nothing; equal rows are taken alike.
+    """
     ship(spark)
     return mixing.mixed(docs)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encode and decode what is left: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    """Encode and decode what is left: doc_id, n_tokens, ids_sha256, decoded_sha256.
+
+    A null or empty text has no tokens; a null id stays null; each row, also a repeated one, has its row.
+    """
     ship(spark)
     return bpe_digests(docs)
 
