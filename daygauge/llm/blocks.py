@@ -4,7 +4,8 @@ An operator that needs, for every piece of a text, a value from a corpus-wide ta
 move a row for each piece of each document to join them. Here documents are dealt to blocks
 of some MB, once. A block packs its different pieces as numbers in ascending order, one slice
 for each part of the table, and gets the values back in the same order. The blocks are a
-bucketed table, so the documents themselves are shuffled only once, whatever follows.
+bucketed table, so the documents themselves are shuffled only once, whatever follows. Blocks
+have numbers that Spark hashes to one bucket each, so no bucket is empty or has several.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daygauge.llm.workspace import parts_for, text_bytes, work_path
@@ -25,18 +26,70 @@ BATCH_BYTES = 2 << 20
 BATCH_ROWS = 1 << 14
 
 
+_BITS_32 = (1 << 32) - 1
+
+
+def _times(x: Column, factor: int) -> Column:
+    """Product of numbers of 32 bits, modulo 2**32; by halves, as 64 bits would overflow."""
+    high = (x * F.lit(factor >> 16)).bitwiseAND(F.lit(0xFFFF))
+    return (x * F.lit(factor & 0xFFFF) + high * F.lit(1 << 16)).bitwiseAND(F.lit(_BITS_32))
+
+
+def _turned(x: Column, bits: int) -> Column:
+    """Numbers of 32 bits, rotated to the left."""
+    low = x.bitwiseAND(F.lit((1 << (32 - bits)) - 1))
+    return F.shiftleft(low, bits).bitwiseOR(F.shiftright(x, 32 - bits))
+
+
+def _unshifted(x: Column, bits: int) -> Column:
+    """The y of 32 bits with y ^ (y >> bits) = x."""
+    found = x
+    for _ in range(31 // bits):
+        found = x.bitwiseXOR(F.shiftright(found, bits))
+    return found
+
+
+def hashed_to(number: Column) -> Column:
+    """The int whose ``hash`` is ``number``, from 0 on: Spark's Murmur3 of an int, step by step backwards."""
+    inverse = {factor: pow(factor, -1, 1 << 32) for factor in (0xC2B2AE35, 0x85EBCA6B, 0x1B873593, 0xCC9E2D51, 5)}
+    steps = [
+        lambda x: _unshifted(x, 16),
+        lambda x: _times(x, inverse[0xC2B2AE35]),
+        lambda x: _unshifted(x, 13),
+        lambda x: _times(x, inverse[0x85EBCA6B]),
+        lambda x: _unshifted(x, 16).bitwiseXOR(F.lit(4)),
+        lambda x: (x + F.lit((1 << 32) - 0xE6546B64)).bitwiseAND(F.lit(_BITS_32)),
+        lambda x: _times(x, inverse[5]),
+        lambda x: _turned(x, 32 - 13).bitwiseXOR(F.lit(42)),
+        lambda x: _times(x, inverse[0x1B873593]),
+        lambda x: _turned(x, 32 - 15),
+        lambda x: _times(x, inverse[0xCC9E2D51]),
+        lambda x: F.when(x >= F.lit(1 << 31), x - F.lit(1 << 32)).otherwise(x),
+    ]
+    # A step reads its number more than once; as an array's element it is computed once.
+    found = F.array(number.cast("bigint"))
+    for step in steps:
+        found = F.transform(found, step)
+    return found[0].cast("int")
+
+
 def in_blocks(rows: DataFrame, body: str, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
     """Store ``rows``, which have a number ``row``, with a column ``block`` and bucketed by it.
 
     A block has about ``block_bytes`` of text, more only where a single text is longer.
-    Returns the table and the number of blocks.
+    Returns the table and the number of blocks. The table's name is dropped at once: its files
+    stay in the shared folder, and nothing is left in the catalog.
     """
     blocks = parts_for(text_bytes(rows, body), block_bytes)
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
+    dealt = rows.withColumn("block", hashed_to(F.pmod(F.xxhash64("row"), F.lit(blocks))))
     name = f"blocks_{uuid.uuid4().hex}"
     writer = dealt.repartition(blocks, "block").write.bucketBy(blocks, "block").option("compression", "zstd")
     writer.option("path", work_path(rows.sparkSession, "blocks")).saveAsTable(name)
-    return rows.sparkSession.table(name), blocks
+    table = rows.sparkSession.table(name)
+    # The relation is resolved, with its buckets; dropping an external table leaves its files.
+    table.schema  # noqa: B018
+    rows.sparkSession.sql(f"DROP TABLE {name}")
+    return table, blocks
 
 
 def batches(

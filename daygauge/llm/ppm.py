@@ -16,7 +16,8 @@ tasks. The model grows with the corpus and is never in one place.
 
 Where very many (context, symbol) share an ending, as most of a text's sentences do, its subtree
 is dealt out by one byte more, and again if need be. A part then has not all of the shorter
-contexts it needs, so their counts (at most 257 each) go to all tasks, like those of one byte.
+contexts it needs, so their counts (at most 257 each) are a table, of which each part gets the
+rows of its own contexts. That table grows with the corpus and never leaves Spark.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,22 +45,22 @@ HOT = 1 << 20
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def words_of(text: str) -> list[bytes]:
-    return text.encode().translate(_LOWER).split()
+def event(text: str, as_words: bool = False) -> bytes:
+    """The bytes that are scored: the lower-cased text, or its words with one blank between them."""
+    lowered = text.encode().translate(_LOWER)
+    return b" ".join(lowered.split()) if as_words else lowered
 
 
-def grams(texts: list[list[bytes]], order: int) -> tuple[np.ndarray, np.ndarray]:
+def grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """A number for each (context, symbol) of the texts, and how many each text has.
 
-    A text is its words with one blank between them, and then its end. Before the first word
-    stand blanks, which otherwise never follow each other. In the number the nearest byte of
-    the context comes first, so contexts with a common ending are neighbours; the symbol is
-    in the last nine bits.
+    A text is its bytes and then its end; before the first byte stand blanks. In the number the
+    nearest byte of the context comes first, so contexts with a common ending are neighbours;
+    the symbol is in the last nine bits.
     """
     pad = b" " * order
-    joined = [b" ".join(words) for words in texts]
-    lengths = np.array([len(j) + 1 for j in joined], np.int64)
-    flat = np.frombuffer(b"".join([x for j in joined for x in (pad, j, b"\0")]), np.uint8)
+    lengths = np.array([len(t) + 1 for t in texts], np.int64)
+    flat = np.frombuffer(b"".join([x for t in texts for x in (pad, t, b"\0")]), np.uint8)
     starts = np.cumsum(lengths + order) - lengths
     symbols = flat.astype(np.int64)
     codes = symbols.copy()
@@ -176,7 +178,7 @@ def costs(
     return started
 
 
-def _asked(texts: list[list[bytes]], train: np.ndarray, order: int):
+def _asked(texts: list[bytes], train: np.ndarray, order: int):
     """Different grams and different words of some texts, with their counts in training texts."""
     codes, lengths = grams(texts, order)
     learnt = np.repeat(train, lengths)
@@ -185,10 +187,10 @@ def _asked(texts: list[list[bytes]], train: np.ndarray, order: int):
     words: Counter = Counter()
     for own, is_train in zip(texts, train):
         if is_train:
-            words.update(own)
+            words.update(own.split())
     for own, is_train in zip(texts, train):
         if not is_train:
-            words.update(dict.fromkeys(own, 0))
+            words.update(dict.fromkeys(own.split(), 0))
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
     counts = np.fromiter(words.values(), np.int64, len(words))
     both = np.concatenate([seen, other]), np.concatenate([n, np.zeros(len(other), np.int64)])
@@ -206,26 +208,30 @@ def _part_of(kind: str, numbers: np.ndarray, parts: int, order: int, length: int
     return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % parts
 
 
-def _block_questions(table: pa.Table, order: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+def _block_questions(table: pa.Table, order: int, as_words: bool) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """A block's different grams and words with their training counts."""
     train = ~np.array(table.column("held_out").to_pylist(), bool)
     asked: dict[str, list] = {"gram": [], "word": []}
     for start, texts in batches(table, "body"):
-        split = [words_of(t) for t in texts]
-        for kind, found in zip(asked, _asked(split, train[start : start + len(texts)], order)):
+        events = [event(t, as_words) for t in texts]
+        for kind, found in zip(asked, _asked(events, train[start : start + len(texts)], order)):
             asked[kind].append(found)
     return {kind: summed(*map(np.concatenate, zip(*found))) for kind, found in asked.items()}
 
 
 QUESTIONS = "kind string, part int, block int, numbers binary, counts binary"
 ANSWERS = "kind string, part int, block int, numbers binary, vals binary, distinct long"
+ANSWER_SCHEMA = pa.schema(
+    [("kind", pa.string()), ("part", pa.int32()), ("block", pa.int32())]
+    + [("numbers", pa.binary()), ("vals", pa.binary()), ("distinct", pa.int64())]
+)
 
 
-def _ask(parts: int, order: int):
+def _ask(parts: int, order: int, as_words: bool = False):
     def ask(table: pa.Table) -> pa.Table:
         rows = []
         block = table.column("block")[0].as_py()
-        for kind, (numbers, counts) in _block_questions(table, order).items():
+        for kind, (numbers, counts) in _block_questions(table, order, as_words).items():
             part = _part_of(kind, numbers, parts, order)
             for p in np.unique(part).tolist():
                 own = part == p
@@ -237,50 +243,170 @@ def _ask(parts: int, order: int):
     return ask
 
 
-def _dealt_out(questions: DataFrame, parts: int, order: int, split: Split) -> DataFrame:
-    """Questions under contexts of ``split`` go to parts by one byte more than the longest such context has."""
-    if not split:
-        return questions
-    contexts = {length: np.unique(keys >> 9) for length, (keys, _) in split.items()}
+HOT_ROWS = "part int, length int, context long"
+
+
+def _heavy(least: int, order: int):
+    """Contexts of two bytes or more that ``least`` of a block's questions are under, with their number.
+
+    Codes are in ascending order, so the questions under a context are neighbours.
+    """
+
+    def heavy(batches):
+        for batch in batches:
+            for part, packed in zip(batch.column("part").to_pylist(), batch.column("numbers")):
+                codes = from_ascending(packed)
+                for length in range(2, order):
+                    own = _context(codes, length, order)
+                    ends = np.flatnonzero(np.diff(own, append=-1))
+                    asked = np.diff(ends, prepend=-1)
+                    many = asked >= least
+                    contexts, asked = own[ends[many]], asked[many]
+                    columns = [np.full(len(asked), part, np.int32), np.full(len(asked), length, np.int32), contexts, asked]
+                    names = ["part", "length", "context", "asked"]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    return heavy
+
+
+def hot_contexts(questions: DataFrame, blocks: int, order: int, hot: int) -> DataFrame:
+    """Contexts to be dealt out by one byte more, with the part that their questions would be in.
+
+    Blocks name those under which they have their share of ``hot`` questions, and what they name
+    has to add up to half of ``hot``. So no other context has more than one and a half times
+    ``hot`` questions, and the shorter endings of a hot context are hot too.
+    """
+    grams = questions.where("kind = 'gram'").select("part", "numbers")
+    named = grams.mapInArrow(_heavy(max(1, hot // blocks), order), f"{HOT_ROWS}, asked long")
+    found = named.groupBy("part", "length", "context").agg(F.sum("asked").alias("asked"))
+    return stored(found.where(F.col("asked") >= hot / 2).drop("asked"), "ppm-hot-contexts")
+
+
+def _with_hot(questions: DataFrame, hot: DataFrame) -> DataFrame:
+    """Give the questions of a part its hot contexts."""
+    of_part = hot.groupBy("part").agg(F.collect_list(F.struct("length", "context")).alias("hot"))
+    own = F.when(F.col("kind") == "gram", F.col("part")).alias("hot_part")
+    return questions.select("*", own).join(of_part.withColumnRenamed("part", "hot_part"), "hot_part", "left").drop("hot_part")
+
+
+def _by_length(hot: pa.Scalar, order: int) -> dict[int, np.ndarray]:
+    """Hot contexts in ascending order, by their length."""
+    found: dict[int, list[int]] = {}
+    for each in hot.as_py() or []:
+        found.setdefault(each["length"], []).append(each["context"])
+    return {length: np.sort(np.array(found[length], np.int64)) for length in sorted(found)}
+
+
+def _moved(parts: int, order: int):
+    """Send questions under hot contexts to parts by one byte more than the longest such context has."""
 
     def moved(batches):
+        names = [field.split()[0] for field in QUESTIONS.split(", ")]
         for batch in batches:
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1)
-                kind = row.column("kind")[0].as_py()
-                numbers = from_ascending(row.column("numbers")[0])
-                length = np.full(len(numbers), 2)
-                if kind == "gram":
-                    for n, hot in contexts.items():
-                        length[np.isin(_context(numbers, n, order), hot)] = n + 1
-                if (length == 2).all():
-                    yield row
+                contexts = _by_length(row.column("hot")[0], order)
+                if not contexts:
+                    yield row.select(names)
                     continue
+                numbers = from_ascending(row.column("numbers")[0])
                 counts = from_planes(row.column("counts")[0], np.uint32)
                 part = np.full(len(numbers), row.column("part")[0].as_py())
-                for n in contexts:
-                    own = length == n + 1
-                    part[own] = _part_of(kind, numbers[own], parts, order, n + 1)
+                for length, own in contexts.items():
+                    under = np.isin(_context(numbers, length, order), own)
+                    part[under] = _part_of("gram", numbers[under], parts, order, length + 1)
                 each = np.unique(part)
-                block = row.column("block")[0].as_py()
                 cut = [part == p for p in each]
                 columns = [
-                    pa.array([kind] * len(each), pa.string()),
+                    pa.array(["gram"] * len(each), pa.string()),
                     pa.array(each, pa.int32()),
-                    pa.array([block] * len(each), pa.int32()),
+                    pa.array([row.column("block")[0].as_py()] * len(each), pa.int32()),
                     pa.array([ascending(numbers[own]) for own in cut], pa.binary()),
                     pa.array([planes(counts[own]) for own in cut], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return moved
+
+
+def _hot_counts(order: int):
+    """A block's counts of the symbols behind each hot context, at most 257 each."""
 
-    return questions.mapInArrow(moved, QUESTIONS)
+    def counted(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                contexts = _by_length(batch.column("hot")[at], order)
+                codes = from_ascending(batch.column("numbers")[at])
+                counts = from_planes(batch.column("counts")[at], np.uint32)
+                for length, hot in contexts.items():
+                    own = _context(codes, length, order)
+                    under = np.isin(own, hot)
+                    keys, n = summed((own[under] << 9) | (codes[under] & 511), counts[under])
+                    columns = [np.full(len(keys), length, np.int32), keys >> 9, keys & 511, n]
+                    names = ["length", "context", "symbol", "n"]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    return counted
+
+
+def _needed(parts: int, order: int):
+    """For each hot context, the parts that its questions go to, with it and its shorter endings."""
+
+    def needed(batches):
+        for batch in batches:
+            length, context = (batch.column(c).to_numpy() for c in ("length", "context"))
+            for n in np.unique(length).tolist():
+                own = context[length == n]
+                longer = ((own[:, None] << 8) | np.arange(256)).ravel()
+                # ``_part_of`` looks at a question's context: the bytes below its ending don't matter.
+                part = _part_of("gram", longer << (9 + 8 * (order - n - 1)), parts, order, n + 1)
+                for shorter in range(2, n + 1):
+                    ending = longer >> (8 * (n + 1 - shorter))
+                    columns = [part.astype(np.int32), np.full(len(part), shorter, np.int32), ending]
+                    names = ["part", "length", "context"]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    return needed
 
 
-def _answer(below: Below, order: int, split: Split | None = None):
+def dealt_out(questions: DataFrame, hot: DataFrame, parts: int, order: int) -> tuple[DataFrame, DataFrame]:
+    """The questions dealt to their parts, and for each part the counts of the hot contexts that it needs.
+
+    The counts have a row per part, length and context, with symbols and counts as arrays.
+    """
+    asked = _with_hot(questions, hot)
+    counted = asked.where("hot IS NOT NULL").select("numbers", "counts", "hot")
+    counted = counted.mapInArrow(_hot_counts(order), "length int, context long, symbol long, n long")
+    each = counted.groupBy("length", "context", "symbol").agg(F.sum("n").alias("n"))
+    behind = each.groupBy("length", "context").agg(F.sort_array(F.collect_list(F.struct("symbol", "n"))).alias("behind"))
+    needed = hot.mapInArrow(_needed(parts, order), HOT_ROWS).distinct()
+    split = needed.join(behind, ["length", "context"]).select(
+        F.lit("gram").alias("kind"), "part", "length", "context",
+        F.col("behind.symbol").alias("symbols"), F.col("behind.n").alias("counts"),
+    )
+    return asked.mapInArrow(_moved(parts, order), QUESTIONS), split
+
+
+def _split_of(shared: pa.Table) -> Split:
+    """A part's counts of hot contexts, by the contexts' length."""
+    lengths = shared.column("length").to_numpy()
+    split: Split = {}
+    for length in np.unique(lengths).tolist():
+        own = shared.filter(pa.array(lengths == length)).sort_by("context").combine_chunks()
+        symbols, counts = pc.list_flatten(own.column("symbols")), pc.list_flatten(own.column("counts"))
+        contexts = np.repeat(own.column("context").to_numpy(), pc.list_value_length(own.column("symbols")).to_numpy())
+        split[length] = ((contexts << 9) | symbols.to_numpy(), counts.to_numpy())
+    return split
+
+
+def _answer(below: Below, order: int):
     """Add up a part's counts over all blocks, and give each block the values of what it asked."""
 
-    def answer(table: pa.Table) -> pa.Table:
+    def answer(table: pa.Table, shared: pa.Table | None = None) -> pa.Table:
+        if not len(table):
+            return pa.Table.from_pylist([], ANSWER_SCHEMA)
         kind = table.column("kind")[0].as_py()
+        split = _split_of(shared) if shared is not None and len(shared) else None
         numbers = [from_ascending(x) for x in table.column("numbers")]
         counts = [from_planes(x, np.uint32) for x in table.column("counts")]
         different, totals = summed(np.concatenate(numbers), np.concatenate(counts))
@@ -327,15 +453,16 @@ def _totals(codes: np.ndarray, lengths: np.ndarray, gram: np.ndarray, cost: np.n
     return np.bincount(of, np.repeat(each, np.diff(np.append(first, len(codes)))), len(lengths))
 
 
-def _score(order: int):
+def _score(order: int, as_words: bool = False):
     def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
         gram, cost = _values(answers, "gram")
         values = _WordValues(*_values(answers, "word"))
         words, known, logs, scores = [], [], [], []
         for _, texts in batches(docs, "body"):
-            split = [words_of(t) for t in texts]
-            codes, lengths = grams(split, order)
+            events = [event(t, as_words) for t in texts]
+            codes, lengths = grams(events, order)
             scores.append(_totals(codes, lengths, gram, cost))
+            split = [e.split() for e in events]
             n = np.array([len(s) for s in split], np.int64)
             found = np.fromiter((v for s in split for v in map(values.__getitem__, s)), np.float64, int(n.sum()))
             of = np.repeat(np.arange(len(split)), n)
@@ -349,49 +476,22 @@ def _score(order: int):
     return score
 
 
-def _counts_under(questions: DataFrame, order: int, length: int, contexts: np.ndarray | None):
-    """Counts of the symbols behind contexts of ``length`` bytes, and the longer contexts with many questions.
-
-    Without ``contexts`` all count. At most 257 rows a context come back for the symbols, and 256
-    for the contexts of one byte more: (context, symbol) and counts, contexts and questions.
-    """
+def byte_counts(questions: DataFrame, order: int) -> np.ndarray:
+    """Counts of the symbols behind each byte, which all tasks have: 256 * 257 at most."""
 
     def counted(batches):
         for batch in batches:
             for numbers, counts in zip(batch.column("numbers"), batch.column("counts")):
-                codes, n = from_ascending(numbers), from_planes(counts, np.uint32)
-                if contexts is not None:
-                    own = np.isin(_context(codes, length, order), contexts)
-                    codes, n = codes[own], n[own]
-                keys, n = summed((_context(codes, length, order) << 9) | (codes & 511), n)
-                # Codes are in ascending order, so a context's questions are neighbours.
-                ends = np.flatnonzero(np.diff(_context(codes, length + 1, order), append=-1))
-                longer, asked = _context(codes[ends], length + 1, order), np.diff(ends, prepend=-1)
-                kinds = np.repeat([False, True], [len(keys), len(longer)])
-                columns = [kinds, np.concatenate([keys, longer]), np.concatenate([n, asked])]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["longer", "key", "n"])
-
-    pairs = questions.where("kind = 'gram'").select("numbers", "counts")
-    pairs = pairs.mapInArrow(counted, "longer boolean, key long, n long")
-    rows = pairs.groupBy("longer", "key").agg(F.sum("n").alias("n")).toArrow().sort_by("key")
-    longer, key, n = (rows.column(c).to_numpy() for c in ("longer", "key", "n"))
-    longer = longer.astype(bool)
-    return (key[~longer], n[~longer]), (key[longer], n[longer])
-
-
-def shared_counts(questions: DataFrame, order: int, hot: int) -> tuple[np.ndarray, Split]:
-    """What all tasks have: counts of the symbols behind each byte, and behind contexts with ``hot`` questions."""
+                codes = from_ascending(numbers)
+                keys, n = summed((_context(codes, 1, order) << 9) | (codes & 511), from_planes(counts, np.uint32))
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
+
+    pairs = questions.where("kind = 'gram'").select("numbers", "counts").mapInArrow(counted, "key long, n long")
+    rows = pairs.groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    keys = rows.column("key").to_numpy()
     ones = np.zeros((256, SYMBOLS), np.int64)
-    (keys, counts), (longer, asked) = _counts_under(questions, order, 1, None)
-    ones[keys >> 9, keys & 511] = counts
-    split: Split = {}
-    # A context of ``order`` bytes has 257 questions a block at most.
-    for length in range(2, order):
-        contexts = longer[asked >= hot]
-        if not len(contexts):
-            break
-        split[length], (longer, asked) = _counts_under(questions, order, length, contexts)
-    return ones, split
+    ones[keys >> 9, keys & 511] = rows.column("n").to_numpy()
+    return ones
 
 
 def scored(
@@ -401,6 +501,7 @@ def scored(
     order: int = ORDER,
     block_bytes: int = BLOCK_BYTES,
     hot: int = HOT,
+    as_words: bool = False,
 ) -> DataFrame:
     """One row per document: the key, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -408,8 +509,9 @@ def scored(
     null key counts as empty) and scores all. A-Z are lower-cased; tokens are words and one
     end of the text. base_score adds log10((c + 0.5) / (N + 0.5 * (V + 1))) over the tokens, for c the
     token's and N all tokens of training, V of them different; score is the log10 probability
-    of the words with one blank between them and the end. A null or empty text is the end
-    alone. Without training documents every symbol is equally likely, and so is every word.
+    of the lower-cased text as it stands, white space included, and the end; with ``as_words``, of
+    its words with one blank between them and the end, the event that the base model scores. A
+    null or empty text is the end alone. Without training documents every symbol is equally likely, and so is every word.
     Repeated rows are learnt and scored each by itself; an empty table gives no rows. Words are
     counted by 64-bit hashes. Other columns are not read.
     """
@@ -424,10 +526,16 @@ def scored(
     )
     table, blocks = in_blocks(rows, "body", block_bytes)
     texts = table.select("block", "held_out", "body")
-    questions = stored(texts.groupBy("block").applyInArrow(_ask(blocks, order), QUESTIONS), "ppm-questions")
-    ones, split = shared_counts(questions, order, hot)
-    dealt = _dealt_out(questions, blocks, order, split)
-    answers = dealt.groupBy("kind", "part").applyInArrow(_answer(Below(ones), order, split), ANSWERS)
+    asked = texts.groupBy("block").applyInArrow(_ask(blocks, order, as_words), QUESTIONS)
+    questions = stored(asked, "ppm-questions")
+    answer = _answer(Below(byte_counts(questions, order)), order)
+    heavy = hot_contexts(questions, blocks, order, hot)
+    if heavy.isEmpty():
+        answers = questions.groupBy("kind", "part").applyInArrow(lambda table: answer(table), ANSWERS)
+    else:
+        dealt, split = dealt_out(questions, heavy, blocks, order)
+        parts = dealt.groupBy("kind", "part").cogroup(split.groupBy("kind", "part"))
+        answers = parts.applyInArrow(lambda table, shared: answer(table, shared), ANSWERS)
     answers = stored(answers, "ppm-answers")
     schema = StructType(
         [table.schema["id"], StructField("held_out", BooleanType())]
@@ -435,7 +543,7 @@ def scored(
         + [StructField(name, DoubleType()) for name in ("log_counts", "score")]
     )
     asked = table.select("block", "id", "held_out", "body").groupBy("block")
-    scores = stored(asked.cogroup(answers.groupBy("block")).applyInArrow(_score(order), schema), "ppm-scores")
+    scores = stored(asked.cogroup(answers.groupBy("block")).applyInArrow(_score(order, as_words), schema), "ppm-scores")
 
     ends, learnt = scores.where("NOT held_out").agg(F.count("*"), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     distinct = answers.agg(F.sum(F.when(F.col("kind") == "word", F.col("distinct")))).first()[0] or 0

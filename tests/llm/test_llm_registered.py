@@ -54,15 +54,15 @@ def test_op1_as_registered(spark, fixture):
     columns, found = collected(spark, "op1_lm_scoring", fixture[0])
     assert columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
-    split = [(i, brute.lower(t).encode().split()) for i, t, *_ in fixture[1]]
-    probability = brute.ppm([b" ".join(w) for i, w in split if not held(i)], ppm.ORDER)
-    counts = Counter(x for i, w in split if not held(i) for x in [*w, None])
+    lowered = sorted((i, brute.lower(t).encode()) for i, t, *_ in fixture[1])
+    probability = brute.ppm([t for i, t in lowered if not held(i)], ppm.ORDER)
+    counts = Counter(x for i, t in lowered if not held(i) for x in [*t.split(), None])
     total, kinds = sum(counts.values()), len(counts)
-    for (i, own), row in zip(sorted(split), found, strict=True):
-        tokens = [*own, None]
+    for (i, own), row in zip(lowered, found, strict=True):
+        tokens = [*own.split(), None]
         assert row[:5] == (i, held(i), len(tokens), sum(counts[x] > 0 for x in tokens), total)
         base = sum(math.log10((counts[x] + 0.5) / (total + 0.5 * (kinds + 1))) for x in tokens)
-        assert row[5:] == pytest.approx((base, brute.ppm_score(probability, b" ".join(own), ppm.ORDER)), abs=1e-9)
+        assert row[5:] == pytest.approx((base, brute.ppm_score(probability, own, ppm.ORDER)), abs=1e-9)
 
 
 def test_op2_as_registered(spark, fixture):

@@ -18,24 +18,30 @@ def texts(seed, n):
     return [" ".join(rng.choice(pool) for _ in range(rng.randint(0, 12))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("order", [2, 3, 5])
-def test_scores_equal_brute_force(spark, order):
+def lowered(text):
+    return brute.lower(text).encode()
+
+
+@pytest.mark.parametrize("order, as_words", [(2, False), (3, True), (5, False)])
+def test_scores_equal_brute_force(spark, order, as_words):
+    spaced = [t.replace(" ", "\n\n \t", n % 3) for n, t in enumerate(texts(order, 40))]
     docs, rows = brute.awkward(
-        spark, [*(f"{t} {chr(0xC0 + 64 * n)}{n}" for n, t in enumerate(texts(order, 40))), None, "", " \t\n", "Z" * 700]
+        spark, [*(f"{t} {chr(0xC0 + 64 * n)}{n}" for n, t in enumerate(spaced)), None, "", " \t\n", "Z" * 700]
     )
-    found = ppm.scored(docs.repartition(3), order=order, block_bytes=400).collect()
+    found = ppm.scored(docs.repartition(3), order=order, block_bytes=400, as_words=as_words).collect()
+    event = lambda t: b" ".join(lowered(t).split()) if as_words else lowered(t)
     name = lambda i: "" if i is None else str(i)
     held = lambda i: zlib.crc32(name(i).encode()) % 5 == 1
-    split = [(i, brute.lower(t).encode().split()) for i, t, *_ in rows]
-    probability = brute.ppm([b" ".join(w) for i, w in split if not held(i)], order)
-    counts = Counter(x for i, w in split if not held(i) for x in [*w, None])
+    split = [(i, lowered(t).split(), event(t)) for i, t, *_ in rows]
+    probability = brute.ppm([e for i, _, e in split if not held(i)], order)
+    counts = Counter(x for i, w, _ in split if not held(i) for x in [*w, None])
     total, kinds = sum(counts.values()), len(counts)
     want = []
-    for i, w in split:
+    for i, w, e in split:
         tokens = [*w, None]
         base = sum(math.log10((counts[x] + 0.5) / (total + 0.5 * (kinds + 1))) for x in tokens)
         known = sum(counts[x] > 0 for x in tokens)
-        want.append((name(i), held(i), len(tokens), known, total, base, brute.ppm_score(probability, b" ".join(w), order)))
+        want.append((name(i), held(i), len(tokens), known, total, base, brute.ppm_score(probability, e, order)))
     got = [(name(r.doc_id), *tuple(r)[1:]) for r in found]
     for a, b in zip(sorted(got), sorted(want), strict=True):
         assert a[:5] == b[:5]
@@ -47,9 +53,8 @@ def test_scores_are_the_same_where_hot_contexts_are_split(spark, order, hot):
     docs, rows = brute.awkward(spark, [*texts(order, 60), *(f"a. the. {n}. " * 9 for n in range(20)), None, ""])
     found = ppm.scored(docs.repartition(3), order=order, block_bytes=400, hot=hot).collect()
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
-    split = [(i, brute.lower(t).encode().split()) for i, t, *_ in rows]
-    probability = brute.ppm([b" ".join(w) for i, w in split if not held(i)], order)
-    want = sorted((str(i), brute.ppm_score(probability, b" ".join(w), order)) for i, w in split)
+    probability = brute.ppm([lowered(t) for i, t, *_ in rows if not held(i)], order)
+    want = sorted((str(i), brute.ppm_score(probability, lowered(t), order)) for i, t, *_ in rows)
     got = sorted((str(r.doc_id), r.score) for r in found)
     assert [i for i, _ in got] == [i for i, _ in want]
     assert [x for _, x in got] == pytest.approx([x for _, x in want], abs=1e-9)
@@ -70,15 +75,31 @@ def test_one_pair_of_bytes_does_not_fill_a_part(spark):
             loads[r.part] += len(r.numbers) // 8
         return max(loads.values()), sum(loads.values())
 
-    ones, split = ppm.shared_counts(questions, 5, 500)
-    assert ones.sum() == sum(len(t) + 1 for _, t in rows)
-    (before, all_before), (after, all_after) = largest(questions), largest(ppm._dealt_out(questions, blocks, 5, split))
-    assert all_before == all_after and split and after < before / 2
+    assert ppm.byte_counts(questions, 5).sum() == sum(len(t) + 1 for _, t in rows)
+    hot = ppm.hot_contexts(questions, blocks, 5, 500)
+    dealt, split = ppm.dealt_out(questions, hot, blocks, 5)
+    (before, all_before), (after, all_after) = largest(questions), largest(dealt)
+    assert all_before == all_after and not hot.isEmpty() and after < before / 2
+    # A part gets each context that it needs once, with all of its symbols.
+    given = split.collect()
+    assert len({(r.part, r.length, r.context) for r in given}) == len(given)
+    assert len({(r.length, r.context, tuple(r.symbols), tuple(r.counts)) for r in given}) == hot.count()
+    assert max(len(r.symbols) for r in given) <= 257
+
+
+def test_white_space_is_scored(spark):
+    texts = ["a b c d", "a  b\tc\n\nd", "a b c d "] * 4
+    rows = [(n, t, None, None, None) for n, t in enumerate(texts)]
+    found = {r.doc_id: r for r in ppm.scored(brute.frame(spark, rows)).collect()}
+    assert len({found[n].score for n in range(3)}) == 3
+    assert len({found[n].base_score for n in range(3)}) == 1
+    rejoined = ppm.scored(brute.frame(spark, rows), as_words=True).collect()
+    assert len({r.score for r in rejoined}) == 1
 
 
 def test_probabilities_of_a_context_add_up_to_one():
     order = 2
-    split = [t.lower().encode().split() for t in texts(7, 30)] + [[bytes([b]) for b in range(33, 256)]]
+    split = [t.lower().encode() for t in texts(7, 30)] + [bytes(range(33, 256))]
     (numbers, counts), _ = ppm._asked(split, np.ones(len(split), bool), order)
     contexts = sorted({int(n) >> 9 for n in numbers})[::7]
     asked = np.array([(c << 9) | s for c in contexts for s in range(257)], np.int64)
