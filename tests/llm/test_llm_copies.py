@@ -116,20 +116,64 @@ def test_matching_statistics_equal_brute_force():
         letters, window = int(rng.integers(1, 4)), int(rng.integers(8, 12))
         make = lambda n, more: bytes(rng.integers(0, letters + more, n).astype(np.uint8))
         strings = [make(rng.integers(window, 40), 0) for _ in range(rng.integers(1, 10))]
-        index = RunIndex(strings, window)
+        keys = rng.integers(0, 5, len(strings))
+        index = RunIndex(strings, keys, window)
         queries = [*strings, *(make(rng.integers(1, 40), 1) for _ in range(4))]
-        lengths, places, begins = index.matching_statistics(queries)
+        lengths, rows, places, begins = index.matching_statistics(queries)
+        smallest = index.smallest_key(rows)
         for query, begin in zip(queries, begins):
             for at in range(len(query)):
                 best = max(n for n in range(len(query) - at + 1) if any(query[at : at + n] in s for s in strings))
                 assert lengths[begin + at] == best
-                own = index.symbols[places[begin + at] :][:best] - 1
+                own = index.text[places[begin + at] :][:best] - 1
                 assert bytes(own.astype(np.uint8)) == query[at : at + best]
-        classes = {}
-        for start, s in zip(index.starts, strings):
-            for at in range(len(s) - window + 1):
-                classes.setdefault(s[at : at + window], set()).add(int(index.classes[start + at]))
-        assert all(len(c) == 1 for c in classes.values()) and len(set.union(*classes.values())) == len(classes)
+                if best >= window:
+                    have = [k for k, s in zip(keys, strings) if query[at : at + window] in s]
+                    assert smallest[begin + at] == min(have)
+
+
+def test_index_of_a_repetitive_corpus_grows_with_its_runs():
+    rng = np.random.default_rng(2)
+    base = bytes(rng.integers(97, 123, 4000).astype(np.uint8))
+
+    def made(copies):
+        strings = []
+        for _ in range(copies):
+            own = bytearray(base)
+            own[rng.integers(len(base))] = 65
+            strings.append(bytes(own))
+        return RunIndex(strings, np.arange(copies), 50)
+
+    few, many = made(4), made(64)
+    assert many.rows == 16 * few.rows
+    assert len(many.run_key) < 3 * len(few.run_key)
+    # Beside the text, a byte a symbol, the index has a few bytes for each copy's own windows.
+    beside = [index.nbytes - len(index.text) for index in (few, many)]
+    assert beside[1] < 3 * beside[0] and many.nbytes < 4 * many.rows
+
+
+def test_byte_255_is_refused():
+    with pytest.raises(ValueError):
+        RunIndex([b"a\xffb"], np.array([1]), 2)
+
+
+def test_matching_statistics_decide_what_is_removed(monkeypatch):
+    rng = np.random.default_rng(5)
+    shared = bytes(rng.integers(97, 105, 70).astype(np.uint8))
+    snippets = [b"a" * 20 + shared, b"b" * 20 + shared, b"c" * 80 + shared[:30], b"c" * 81]
+    keys, anchors = np.array([7, 9, 3, 4]), np.array([1, 1, 2, 2], np.uint32)
+    want = []
+    for key, s in zip(keys, snippets):
+        for at in range(len(s) - 49):
+            want.append(min(k for k, other in zip(keys, snippets) if s[at : at + 50] in other))
+    found, _ = run_index.smallest_keys(snippets, keys, anchors, 50)
+    assert found.tolist() == want and want != np.repeat(keys, [len(s) - 49 for s in snippets]).tolist()
+    streamed = RunIndex.matching_statistics
+    for constant in (0, 50):
+        monkeypatch.setattr(
+            RunIndex, "matching_statistics", lambda *a, n=constant: (np.full_like((r := streamed(*a))[0], n), *r[1:])
+        )
+        assert run_index.smallest_keys(snippets, keys, anchors, 50)[0].tolist() != want
 
 
 def passages(seed):
