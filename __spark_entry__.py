@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from daygauge.functions.clock import last_days, yesterday
 from daygauge.operators import activity, daily, leaders, overlap, retention
-from daygauge.plans import daily_report, report, state
+from daygauge.plans import daily_report, landing, report, state
 from daygauge.plans import rollup as ru
 from daygauge.sources import events, logs, sinks
 
@@ -99,6 +99,24 @@ def _running(answer: Callable[[SparkSession, str], DataFrame]) -> Query:
     return run
 
 
+def _landed(answer: Callable[[DataFrame], DataFrame]) -> Query:
+    """The answer of user days landed in buckets, of which two were incomplete at first and landed again."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        f, m, path = feed(spark, sf_dir), messages(spark, sf_dir), sinks.shared_path(spark)
+        f, m = (log.withColumn("dt", F.to_date("time")) for log in (f, m))
+        early = f.where(F.col("dt") != F.lit(CORRECTED)), m.where(F.col("dt") != F.lit(EARLIER))
+        table = f"user_days_{uuid.uuid4().hex}"
+        landing.land_user_days(*early, table, f"{path}/days")
+        landing.land_days(f, m, table, (CORRECTED, EARLIER))
+        found = answer(landing.read_user_days(spark, table))
+        found.write.parquet(f"{path}/answer")
+        spark.sql(f"DROP TABLE {table}")
+        return spark.read.schema(found.schema).parquet(f"{path}/answer")
+
+    return run
+
+
 def _scan_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the scan for the post counts has seen of the feed."""
     counted, seen = logs.scan_metrics(feed(spark, sf_dir), f"feed-{uuid.uuid4().hex}", *last_days(AS_OF))
@@ -190,6 +208,10 @@ def _log_queries() -> dict[str, Query]:
         "cohort_activity_running": _running(
             lambda spark, path: retention.activity_of_sizes(state.cohort_sizes(state.read_words(spark, path)))
         ),
+        "user_overlap_landed": _landed(landing.landed_overlap),
+        "cohort_activity_landed": _landed(
+            lambda days: retention.activity_of_sizes(landing.landed_cohort_sizes(days))
+        ),
         "views_dense": _feed(lambda f: daily.feed_series(f, DENSE_AS_OF, "views", DENSE_DAYS, dense=True)),
         "ctr_dense": _feed(lambda f: daily.feed_series(f, DENSE_AS_OF, "ctr_pct", DENSE_DAYS, dense=True)),
         "scan_metrics": _scan_metrics,
@@ -415,6 +437,8 @@ def _log_sql() -> dict[str, str]:
         "top_posts_rolled": _with(posts),
         "top_feed_users_running": top("feed", "user_id", "actions"),
         "cohort_activity_running": _with("SELECT * FROM cohorts", _COHORTS),
+        "user_overlap_landed": _with("SELECT * FROM overlap", _OVERLAP),
+        "cohort_activity_landed": _with("SELECT * FROM cohorts", _COHORTS),
         "views_dense": dense(_VIEWS, "0").format("views"),
         "ctr_dense": dense(_CTR, "NULL").format("ctr_pct"),
         "scan_metrics": _with(

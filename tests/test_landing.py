@@ -1,0 +1,72 @@
+"""User days in buckets by user."""
+
+import uuid
+from datetime import timedelta
+
+import cases
+import pytest
+from pyspark.sql import functions as F
+
+from daygauge.functions.columns import day
+from daygauge.operators import overlap, retention
+from daygauge.plans import landing
+
+D = cases.D
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def hot_logs(spark):
+    """A user and the missing user own a third each, over many days; user 0 is there too."""
+    user = "CASE id % 3 WHEN 0 THEN 7L WHEN 1 THEN NULL ELSE pmod(hash(id), 90) END AS user_id"
+    time = f"timestamp_ntz'{D}' + make_dt_interval(int(pmod(hash(id, 5), 12))) AS time"
+    feed = spark.range(9000).selectExpr(user, "id % 50 AS post_id", "'view' AS action", time)
+    return feed, spark.range(4000).selectExpr(user, "id % 20 AS receiver_id", time)
+
+
+@pytest.fixture
+def table(spark):
+    name = f"landed_{uuid.uuid4().hex}"
+    yield name
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def same(feed, messages, days):
+    dated = [log.where(day(log).isNotNull()) for log in (feed, messages)]
+    assert rows_of(landing.landed_overlap(days)) == rows_of(overlap.user_overlap(*dated))
+    sizes = landing.landed_cohort_sizes(days)
+    assert rows_of(retention.activity_of_sizes(sizes)) == rows_of(retention.cohort_activity(feed))
+    return landing.landed_overlap(days), sizes
+
+
+@pytest.mark.parametrize("buckets", [1, 8, 13])
+def test_landed_days_equal_the_logs(spark, tmp_path, table, buckets):
+    feed, messages = hot_logs(spark)
+    landing.land_user_days(feed, messages, table, str(tmp_path / "days"), buckets)
+    found, sizes = same(feed, messages, landing.read_user_days(spark, table))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (found, sizes)]
+    assert "Exchange" not in plans[0]
+    assert plans[1].count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(start_date" in plans[1]
+    # A hot user has one row a day, so no bucket is much fuller than the others' users make it.
+    assert spark.table(table).where("user_id = 7").count() == 12
+
+
+def test_changed_new_and_emptied_days(spark, tmp_path, table):
+    feed, messages = hot_logs(spark)
+    first, second, last = D, D + timedelta(days=1), D + timedelta(days=11)
+    early = [log.where((day(log) < F.lit(last)) & ((day(log) != F.lit(first)) | (log.user_id > 50))) for log in (feed, messages)]
+    landing.land_user_days(*early, table, str(tmp_path / "days"), 5)
+    later = [log.where(day(log) != F.lit(second)) for log in (feed, messages)]
+    for _ in range(2):
+        landing.land_days(*later, table, [first, second, last])
+        spark.catalog.refreshTable(table)
+        found, _ = same(*later, landing.read_user_days(spark, table))
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_empty_logs(spark, tmp_path, table):
+    feed, messages = (log.where("false") for log in hot_logs(spark))
+    landing.land_user_days(feed, messages, table, str(tmp_path / "days"), 3)
+    same(feed, messages, landing.read_user_days(spark, table))
