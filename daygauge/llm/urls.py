@@ -21,6 +21,30 @@ SOFT = (
     "free", "gambling", "nude", "pills", "poker", "popup", "promo", "sex", "slots", "torrent", "track", "tracker", "win",
 )
 SOFT_LIMIT = 2
+# Bytes of a vocabulary at most: it goes to every task, where its automaton takes some dozen bytes for each.
+VOCABULARY_BYTES = 4 << 20
+
+
+def vocabulary(
+    terms: DataFrame, term: str = "term", kind: str = "kind", most_bytes: int = VOCABULARY_BYTES
+) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """Strict and soft terms of a table, for ``with_verdict``.
+
+    ``kind`` is ``strict`` or ``soft``. Terms are lower-cased and count once, as strict where they
+    are both; null and empty ones are left out, and an empty table gives no terms. Other columns
+    are not read. Raises ValueError for another kind, a null one included, and for more than
+    ``most_bytes`` of different terms, before any of them comes to the driver.
+    """
+    rows = terms.select(ascii_lower(F.col(term)).alias("term"), F.coalesce(F.col(kind), F.lit("")).alias("kind"))
+    rows = rows.where("term <> ''").groupBy("term").agg(F.max("kind").alias("kind"), F.min("kind").alias("least"))
+    known = "kind IN ('strict', 'soft') AND least IN ('strict', 'soft')"
+    size, wrong = rows.selectExpr("sum(octet_length(term))", f"count_if(NOT ({known}))").first()
+    if wrong:
+        raise ValueError(f"{wrong} terms are neither strict nor soft")
+    if (size or 0) > most_bytes:
+        raise ValueError(f"the vocabulary has {size} bytes, more than {most_bytes}")
+    found = sorted((r.term, r.kind) for r in rows.collect())
+    return tuple(t for t, k in found if k == "strict"), tuple(t for t, k in found if k == "soft")
 
 
 @dataclass(frozen=True)
@@ -78,6 +102,8 @@ def _joined(url: str, at: int) -> bool:
 
 def term_hits(url: str, strict: tuple[str, ...], soft: tuple[str, ...]) -> tuple[int, int]:
     """How many different strict and soft terms stand in a lower-cased url as whole words."""
+    if not strict and not soft:
+        return 0, 0
     hits = {
         entry
         for end, entry in _automaton(strict, soft).iter(url)
@@ -105,8 +131,9 @@ def with_verdict(
 
     A null or empty url has no hits and is allowed. Rows are judged one by one, so ties,
     repeated rows and empty tables need nothing; other columns stay as they are, and a
-    column of the name ``out`` is replaced. The rules and terms are arguments of the plan:
-    a few thousand at most.
+    column of the name ``out`` is replaced. The rules are arguments of the plan: a few
+    thousand at most. The terms go to every task; ``vocabulary`` reads them from a table
+    and checks their size.
     """
     strict, soft = tuple(strict), tuple(soft)
 

@@ -59,6 +59,23 @@ def test_term_hits_equal_patterns():
         assert urls.term_hits(url, urls.STRICT, urls.SOFT) == (count(urls.STRICT), count(urls.SOFT))
 
 
+def test_vocabulary_from_a_table(spark):
+    schema = "term string, kind string, judged string"
+    rows = [("Bad", "strict", "x"), ("bad", "soft", "y"), ("So", "soft", None), ("so", "soft", ""), (None, None, ""), ("", "no", "")]
+    terms = urls.vocabulary(spark.createDataFrame([*rows, ("x" * 70_000, "soft", ""), ("né", "soft", "")], schema))
+    assert terms == (("bad",), ("né", "so", "x" * 70_000))
+    pages = spark.createDataFrame([(1, "http://a/BAD"), (2, "http://a/so/né"), (3, "http://a/so/so"), (4, None)], "page_id long, url string")
+    judged = urls.with_verdict(pages, strict=terms[0], soft=terms[1]).select("page_id", "judged.verdict").collect()
+    assert sorted(map(tuple, judged)) == [(1, "block"), (2, "block"), (3, "allow"), (4, "allow")]
+    with pytest.raises(ValueError, match="neither"):
+        urls.vocabulary(spark.createDataFrame([("a", None, "")], schema))
+    with pytest.raises(ValueError, match="more than 3"):
+        urls.vocabulary(spark.createDataFrame([("abcd", "soft", "")], schema), most_bytes=3)
+    none = urls.vocabulary(spark.createDataFrame([], schema))
+    assert none == ((), ())
+    assert {r.judged.verdict for r in urls.with_verdict(pages, strict=none[0], soft=none[1]).collect()} == {"allow"}
+
+
 def test_urls_of_an_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     assert urls.with_verdict(pages).collect() == []
