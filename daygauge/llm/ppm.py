@@ -285,8 +285,9 @@ def hot_contexts(questions: DataFrame, blocks: int, order: int, hot: int) -> Dat
 def _with_hot(questions: DataFrame, hot: DataFrame) -> DataFrame:
     """Give the questions of a part its hot contexts."""
     of_part = hot.groupBy("part").agg(F.collect_list(F.struct("length", "context")).alias("hot"))
-    own = F.when(F.col("kind") == "gram", F.col("part")).alias("hot_part")
-    return questions.select("*", own).join(of_part.withColumnRenamed("part", "hot_part"), "hot_part", "left").drop("hot_part")
+    # Words are joined by their part too, so that no null key gathers them, and then have none.
+    own = F.when(F.col("kind") == "gram", F.col("hot"))
+    return questions.join(of_part, "part", "left").withColumn("hot", own)
 
 
 def _by_length(hot: pa.Scalar, order: int) -> dict[int, np.ndarray]:
